@@ -99,11 +99,14 @@ def left_join_on(
     Rows without a key cannot match, yet hash alike. A second join key scatters them by
     ``spread_by``; rows with a key keep it constant, so they still meet their match. A
     hot non-NULL key is left to the adaptive skew join. The right key is dropped.
+
+    The right side's constant is computed from its key, because the optimizer would move a
+    literal out of the join keys and hash by the first key alone.
     """
     scatter = F.when(left_key.isNull(), F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("bigint"))
     keyed_left = left.withColumn("_key", left_key).withColumn("_scatter", scatter)
     keyed_right = right.withColumnRenamed(right_key, "_key").withColumn(
-        "_scatter", F.lit(0).cast("bigint")
+        "_scatter", F.pmod(F.xxhash64("_key"), F.lit(1).cast("bigint"))
     )
     return keyed_left.join(keyed_right, ["_key", "_scatter"], "left").drop("_key", "_scatter")
 
