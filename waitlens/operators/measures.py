@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.functions.temporal import days_between, minutes_crossed, over_threshold
+from waitlens.functions.temporal import (
+    days_between,
+    epoch_micros,
+    from_epoch,
+    minutes_crossed,
+    over_threshold,
+)
 
 
 def first_match(
@@ -34,22 +40,21 @@ def first_match(
     earliest instant and, within it, the largest slack, that is the smallest gap.
     """
     width = slack + 1
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", epoch, F.col("_at"))
     offered = (
         events.where(
             F.col(key).isNotNull() & F.col(event_at).isNotNull() & F.col(reported_gap).isNotNull()
         )
         .select(
             F.col(key).alias("_key"),
-            F.col(event_at).cast("timestamp_ntz").alias("_at"),
+            F.col(event_at).cast("date").alias("_on"),
+            epoch_micros(F.col(event_at)).alias("_micros"),
             F.col(reported_gap).cast("int").alias("_gap"),
             F.explode(F.sequence(F.lit(0), F.lit(slack))).alias("_slack"),
         )
         .select(
             "_key",
-            F.date_sub(F.col("_at").cast("date"), F.col("_gap") + F.col("_slack")).alias("_day"),
-            (micros * width + (slack - F.col("_slack"))).alias("_rank"),
+            F.date_sub("_on", F.col("_gap") + F.col("_slack")).alias("_day"),
+            (F.col("_micros") * width + (slack - F.col("_slack"))).alias("_rank"),
         )
         .groupBy("_key", "_day")
         .agg(F.min("_rank").alias("_rank"))
@@ -57,7 +62,7 @@ def first_match(
     used = slack - F.pmod(F.col("_rank"), F.lit(width))
     instant = F.call_function("div", F.col("_rank") - F.pmod(F.col("_rank"), F.lit(width)), F.lit(width))
     best = offered.select(
-        "_key", "_day", F.timestamp_add("MICROSECOND", instant, epoch).alias("matched_at"),
+        "_key", "_day", from_epoch("MICROSECOND", instant).alias("matched_at"),
         used.cast("int").alias("_used"),
     )
     on = (requests[key] == best["_key"]) & (requests[request_day] == best["_day"])

@@ -176,7 +176,7 @@ def busiest_hours(gold: Gold, providers: Sequence[str] = ()) -> DataFrame:
     at = F.col("arrival_datetime")
     return (
         _urgent(gold, providers)
-        .groupBy(F.date_format(at, "EEEE").alias("day_of_week"), F.hour(at).alias("hour_of_day"))
+        .groupBy(F.date_format(at.cast("date"), "EEEE").alias("day_of_week"), F.hour(at).alias("hour_of_day"))
         .agg(F.count(F.lit(1)).alias("attendance_count"))
         .orderBy("day_of_week", "hour_of_day")
     )
