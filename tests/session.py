@@ -17,6 +17,7 @@ def local_session(cpus: int | None = None) -> SparkSession:
         spark__sql__shuffle__partitions=str(cpus),
         spark__driver__memory="8g",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__host="127.0.0.1",
         spark__driver__bindAddress="127.0.0.1",
     )
