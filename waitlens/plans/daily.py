@@ -132,9 +132,15 @@ def conform(
     return {m: VersionedTable(spark, paths.silver(m)).read() for m in MODELS}
 
 
-def validate(spark: SparkSession, paths: Paths, silver: Mapping[str, DataFrame], run_date: date) -> None:
+def validate(
+    spark: SparkSession,
+    paths: Paths,
+    silver: Mapping[str, DataFrame],
+    run_date: date,
+    suites: Mapping[str, list[Check]] = GATE_SUITES,
+) -> None:
     """Run the gate suites, store the results, raise when promotion is blocked."""
-    runs = run_suites(spark, silver, GATE_SUITES, str(uuid.uuid4()), run_date)
+    runs = run_suites(spark, silver, suites, str(uuid.uuid4()), run_date)
     write_runs(runs, paths.quality)
     require_gate(read_runs(spark, paths.quality), run_date)
 
@@ -155,6 +161,7 @@ def run_day(
     ctx: Context,
     run_date: date | None = None,
     mode: str = "business_date",
+    suites: Mapping[str, list[Check]] = GATE_SUITES,
 ) -> date:
     """One complete run. Without a date it takes the one after the last complete day."""
     if run_date is None:
@@ -171,6 +178,6 @@ def run_day(
     if failed:
         raise RuntimeError(f"ingestion failed for {', '.join(failed)}; see the manifests")
     silver = conform(spark, paths, ctx)
-    validate(spark, paths, silver, run_date)
+    validate(spark, paths, silver, run_date, suites)
     publish(spark, paths, silver, run_date)
     return run_date
