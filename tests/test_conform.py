@@ -11,7 +11,7 @@ from waitlens.contracts import ENTITIES
 from waitlens.operators import conform
 from waitlens.operators.dims import calendar, dense_key
 from waitlens.plans import silver
-from waitlens.sources.store import VersionedTable
+from waitlens.sources.store import VersionedTable, hash_bucket, range_bucket
 
 
 def test_increment_marks(spark):
@@ -98,6 +98,30 @@ def test_upsert_follows_the_batch_schema(spark, tmp_path):
     assert rows == {1: {"k": 1, "v": "a", "fresh": None}, 2: {"k": 2, "v": "b", "fresh": 1.5}}
 
 
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), ["k"], range_bucket("k", 10))
+    table.write(spark.createDataFrame([(i, "old") for i in range(40)], "k int, v string"))
+    batch = [(15, "new", 1), (17, "new", 1), (41, "new", 1)]
+    table.upsert(spark.createDataFrame(batch, "k int, v string, extra int"), ["k"])
+    folders = {p.name for p in (tmp_path / "t" / "v=00000002").iterdir() if p.is_dir()}
+    assert folders == {"_bucket=1", "_bucket=4"}
+    rows = {r.k: (r.v, r.extra) for r in table.read().collect()}
+    want = {i: ("old", None) for i in range(40)} | {k: (v, e) for k, v, e in batch}
+    assert rows == want
+    assert table.read(1).count() == 40 and table.read(1).columns == ["k", "v"]
+
+
+def test_buckets_take_missing_and_text_keys(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), (), hash_bucket("k", 3))
+    batch = spark.createDataFrame([(None, 1)] + [(f"k{i}", i) for i in range(20)], "k string, v int")
+    table.upsert(batch, ["k"])
+    table.upsert(spark.createDataFrame([("k3", 33)], "k string, v int"), ["k"])
+    rows = {r.k: r.v for r in table.read().collect()}
+    assert rows == {None: 1} | {f"k{i}": i for i in range(20)} | {"k3": 33}
+    table.upsert(spark.createDataFrame([], "k string, v int"), ["k"])
+    assert table.read().count() == 21
+
+
 def test_upsert_refuses_a_repeated_key(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     with pytest.raises(conform.DuplicateKeyError):

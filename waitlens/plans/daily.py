@@ -118,7 +118,7 @@ def conform(
     ordered = sorted(MODELS, key=lambda m: m != "patient_identifiers")
     for name in ordered:
         model = MODELS[name]
-        table = VersionedTable(spark, paths.silver(name), model.sort_by)
+        table = VersionedTable(spark, paths.silver(name), model.sort_by, model.bucket)
         current = table.read()
         fresh = increment(
             read_bronze(spark, paths.lake, ENTITIES[model.source]),

@@ -24,6 +24,7 @@ from waitlens.operators.conform import (
     resolve_key,
     with_audit,
 )
+from waitlens.sources.store import hash_bucket, range_bucket
 
 
 @dataclass(frozen=True)
@@ -316,6 +317,12 @@ class Model:
     database: str
     sort_by: tuple[str, ...] = ()
 
+    @property
+    def bucket(self) -> Column:
+        """Row ids are handed out in order; surrogates and codes are not."""
+        ordered = self.merge_key.endswith("_id") and self.merge_key != "appointment_id"
+        return range_bucket(self.merge_key) if ordered else hash_bucket(self.merge_key)
+
 
 # In build order: the vault comes before everything that resolves keys.
 MODELS: dict[str, Model] = {

@@ -28,3 +28,24 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of ``column=value`` folders, from the listing alone: no file is opened."""
     prefix = f"{column}="
     return [n[len(prefix):] for n in subfolders(spark, path) if n.startswith(prefix)]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, such as a table layout."""
+    target, fs = _open(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file under another name first: it appears complete or not at all."""
+    target, fs = _open(spark, path)
+    draft, _ = _open(spark, f"{path}.draft")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    if not fs.rename(draft, target):
+        raise OSError(f"could not commit {path}")

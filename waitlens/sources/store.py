@@ -1,32 +1,70 @@
-"""Versioned Parquet tables: readers see a whole version, writers add the next one.
+"""Versioned Parquet tables whose upserts rewrite only the buckets they touch.
 
-A version is a folder ``v=00000001``; the writer's own ``_SUCCESS`` marker makes it
-visible. Nothing is overwritten in place, so an upsert may read the version before it,
-a lost executor only repeats tasks, and a failed write leaves the table as it was.
+Rows live in folders ``v=00000001/_bucket=3``; the bucket is a function of the merge key.
+A version is its layout file: schema, and for each bucket the version that wrote it last.
+An upsert reads and rewrites the buckets its batch falls into and lists the others where
+they are, so its cost follows the batch. Whole numbers handed out in order make good
+buckets by range (new rows touch the last ones), text keys by hash.
+
+The layout file is written last. Until it exists the version is invisible, nothing is ever
+overwritten in place, and a lost executor only repeats tasks.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from waitlens.operators.conform import require_unique, upsert
-from waitlens.sources.files import exists, subfolders
+from waitlens.sources.files import exists, read_text, subfolders, write_text
+
+
+def range_bucket(key: str, width: int = 50_000_000) -> Column:
+    """Bucket of a whole-number key; NULL has its own."""
+    return F.coalesce(F.floor(F.col(key) / width), F.lit(-1)).cast("bigint")
+
+
+def hash_bucket(key: str, count: int = 16) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(count)).cast("bigint")
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, sort_by: Sequence[str] = ()):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        sort_by: Sequence[str] = (),
+        bucket: Column | None = None,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.sort_by = tuple(sort_by)
+        self.bucket = F.lit(0).cast("bigint") if bucket is None else bucket
+
+    def _layout_path(self, version: int) -> str:
+        return f"{self.path}/v={version:08d}/_layout.json"
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first."""
-        names = [n for n in subfolders(self.spark, self.path) if n.startswith("v=")]
-        return [
-            int(n[2:]) for n in names if exists(self.spark, f"{self.path}/{n}/_SUCCESS")
-        ]
+        numbers = [int(n[2:]) for n in subfolders(self.spark, self.path) if n.startswith("v=")]
+        return [n for n in numbers if exists(self.spark, self._layout_path(n))]
+
+    def _layout(self, version: int) -> tuple[StructType, dict[int, int]]:
+        stored = json.loads(read_text(self.spark, self._layout_path(version)))
+        return (
+            StructType.fromJson(stored["schema"]),
+            {int(b): v for b, v in stored["buckets"].items()},
+        )
+
+    def _scan(self, schema: StructType, buckets: dict[int, int]) -> DataFrame:
+        if not buckets:
+            return self.spark.createDataFrame([], schema)
+        folders = [f"{self.path}/v={v:08d}/_bucket={b}" for b, v in sorted(buckets.items())]
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The newest (or named) version; None before the first."""
@@ -36,18 +74,46 @@ class VersionedTable:
         chosen = have[-1] if version is None else version
         if chosen not in have:
             raise ValueError(f"no version {chosen} of {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={chosen:08d}")
+        return self._scan(*self._layout(chosen))
 
-    def write(self, df: DataFrame) -> int:
-        """Commit ``df`` as the next version; rows are sorted inside files for pruning."""
+    def _commit(self, df: DataFrame, kept: dict[int, int]) -> int:
+        """Write ``df`` as the next version, next to the buckets kept from earlier ones."""
         have = self.versions()
         number = (have[-1] if have else 0) + 1
-        laid_out = df.sortWithinPartitions(*self.sort_by) if self.sort_by else df
-        laid_out.write.mode("overwrite").parquet(f"{self.path}/v={number:08d}")
+        folder = f"{self.path}/v={number:08d}"
+        rows = df.withColumn("_bucket", self.bucket).hint("rebalance", "_bucket")
+        if self.sort_by:
+            rows = rows.sortWithinPartitions("_bucket", *self.sort_by)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "_bucket"
+        ).parquet(folder)
+        written = [
+            int(n.removeprefix("_bucket="))
+            for n in subfolders(self.spark, folder)
+            if n.startswith("_bucket=")
+        ]
+        layout = {**kept, **{b: number for b in written}}
+        text = json.dumps({"schema": df.schema.jsonValue(), "buckets": layout})
+        write_text(self.spark, self._layout_path(number), text)
         return number
 
+    def write(self, df: DataFrame) -> int:
+        """Commit ``df`` as the whole next version."""
+        return self._commit(df, {})
+
     def upsert(self, batch: DataFrame, keys: Sequence[str]) -> int:
-        """Merge a batch by key. Its keys must be unique; see ``require_unique``."""
+        """Merge a batch by key. Its keys must be unique; see ``require_unique``.
+
+        Buckets without batch rows stay in the files they are in; columns they lack read
+        as NULL under the new schema.
+        """
         require_unique(batch, keys)
-        current = self.read()
-        return self.write(batch if current is None else upsert(current, batch, keys))
+        have = self.versions()
+        if not have:
+            return self._commit(batch, {})
+        schema, buckets = self._layout(have[-1])
+        touched = {r[0] for r in batch.select(self.bucket.alias("b")).distinct().collect()}
+        current = self._scan(schema, {b: v for b, v in buckets.items() if b in touched})
+        return self._commit(
+            upsert(current, batch, keys), {b: v for b, v in buckets.items() if b not in touched}
+        )

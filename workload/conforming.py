@@ -17,7 +17,7 @@ from waitlens.plans import gold, silver
 from waitlens.session import scratch_path
 from waitlens.sources.lake import write_partitions
 from waitlens.sources.seeds import area_deprivation
-from waitlens.sources.store import VersionedTable
+from waitlens.sources.store import VersionedTable, range_bucket
 from workload.registry import query
 from workload.roles import TEST_KEY, Roles, digits_sql, hmac_sql, latest_sql, mod11_sql, utc_sql
 
@@ -64,7 +64,9 @@ def b3(r: Roles) -> DataFrame:
     added = rows.where(k % 50 == 1).select(
         (-1 - k).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice"
     )
-    table = VersionedTable(r.spark, scratch_path(r.spark, "upsert"), ["o_orderkey"])
+    table = VersionedTable(
+        r.spark, scratch_path(r.spark, "upsert"), ["o_orderkey"], range_bucket("o_orderkey")
+    )
     table.write(rows.where(k % 3 != 0))
     table.upsert(changed.unionByName(added), ["o_orderkey"])
     return table.read()

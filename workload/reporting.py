@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waitlens.plans import reports
 from waitlens.session import scratch_path
-from waitlens.sources.store import VersionedTable
+from waitlens.sources.store import VersionedTable, range_bucket
 from waitlens.streaming import incremental, monitor
 from workload.registry import query, rounded
 from workload.roles import Roles, latest_sql
@@ -255,7 +255,7 @@ def h1(r: Roles) -> DataFrame:
     base = scratch_path(r.spark, "stream")
     rows = r.raw("lineitem")
     late = F.col("l_shipdate") >= F.lit("1998-06-01").cast("timestamp_ntz")
-    table = VersionedTable(r.spark, f"{base}/table", keys)
+    table = VersionedTable(r.spark, f"{base}/table", keys, range_bucket("l_orderkey"))
     for drop in (rows.where(~late), rows.where(late)):
         drop.write.mode("append").parquet(f"{base}/bronze")
         new = incremental.read_new_files(r.spark, f"{base}/bronze", rows.schema)
