@@ -33,6 +33,8 @@ def test_bronze_round_trip_prunes_dates(spark, tmp_path):
     assert {r.diagnosis_id for r in df.collect()} == {1, 5, 9, 13, 17}
     assert "PartitionFilters: [isnotnull(ingest_date" in df._jdf.queryExecution().executedPlan().toString()
     assert lake.read_bronze(spark, str(tmp_path), ENTITIES["referrals"]).count() == 0
+    listed = lake.listed_partitions(spark, str(tmp_path))
+    assert {(r.entity, r.ingest_date.day) for r in listed.collect()} == {("diagnoses", d) for d in (1, 2, 3, 4)}
 
 
 def test_writing_a_date_again_replaces_only_that_date(spark, tmp_path):
@@ -86,6 +88,19 @@ def test_land_csv_header_only(spark, tmp_path):
     assert df.columns == ["id", "v", "file_name"] and df.count() == 0
 
 
+def test_land_csv_refuses_differing_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,v\n1,a\n")
+    (tmp_path / "b.csv").write_text("v,id\nb,2\n")
+    with pytest.raises(Exception, match="header"):
+        drops.land_csv(spark, str(tmp_path)).collect()
+
+
+def test_land_csv_split_reading(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,v\n1,nan\n2,\n")
+    rows = drops.land_csv(spark, str(tmp_path), ["id", "v"], multi_line=False).collect()
+    assert {(r.id, r.v) for r in rows} == {("1", "nan"), ("2", "")}
+
+
 def test_exports_are_found_and_landed(spark, tmp_path):
     root = tmp_path / "orders"
     assert drops.export_dates(spark, str(root)) == []

@@ -23,7 +23,7 @@ from waitlens.operators.quality import (
 )
 from waitlens.plans.gold import build_gold
 from waitlens.plans.silver import MODELS, Context
-from waitlens.session import settle
+from waitlens.session import hide_key_material, settle
 from waitlens.sources.exports import export_gold, read_runs, write_runs
 from waitlens.sources.lake import read_bronze, slice_by_date, snapshot, write_bronze
 from waitlens.sources.manifests import (
@@ -164,6 +164,7 @@ def run_day(
     suites: Mapping[str, list[Check]] = GATE_SUITES,
 ) -> date:
     """One complete run. Without a date it takes the one after the last complete day."""
+    hide_key_material(spark)
     if run_date is None:
         row = next_business_date(
             read_manifests(spark, paths.manifests).where(F.col("source").isin(list(sources)))

@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # The pads of a keyed hash are key material; keep literals of that shape out of
     # the UI, plan strings and event logs.
     "spark.sql.redaction.string.regex": r"(?i)X'[0-9a-f]{128}'|0x[0-9a-f]{128}|\[[0-9A-F]{2}( [0-9A-F]{2}){63}\]",
@@ -32,6 +33,13 @@ def build_session(app: str = "waitlens", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def hide_key_material(spark: SparkSession) -> None:
+    """Redact hash pads from plan text in a session built elsewhere."""
+    name = "spark.sql.redaction.string.regex"
+    if not spark.conf.get(name, None):
+        spark.conf.set(name, SETTINGS[name])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -4,46 +4,57 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from waitlens.sources.files import partition_values
 
 
+def _text_reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    """CSV as text: nothing becomes NULL by its spelling, bad bytes are replaced.
+
+    Headers are checked in every file: files whose columns differ or are in another
+    order fail instead of landing under the wrong names.
+    """
+    return (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("multiLine", multi_line)
+        .option("encoding", "UTF-8")
+        .option("escape", '"')
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
+        .option("nullValue", "\u0000")
+        .option("emptyValue", "")
+    )
+
+
+def _text(name: str, empty_as_null: bool = False) -> Column:
+    kept = F.coalesce(F.col(f"`{name}`"), F.lit(""))
+    return (F.nullif(kept, F.lit("")) if empty_as_null else kept).alias(name)
+
+
 def land_csv(
     spark: SparkSession,
     path: str,
     columns: list[str] | None = None,
     empty_as_null: bool = False,
     recursive: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Every column as text, named by the header, plus the ``file_name`` of each row.
 
     Undecodable bytes are replaced, quoted line breaks kept, and files that are not CSV
     ignored. Without ``columns`` the header of the drop names them, so a file with a
     header only lands as no rows with the right columns. Empty fields stay empty text
-    unless ``empty_as_null``.
+    unless ``empty_as_null``. A file with quoted line breaks is read by one task; set
+    ``multi_line=False`` to split large files that have none.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("encoding", "UTF-8")
-        .option("escape", '"')
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .option("recursiveFileLookup", recursive)
-        .option("nullValue", "\u0000")
-        .option("emptyValue", "")
-    )
+    reader = _text_reader(spark, multi_line).option("recursiveFileLookup", recursive)
     if columns is not None:
-        reader = reader.option("enforceSchema", False).schema(", ".join(f"`{c}` STRING" for c in columns))
+        reader = reader.schema(", ".join(f"`{c}` STRING" for c in columns))
     rows = reader.csv(path)
-    names = rows.columns
-
-    def text(name: str):
-        kept = F.coalesce(F.col(f"`{name}`"), F.lit(""))
-        return (F.nullif(kept, F.lit("")) if empty_as_null else kept).alias(name)
-
-    return rows.select(*[text(n) for n in names], F.col("_metadata.file_name").alias("file_name"))
+    name = F.col("_metadata.file_name").alias("file_name")
+    return rows.select(*[_text(c, empty_as_null) for c in rows.columns], name)
 
 
 def export_dates(spark: SparkSession, root: str) -> list[date]:
@@ -52,7 +63,9 @@ def export_dates(spark: SparkSession, root: str) -> list[date]:
     return sorted(date(int(v[:4]), int(v[4:6]), int(v[6:])) for v in found)
 
 
-def land_exports(spark: SparkSession, root: str, only: date | None = None) -> DataFrame | None:
+def land_exports(
+    spark: SparkSession, root: str, only: date | None = None, multi_line: bool = True
+) -> DataFrame | None:
     """All exports (or one), each row under its export date as ``ingest_date``.
 
     None when there is nothing to land: the caller records the source as skipped.
@@ -61,21 +74,12 @@ def land_exports(spark: SparkSession, root: str, only: date | None = None) -> Da
     if not days:
         return None
     pattern = f"{root.rstrip('/')}/export_date={{{','.join(d.strftime('%Y%m%d') for d in days)}}}"
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .option("nullValue", "\u0000")
-        .option("emptyValue", "")
-    )
-    rows = reader.csv(pattern)
+    rows = _text_reader(spark, multi_line).csv(pattern)
     if not rows.columns:
         return None
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"export_date=([0-9]{8})/", 1)
     return rows.select(
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns],
-        F.to_date(folder, "yyyyMMdd").alias("ingest_date"),
+        *[_text(c) for c in rows.columns], F.to_date(folder, "yyyyMMdd").alias("ingest_date")
     )
 
 

@@ -8,9 +8,9 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.contracts import Entity
+from waitlens.contracts import ENTITIES, Entity
 from waitlens.functions.parsing import parse_as
-from waitlens.sources.files import exists
+from waitlens.sources.files import exists, partition_values
 
 
 def bronze_path(lake: str, entity: Entity) -> str:
@@ -147,6 +147,19 @@ def backfill_by_file_name(df: DataFrame, start: date, name_col: str = "file_name
     return df.where(day.isNotNull()).withColumn("ingest_date", clamp_to(day, start)).drop(name_col)
 
 
+def listed_partitions(
+    spark: SparkSession, lake: str, entities: Iterable[Entity] = tuple(ENTITIES.values())
+) -> DataFrame:
+    """(entity, ingest_date) of every landed partition, from folder names alone."""
+    found = [
+        (e.name, date.fromisoformat(d))
+        for e in entities
+        for d in partition_values(spark, bronze_path(lake, e), "ingest_date")
+        if d[:1].isdigit()
+    ]
+    return spark.createDataFrame(found, "entity string, ingest_date date")
+
+
 def missing_partitions(
     present: DataFrame, names: Sequence[str], first: date, last: date
 ) -> DataFrame:

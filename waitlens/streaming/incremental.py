@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from waitlens.operators.conform import dedup_latest
+from waitlens.session import settle
 from waitlens.sources.store import VersionedTable
 
 
@@ -42,7 +43,8 @@ def upsert_stream(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         latest = dedup_latest(batch, keys, order_by, tiebreak)
-        target.upsert(latest if conform is None else conform(latest), keys)
+        # Checked for repeated keys, assigned to buckets and merged: compute it once.
+        target.upsert(settle(latest if conform is None else conform(latest)), keys)
 
     return (
         new_rows.writeStream.foreachBatch(merge)
