@@ -227,3 +227,33 @@ def test_calendar(spark):
     assert (row.year, row.quarter, row.month_label, row.day_of_week, row.is_weekend) == (
         2024, 1, "Jan 2024", 0, True,
     )
+
+
+def test_a_hot_key_is_split_by_the_adaptive_skew_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        row = F.col("id")
+        facts = spark.range(0, 300_000, 1, 8).select(
+            row, F.when(row % 3 == 0, 7).otherwise(row % 5000).alias("patient_id"), F.sha2(row.cast("string"), 256).alias("x")
+        )
+        vault = spark.range(5000).select(row.alias("patient_id"), F.concat(F.lit("sk"), row).alias("patient_sk"))
+        joined = conform.resolve_key(facts, vault, F.col("patient_id"), ["id"])
+        got = joined.groupBy((F.col("patient_sk") == "sk7").alias("hot")).agg(
+            F.count("id").alias("n"), F.max("x")
+        )
+        counts = {r.hot: r.n for r in got.collect()}
+        assert counts[True] == 100_000 + sum(1 for i in range(300_000) if i % 3 and i % 5000 == 7)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
