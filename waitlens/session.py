@@ -16,7 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # The pads of a keyed hash are key material; keep literals of that shape out of
     # the UI, plan strings and event logs.
     "spark.sql.redaction.string.regex": r"(?i)X'[0-9a-f]{128}'|0x[0-9a-f]{128}|\[[0-9A-F]{2}( [0-9A-F]{2}){63}\]",
@@ -45,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local-mode session may fall back on a temporary folder of this machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -61,9 +60,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint."""
+    """Compute ``df`` once: write it to the shared folder and go on from there.
+
+    The written table cuts the lineage and survives lost executors like a checkpoint, but
+    later steps read only the columns they need and joins know its size. The files live
+    under one folder per application, to be deleted when the application is done.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, f"settled-{spark.sparkContext.applicationId}/t")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

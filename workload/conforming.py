@@ -49,39 +49,40 @@ def b2(r: Roles) -> DataFrame:
 
 @query(
     "b3_upsert",
-    """WITH batch AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice+1 AS o_totalprice FROM orders WHERE o_orderkey%4=0
-                      UNION ALL SELECT -1-o_orderkey, 'N', o_totalprice FROM orders WHERE o_orderkey%50=1),
-          target AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey%3<>0)
-       SELECT * FROM batch UNION ALL SELECT * FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)""",
+    """WITH batch AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice+1 AS o_totalprice FROM orders WHERE o_orderstatus='P'
+                      UNION ALL SELECT -1-o_orderkey, 'N', o_totalprice FROM orders WHERE o_orderstatus='F')
+       SELECT * FROM batch UNION ALL
+       SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)""",
 )
 def b3(r: Roles) -> DataFrame:
-    """Two committed versions of a table: the second one merges a batch."""
-    k = F.col("o_orderkey")
+    """A table of all orders, and a batch that changes some and adds others."""
     rows = r.raw("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    changed = rows.where(k % 4 == 0).select(
-        k, F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice")
+    changed = rows.where("o_orderstatus = 'P'").select(
+        "o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice")
     )
-    added = rows.where(k % 50 == 1).select(
-        (-1 - k).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice"
+    added = rows.where("o_orderstatus = 'F'").select(
+        (-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice"
     )
     table = VersionedTable(
         r.spark, scratch_path(r.spark, "upsert"), ["o_orderkey"], range_bucket("o_orderkey")
     )
-    table.write(rows.where(k % 3 != 0))
+    table.write(rows)
     table.upsert(changed.unionByName(added), ["o_orderkey"])
     return table.read()
 
 
 @query(
     "b4_sync_schema",
-    """SELECT o_orderkey, o_orderstatus, NULL::VARCHAR AS note FROM orders WHERE o_orderkey%2=1
-       UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey%2=0""",
+    """SELECT o_orderkey, o_orderstatus, NULL::VARCHAR AS note FROM orders
+       UNION ALL SELECT -1-o_orderkey, o_orderstatus, o_orderpriority FROM orders""",
 )
 def b4(r: Roles) -> DataFrame:
     """A batch with a new and without an old column."""
     k = F.col("o_orderkey")
-    target = r.raw("orders").where(k % 2 == 1).select(k, "o_orderstatus", "o_totalprice")
-    batch = r.raw("orders").where(k % 2 == 0).select(k, "o_orderstatus", F.col("o_orderpriority").alias("note"))
+    target = r.raw("orders").select(k, "o_orderstatus", "o_totalprice")
+    batch = r.raw("orders").select(
+        (-1 - k).alias("o_orderkey"), "o_orderstatus", F.col("o_orderpriority").alias("note")
+    )
     return conform.sync_schema(target, batch).unionByName(batch)
 
 
