@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,7 +99,7 @@ class WordTable(dict):
 
 def slices(batch: pa.RecordBatch, column: int, budget: int = 8 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch holding about ``budget`` bytes of the text column each."""
-    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     total = np.cumsum(lengths)
     start = 0
     while start < len(lengths):

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat, mixing, packing
+from waitlens.llm import chat, mixing, neardup, packing
 from waitlens.llm.common import read, text_or_empty
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,3 +89,8 @@ def op2_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_mix_sources")
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+@query("op9_near_duplicates")
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), shingle=4)
