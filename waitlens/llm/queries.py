@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat, mixing, neardup, packing
+from waitlens.llm import chat, mixing, neardup, packing, vectors
 from waitlens.llm.common import read, text_or_empty
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,3 +94,29 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_near_duplicates")
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), shingle=4)
+
+
+# Links among all pairs of a label, then the smallest vertex each one reaches.
+_VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+), usable AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id AS root, vec_id FROM v
+  UNION SELECT r.root, l.w FROM reach r JOIN links l ON l.u = r.vec_id
+), least AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+degrees AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least USING (vec_id) LEFT JOIN degrees ON u = v.vec_id
+"""
+
+
+@query("op5_near_vectors", _VECTORS_SQL)
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
