@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat, mixing, neardup, packing, vectors
+from waitlens.llm import chat, mixing, neardup, packing, quality, vectors
 from waitlens.llm.common import read, text_or_empty
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -120,3 +120,8 @@ FROM v JOIN least USING (vec_id) LEFT JOIN degrees ON u = v.vec_id
 @query("op5_near_vectors", _VECTORS_SQL)
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query("op10_line_quality")
+def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
