@@ -6,10 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat, mixing, neardup, packing, quality, vectors
+from waitlens.llm import chat, credentials, mixing, neardup, packing, quality, vectors
 from waitlens.llm.common import read, text_or_empty
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -125,3 +125,24 @@ def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_line_quality")
 def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.scan(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*credentials.BASE))
+    named = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+    def count(field: str, value: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s[field] == value)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count("kind", k).alias(f"n_{k}") for k in credentials.BASE],
+        F.sha2(named(base), 256).alias("base_sha256"),
+        named(F.col("spans")).alias("spans"),
+        count("verdict", "live").alias("n_live"),
+        count("verdict", "example").alias("n_example"),
+    )
