@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat, credentials, mixing, neardup, packing, quality, vectors
+from waitlens.llm import chat, credentials, mixing, neardup, packing, quality, surrogates, vectors
 from waitlens.llm.common import read, text_or_empty
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -146,3 +146,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count("verdict", "live").alias("n_live"),
         count("verdict", "example").alias("n_example"),
     )
+
+
+#: A key invented for these queries; a real one comes from a secret store.
+SURROGATE_KEY = b"an invented key for the registered queries"
+
+
+@query("op7_surrogates")
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.counted(docs, SURROGATE_KEY).select("row.doc_id", "row.text", "n_entities")
