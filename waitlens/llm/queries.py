@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat, credentials, mixing, neardup, packing, quality, surrogates, vectors
+from waitlens.llm import chat, credentials, mixing, neardup, packing, phrases, quality, surrogates, vectors
 from waitlens.llm.common import read, text_or_empty
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -156,3 +156,8 @@ SURROGATE_KEY = b"an invented key for the registered queries"
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.counted(docs, SURROGATE_KEY).select("row.doc_id", "row.text", "n_entities")
+
+
+@query("op8_phrase_fingerprints")
+def op8_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.compare_neighbours(read(spark, sf_dir, "documents"))
