@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat, credentials, mixing, neardup, packing, phrases, quality, surrogates, vectors
+from waitlens.llm import chat, credentials, licenses, mixing, neardup, packing, phrases, quality, surrogates, vectors
 from waitlens.llm.common import read, text_or_empty
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -161,3 +161,20 @@ def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_phrase_fingerprints")
 def op8_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.compare_neighbours(read(spark, sf_dir, "documents"))
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read(spark, sf_dir, "documents"))
+    words = F.col("places.word")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct("places.label")), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
