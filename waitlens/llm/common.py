@@ -29,13 +29,13 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = scratch_path(spark, f"{label}-{spark.sparkContext.applicationId}")
-        self._paths: dict[int, str] = {}
+        self._made = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/t{len(self._paths)}"
+        path = f"{self.root}/t{self._made}"
+        self._made += 1
         df.write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(kept)] = path
         kept._scratch_path = path
         return kept
 
