@@ -132,8 +132,13 @@ def mix(
     share: float = SHARE,
     repeats: int = REPEATS,
     seed: int = 17,
+    carry: str | None = None,
 ) -> DataFrame:
-    """(id, source, size, source_size, target, copies, taken), one row per document."""
+    """(doc_id, source, size, source_size, target, copies, taken), one row per document.
+
+    ``carry`` names a column to hand through, for a caller whose ids are not unique.
+    """
+    carried = [] if carry is None else [F.col(carry).alias("_carry")]
     scratch = Scratch(docs.sparkSession, "mix")
     key = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
     order = F.xxhash64(F.lit(seed), F.col(id_col))
@@ -143,6 +148,7 @@ def mix(
             key.alias("_key"),
             order.alias("_order"),
             size_of(F.col(text_col)).alias("_size"),
+            *carried,
         ).withColumn("_part", F.pmod(F.shiftrightunsigned("_order", 33), F.lit(PARTS)).cast("int"))
     )
     parts = scratch.keep(sized.groupBy("_key", "_size", "_part").agg(F.count("*").alias("_n")))
@@ -191,4 +197,5 @@ def mix(
         "target",
         copies.alias("copies"),
         (copies * F.col("_size")).alias("taken"),
+        *([] if carry is None else [F.col("_carry").alias(carry)]),
     )
