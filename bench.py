@@ -18,6 +18,7 @@ from tests.session import local_session
 from waitlens.contracts import ENTITIES
 from waitlens.operators.quality import row_count
 from waitlens.plans import daily, silver
+from waitlens.plans.suites import GOLD_SUITES
 from waitlens.session import scratch_path
 from workload.queries import REGISTRY
 from workload.roles import TEST_KEY, Roles
@@ -62,11 +63,13 @@ def whole_day(spark, sf_dir: str) -> None:
         spark,
         daily.Paths(scratch_path(spark, "bench-lake")),
         sources,
-        silver.Context(TEST_KEY, missing_reason="missing"),
+        silver.Context(TEST_KEY),
         date(2024, 6, 1),
         mode="snapshot",
         # The test data has more unusable numbers than the standard gate lets pass.
         suites=daily.GATE_SUITES | {t: [row_count(1)] for t in ("encounters", "referrals")},
+        # Some of its patients have no sex, so one stratum has no name.
+        gold_suites=GOLD_SUITES | {"fct_inequality": [row_count(1)]},
     )
 
 

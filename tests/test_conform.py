@@ -11,7 +11,8 @@ from waitlens.contracts import ENTITIES
 from waitlens.operators import conform
 from waitlens.operators.dims import calendar, dense_key
 from waitlens.plans import silver
-from waitlens.sources.store import VersionedTable, hash_bucket, range_bucket
+from waitlens.sources import store
+from waitlens.sources.store import VersionedTable, digits_bucket, hash_bucket, range_bucket
 
 
 def test_increment_marks(spark):
@@ -103,8 +104,8 @@ def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     table.write(spark.createDataFrame([(i, "old") for i in range(40)], "k int, v string"))
     batch = [(15, "new", 1), (17, "new", 1), (41, "new", 1)]
     table.upsert(spark.createDataFrame(batch, "k int, v string, extra int"), ["k"])
-    folders = {p.name for p in (tmp_path / "t" / "v=00000002").iterdir() if p.is_dir()}
-    assert folders == {"_bucket=1", "_bucket=4"}
+    folders = [{p.name for p in a.iterdir() if p.is_dir()} for a in (tmp_path / "t" / "data").iterdir()]
+    assert {"_bucket=1", "_bucket=4"} in folders and len(folders) == 2
     rows = {r.k: (r.v, r.extra) for r in table.read().collect()}
     want = {i: ("old", None) for i in range(40)} | {k: (v, e) for k, v, e in batch}
     assert rows == want
@@ -113,13 +114,75 @@ def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
 
 def test_buckets_take_missing_and_text_keys(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), (), hash_bucket("k", 3))
-    batch = spark.createDataFrame([(None, 1)] + [(f"k{i}", i) for i in range(20)], "k string, v int")
+    batch = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, v int")
     table.upsert(batch, ["k"])
     table.upsert(spark.createDataFrame([("k3", 33)], "k string, v int"), ["k"])
     rows = {r.k: r.v for r in table.read().collect()}
-    assert rows == {None: 1} | {f"k{i}": i for i in range(20)} | {"k3": 33}
+    assert rows == {f"k{i}": i for i in range(20)} | {"k3": 33}
     table.upsert(spark.createDataFrame([], "k string, v int"), ["k"])
-    assert table.read().count() == 21
+    assert table.read().count() == 20
+    with pytest.raises(conform.MissingKeyError):
+        table.upsert(spark.createDataFrame([(None, 1)], "k string, v int"), ["k"])
+
+
+def test_the_stored_bucket_rule_stands(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(i, "old") for i in range(40)], "k int, v string")
+    VersionedTable(spark, path, (), range_bucket("k", 10)).write(rows)
+    other = VersionedTable(spark, path, (), range_bucket("k", 3))
+    other.upsert(spark.createDataFrame([(7, "new")], "k int, v string"), ["k"])
+    assert other.rule().size == 10
+    assert sorted(r.v for r in other.read().where("k = 7").collect()) == ["new"] and other.read().count() == 40
+    with pytest.raises(ValueError, match="rebucket"):
+        VersionedTable(spark, path, (), hash_bucket("k", 3)).upsert(rows, ["k"])
+    other.rebucket(hash_bucket("k", 3))
+    assert other.rule().kind == "hash" and other.read().count() == 40
+
+
+def test_bucket_sizes_follow_the_first_version(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "BUCKET_ROWS", 10)
+    rows = spark.createDataFrame([(f"A{i * 1000}", i) for i in range(40)], "k string, v int")
+    table = VersionedTable(spark, str(tmp_path / "t"), (), digits_bucket("k"))
+    table.upsert(rows, ["k"])
+    assert table.rule().size == 9751
+    table.upsert(spark.createDataFrame([("A1000", -1), ("none", -2)], "k string, v int"), ["k"])
+    assert table.read().where("v < 0").count() == 2 and table.read().count() == 41
+
+
+def test_a_changed_type_rewrites_the_table(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), (), range_bucket("k", 10))
+    table.write(spark.createDataFrame([(i, i) for i in range(30)], "k int, v int"))
+    table.upsert(spark.createDataFrame([(3, "three")], "k int, v string"), ["k"])
+    rows = {r.k: r.v for r in table.read().collect()}
+    assert rows == {i: str(i) for i in range(30)} | {3: "three"}
+
+
+def test_one_of_two_writers_commits(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.createDataFrame([(1,)], "k int"))
+    batch = spark.createDataFrame([(2,)], "k int")
+    table._commit(batch, 1, table.bucket, {}, [])
+    with pytest.raises(store.ConcurrentWriteError):
+        table._commit(batch, 1, table.bucket, {}, [])
+    assert table.versions() == [1, 2]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
+
+
+def test_old_versions_expire(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), (), range_bucket("k", 10))
+    table.write(spark.createDataFrame([(i, 0) for i in range(30)], "k int, v int"))
+    for n in range(4):
+        table.upsert(spark.createDataFrame([(5, n)], "k int, v int"), ["k"])
+    table.expire(2)
+    assert table.versions() == [4, 5] and table.read().count() == 30 and table.read(4).count() == 30
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 3
+
+
+def test_partitions_that_land_late_are_new():
+    day = lambda n: date(2024, 1, n)
+    assert conform.new_partitions([day(1), day(3), day(2)], [day(1), day(3)]) == [day(2)]
+    assert conform.new_partitions([day(1), day(2), day(3)], [day(1), day(2), day(3)], lookback_days=1) == [day(3)]
+    assert conform.new_partitions([day(2), day(1)], []) == [day(1), day(2)]
 
 
 def test_upsert_refuses_a_repeated_key(spark, tmp_path):
@@ -132,7 +195,8 @@ def test_upsert_refuses_a_repeated_key(spark, tmp_path):
 def test_an_unfinished_version_is_invisible(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     table.write(spark.createDataFrame([(1,)], "k int"))
-    (tmp_path / "t" / "v=00000002").mkdir()
+    (tmp_path / "t" / "data" / "unfinished" / "_bucket=0").mkdir(parents=True)
+    (tmp_path / "t" / "layouts" / "00000002.json.x.draft").write_text("{")
     assert table.versions() == [1]
     assert table.read().count() == 1
 
@@ -148,7 +212,7 @@ def patients(spark, rows):
     return spark.createDataFrame(full, ENTITIES["patient_demographics"].schema())
 
 
-CTX = silver.Context(b"k")
+CTX = silver.Context(b"k", missing_reason=None)
 
 
 def test_filter_order_differs_between_valid_and_quarantine(spark):
@@ -165,7 +229,7 @@ def test_filter_order_differs_between_valid_and_quarantine(spark):
 def test_missing_number_is_valid_unless_named(spark):
     rows = patients(spark, [(1, None, 1)])
     assert [r.patient_sk for r in silver.patient_identifiers(rows, CTX).collect()] == [None]
-    strict = silver.Context(b"k", missing_reason="missing")
+    strict = silver.Context(b"k")
     assert silver.patient_identifiers(rows, strict).count() == 0
     assert [r.rejection_reason for r in silver.patients_quarantine(rows, strict).collect()] == ["missing"]
 

@@ -77,7 +77,15 @@ def test_first_match_keeps_microseconds_and_old_dates(spark):
 def test_first_match_joins_on_equality_alone(spark):
     _, _, left, right = _requests_and_events(spark, 1)
     plan = first_match(left, right.hint("merge"), "who", "day", "at", "gap")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join LeftOuter, ((who" in plan and ">=" not in plan.split("Join LeftOuter")[1].splitlines()[0]
+    condition = plan.split("Join LeftOuter")[1].splitlines()[0]
+    assert "who" in condition and "day" in condition and ">=" not in condition
+
+
+def test_requests_without_a_key_are_scattered(spark):
+    _, _, left, right = _requests_and_events(spark, 1)
+    joined = first_match(left, right.hint("merge"), "who", "day", "at", "gap")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert any("hashpartitioning(who" in p and "_scatter" in p for p in plan.splitlines())
 
 
 def test_milestones_and_breach_limits(spark):

@@ -64,7 +64,8 @@ def test_backfill_by_file_name(spark, tmp_path):
         "20260116_appointments.csv": "id,v\n",
     }.items():
         (tmp_path / name).write_text(body)
-    dated = lake.backfill_by_file_name(drops.land_csv(spark, str(tmp_path)), date(2025, 6, 3))
+    dated, rejected = lake.backfill_by_file_name(drops.land_csv(spark, str(tmp_path)), date(2025, 6, 3))
+    assert {r.id for r in rejected.collect()} == {"3", "4"}
     assert {(r.id, r.ingest_date) for r in dated.collect()} == {("1", date(2026, 1, 15)), ("2", date(2025, 6, 3))}
     assert "file_name" not in dated.columns
 
@@ -73,12 +74,12 @@ def test_land_csv_keeps_text(spark, tmp_path):
     body = 'id,note,empty\n1,"a, ""quoted""\nline",\n2,nan,\n'.encode() + b"3,bad \xff byte,x\n"
     (tmp_path / "one.CSV").write_bytes(body)
     (tmp_path / "ignored.txt").write_text("not,a,csv\n")
-    rows = {r.id: r for r in drops.land_csv(spark, str(tmp_path)).collect()}
+    rows = {r.id: r for r in drops.land_csv(spark, str(tmp_path), multi_line=True).collect()}
     assert set(rows) == {"1", "2", "3"}
     assert rows["1"].note == 'a, "quoted"\nline' and rows["1"].empty == ""
     assert rows["2"].note == "nan" and rows["3"].note == "bad � byte"
     assert rows["1"].file_name == "one.CSV"
-    nulls = {r.id: r.empty for r in drops.land_csv(spark, str(tmp_path), empty_as_null=True).collect()}
+    nulls = {r.id: r.empty for r in drops.land_csv(spark, str(tmp_path), empty_as_null=True, multi_line=True).collect()}
     assert nulls == {"1": None, "2": None, "3": "x"}
 
 

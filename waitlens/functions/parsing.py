@@ -16,9 +16,12 @@ def parse_boolean(col: Column) -> Column:
 
 
 def parse_whole_number(col: Column) -> Column:
-    """Whole numbers, also when written ``7.0``; anything else -> NULL."""
-    value = col.cast("string").try_cast("decimal(38,6)")
-    return F.when(value == F.floor(value), value).try_cast("bigint")
+    """Whole numbers, also when written ``7.0``; anything else -> NULL.
+
+    The text decides: a fraction counts however small it is, so nothing is rounded.
+    """
+    text = F.trim(col.cast("string"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.substring_index(text, ".", 1)).try_cast("bigint")
 
 
 def parse_as(col: Column, kind: str, mode: str = "permissive") -> Column:

@@ -15,6 +15,10 @@ class DuplicateKeyError(ValueError):
     """An upsert batch holds the same key more than once."""
 
 
+class MissingKeyError(ValueError):
+    """An upsert batch holds a row without a key."""
+
+
 def high_water_mark(target: DataFrame | None, col: str = "_ingest_date") -> date | None:
     """Largest loaded partition date; None for a missing or an empty target."""
     return None if target is None else target.agg(F.max(col)).first()[0]
@@ -37,6 +41,19 @@ def increment(
     return source.where(F.col(col) > F.lit(mark - timedelta(days=lookback_days)))
 
 
+def new_partitions(
+    available: Iterable[date], loaded: Iterable[date], lookback_days: int = 0
+) -> list[date]:
+    """Landed partitions not loaded yet, however late they landed, oldest first.
+
+    ``lookback_days`` adds loaded ones of that many days before the newest loaded, for
+    partitions that were landed again.
+    """
+    done = set(loaded)
+    since = max(done) - timedelta(days=lookback_days) if done and lookback_days else None
+    return sorted(d for d in set(available) if d not in done or (since is not None and d > since))
+
+
 def dedup_latest(
     df: DataFrame,
     keys: Sequence[str],
@@ -147,9 +164,18 @@ def sync_schema(target: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a key repeats. Looks at one offending key only."""
-    clash = df.groupBy(*keys).count().where("count > 1").limit(1).collect()
+def require_unique(df: DataFrame, keys: Sequence[str], known: bool = False) -> None:
+    """Raise when a key is missing or repeats. Looks at one offending key only.
+
+    ``known``: the keys are unique by the way the frame was made, so no shuffle is spent on
+    that and only missing ones are looked for.
+    """
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    if not df.where(missing).isEmpty():
+        raise MissingKeyError(f"a row has no key {tuple(keys)}")
+    clash = [] if known else df.groupBy(*keys).count().where("count > 1").limit(1).collect()
     if clash:
         raise DuplicateKeyError(f"key {tuple(keys)} repeats, for instance {clash[0].asDict()}")
 

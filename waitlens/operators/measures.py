@@ -36,6 +36,9 @@ def first_match(
     reduced to the earliest event per (key, day) - partly before the shuffle - and the
     join becomes an equi-join with at most one partner per request.
 
+    Requests without a key cannot match; they are scattered by their other columns, so
+    they do not meet in one task per day.
+
     The instant and the slack used are packed into one long, whose minimum is the
     earliest instant and, within it, the largest slack, that is the smallest gap.
     """
@@ -65,8 +68,18 @@ def first_match(
         "_key", "_day", from_epoch("MICROSECOND", instant).alias("matched_at"),
         used.cast("int").alias("_used"),
     )
-    on = (requests[key] == best["_key"]) & (requests[request_day] == best["_day"])
-    joined = requests.join(best, on, "left")
+    # A second key: constant where there is a key to match, computed from it on the right so
+    # that the optimizer keeps it among the join keys.
+    loose = [F.col(c) for c in requests.columns if c != key]
+    scatter = F.when(F.col(key).isNull(), F.xxhash64(*loose)).otherwise(F.lit(0).cast("bigint"))
+    asked = requests.withColumn("_scatter", scatter)
+    best = best.withColumn("_still", F.pmod(F.xxhash64("_key"), F.lit(1).cast("bigint")))
+    on = (
+        (asked[key] == best["_key"])
+        & (asked[request_day] == best["_day"])
+        & (asked["_scatter"] == best["_still"])
+    )
+    joined = asked.join(best, on, "left").drop("_scatter", "_still")
     gap = days_between(F.col("_day"), F.col("matched_at")) - F.col("_used")
     return joined.withColumn("matched_gap", gap).drop("_key", "_day", "_used")
 

@@ -208,7 +208,7 @@ def run_suites(
                     "run_status": "FAILED",
                     "failure_count": -1,
                     "run_id": run_id,
-                    "details": f"{type(problem).__name__}: {problem}"[:4000],
+                    "details": f"{type(problem).__name__}: {problem}",
                 }
             )
     return spark.createDataFrame(rows, RUN_DDL)

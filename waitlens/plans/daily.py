@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
-from datetime import date
+from datetime import UTC, date, datetime
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitlens.contracts import ENTITIES, SEX_CODES
-from waitlens.operators.conform import high_water_mark, increment
+from waitlens.operators.conform import new_partitions
 from waitlens.operators.quality import (
     Check,
     distinct_in_set,
@@ -23,10 +25,12 @@ from waitlens.operators.quality import (
 )
 from waitlens.plans.gold import build_gold
 from waitlens.plans.silver import MODELS, Context
-from waitlens.session import hide_key_material, settle
+from waitlens.plans.suites import GOLD_SUITES
+from waitlens.session import hide_key_material, settle, settled_folder
 from waitlens.sources.exports import export_gold, read_runs, write_runs
-from waitlens.sources.lake import read_bronze, slice_by_date, snapshot, write_bronze
+from waitlens.sources.lake import landed_dates, read_bronze, slice_by_date, snapshot, write_bronze
 from waitlens.sources.manifests import (
+    RESULT_DDL,
     already_done,
     build_manifests,
     next_business_date,
@@ -46,11 +50,16 @@ GATE_SUITES: dict[str, list[Check]] = {
 }
 
 
+#: Models conformed side by side, and versions of a conformed table kept after a run.
+MODELS_AT_ONCE, VERSIONS_KEPT = 4, 2
+
+
 @dataclass(frozen=True)
 class Paths:
     """Folders of one environment, all on storage every executor reaches."""
 
     lake: str
+    env: str = "dev"
 
     @property
     def manifests(self) -> str:
@@ -72,7 +81,7 @@ def ingest_source(
     spark: SparkSession,
     paths: Paths,
     source: str,
-    tables: Mapping[str, Callable[[], DataFrame]],
+    tables: Mapping[str, Callable[[], DataFrame | None]],
     run_date: date,
     mode: str = "business_date",
     fail_fast: bool = True,
@@ -81,54 +90,84 @@ def ingest_source(
 
     ``business_date`` keeps only rows of that date (entities without a business date land
     whole); ``snapshot`` lands the full tables. A date whose newest manifest is a success
-    is skipped. Returns success, failed or skipped.
+    is skipped. A loader that returns None had nothing to land. Returns success, failed or
+    skipped.
     """
     if mode not in ("business_date", "snapshot"):
         raise ValueError(f"unknown mode: {mode!r}")
     if already_done(read_manifests(spark, paths.manifests), source, run_date):
         return "skipped"
-    run_id = str(uuid.uuid4())
+    run_id, started = str(uuid.uuid4()), _now()
     items = []
     for name, load in tables.items():
         entity = ENTITIES[name]
         try:
             rows = load()
+            if rows is None:
+                items.append((source, run_date, run_id, name, "skipped", None))
+                continue
             if mode == "business_date" and entity.business_date:
                 rows = slice_by_date(rows, entity.business_date, run_date)
             write_bronze(snapshot(rows, run_date), paths.lake, entity)
             items.append((source, run_date, run_id, name, "success", None))
         except (PySparkException, OSError) as problem:
-            items.append((source, run_date, run_id, name, "failed", str(problem)[:4000]))
+            items.append((source, run_date, run_id, name, "failed", str(problem)))
             if fail_fast:
                 break
-    results = spark.createDataFrame(
-        items,
-        "source string, ingest_date date, run_id string, item string, status string, error string",
-    )
+    return record(spark, paths, items, started, inputs=list(tables))
+
+
+def record(
+    spark: SparkSession, paths: Paths, items: Sequence[tuple], started: datetime, inputs: Sequence[str] = ()
+) -> str:
+    """Write the manifests of item results (source, date, run, item, status, error).
+
+    Returns the status over all of them.
+    """
+    outputs = [f"{i[3]}/ingest_date={i[1]}" for i in items if i[4] == "success"]
+    idle = "nothing to land" if all(i[4] == "skipped" for i in items) else None
+    told = (paths.env, started, _now(), idle, list(inputs), outputs)
+    results = spark.createDataFrame([(*i, *told) for i in items], RESULT_DDL)
     write_manifests(build_manifests(results), paths.manifests)
-    return "failed" if any(i[4] == "failed" for i in items) else "success"
+    statuses = {i[4] for i in items}
+    return "failed" if "failed" in statuses else "success" if "success" in statuses else "skipped"
+
+
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
 
 
 def conform(
     spark: SparkSession, paths: Paths, ctx: Context, lookback_days: int = 0
 ) -> dict[str, DataFrame]:
-    """Upsert every conformed table with the Bronze partitions it has not loaded."""
+    """Upsert every conformed table with the Bronze partitions it has not loaded.
+
+    Each table's layout records the partitions it holds, so one that lands late is loaded
+    when it comes, and nothing is scanned to find out. The vault is conformed first; the
+    other models do not depend on each other and run side by side.
+    """
     areas = area_deprivation(spark)
     vault = VersionedTable(spark, paths.silver("patient_identifiers"))
-    ordered = sorted(MODELS, key=lambda m: m != "patient_identifiers")
-    for name in ordered:
+
+    def one(name: str) -> None:
         model = MODELS[name]
+        entity = ENTITIES[model.source]
         table = VersionedTable(spark, paths.silver(name), model.sort_by, model.bucket)
-        current = table.read()
-        fresh = increment(
-            read_bronze(spark, paths.lake, ENTITIES[model.source]),
-            high_water_mark(current),
-            lookback_days=lookback_days,
-        )
+        days = new_partitions(landed_dates(spark, paths.lake, entity), table.loaded(), lookback_days)
+        if not days and table.versions():
+            return
+        fresh = read_bronze(spark, paths.lake, entity, days)
         extra = {"areas": areas, "vault": vault.read(), "": None}[model.needs]
         batch = model.build(fresh, ctx) if extra is None else model.build(fresh, extra, ctx)
-        # The batch is checked for duplicate keys and then merged: compute it once.
-        table.upsert(settle(batch), [model.merge_key])
+        # The batch is checked for its keys and then merged: compute it once.
+        table.upsert(settle(batch), [model.merge_key], loaded=days)
+        table.expire(VERSIONS_KEPT)
+
+    one("patient_identifiers")
+    with ThreadPoolExecutor(MODELS_AT_ONCE) as pool:
+        tasks = [pool.submit(copy_context().run, one, n) for n in MODELS if n != "patient_identifiers"]
+        for task in tasks:
+            task.result()
     return {m: VersionedTable(spark, paths.silver(m)).read() for m in MODELS}
 
 
@@ -146,10 +185,22 @@ def validate(
 
 
 def publish(
-    spark: SparkSession, paths: Paths, silver: Mapping[str, DataFrame], run_date: date
+    spark: SparkSession,
+    paths: Paths,
+    silver: Mapping[str, DataFrame],
+    run_date: date,
+    suites: Mapping[str, list[Check]] = GOLD_SUITES,
 ) -> dict[str, DataFrame]:
-    """Build the star schema and export it under the run date."""
-    gold = build_gold(spark, silver)
+    """Build the star schema, test it, and export it under the run date.
+
+    The tables are settled first: the tests and the export read the same rows, computed
+    once. Nothing is exported when a test fails.
+    """
+    gold = {name: settle(df) for name, df in build_gold(spark, silver).items()}
+    runs = run_suites(spark, gold, suites, str(uuid.uuid4()), run_date)
+    write_runs(runs, f"{paths.quality}_gold")
+    if suites:
+        require_gate(read_runs(spark, f"{paths.quality}_gold"), run_date)
     export_gold(gold, paths.exports, run_date)
     return gold
 
@@ -162,8 +213,18 @@ def run_day(
     run_date: date | None = None,
     mode: str = "business_date",
     suites: Mapping[str, list[Check]] = GATE_SUITES,
+    lookback_days: int = 0,
+    gold_suites: Mapping[str, list[Check]] = GOLD_SUITES,
 ) -> date:
-    """One complete run. Without a date it takes the one after the last complete day."""
+    """One complete run. Without a date it takes the one after the last complete day.
+
+    Intermediate tables of the run are deleted when it ends.
+    """
+    with settled_folder(spark):
+        return _run_day(spark, paths, sources, ctx, run_date, mode, suites, lookback_days, gold_suites)
+
+
+def _run_day(spark, paths, sources, ctx, run_date, mode, suites, lookback_days, gold_suites) -> date:
     hide_key_material(spark)
     if run_date is None:
         row = next_business_date(
@@ -178,7 +239,7 @@ def run_day(
     ]
     if failed:
         raise RuntimeError(f"ingestion failed for {', '.join(failed)}; see the manifests")
-    silver = conform(spark, paths, ctx)
+    silver = conform(spark, paths, ctx, lookback_days)
     validate(spark, paths, silver, run_date, suites)
-    publish(spark, paths, silver, run_date)
+    publish(spark, paths, silver, run_date, gold_suites)
     return run_date

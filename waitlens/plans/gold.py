@@ -116,18 +116,19 @@ def fct_wait_times(
     attended = encounters.where("was_attended").select(
         "patient_sk", "encounter_datetime_start", "wait_time_days"
     )
-    treated = first_match(
-        base, attended, "patient_sk", "referral_date", "encounter_datetime_start", "wait_time_days"
-    )
     tests = milestones(
         diagnostics,
         "referral_id",
         "request_date",
         {"dm01_request_date": "request_date", "dm01_result_date": "result_date"},
     )
-    tested = treated.join(tests, "referral_id", "left")
+    # By referral first, while the referrals still lie as they were read.
+    tested = base.join(tests, "referral_id", "left")
+    treated = first_match(
+        tested, attended, "patient_sk", "referral_date", "encounter_datetime_start", "wait_time_days"
+    )
     placed = left_join_on(
-        tested,
+        treated,
         sites.select("provider_id", "site_sk"),
         F.col("target_provider_id"),
         "provider_id",

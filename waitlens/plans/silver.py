@@ -24,7 +24,7 @@ from waitlens.operators.conform import (
     resolve_key,
     with_audit,
 )
-from waitlens.sources.store import hash_bucket, range_bucket
+from waitlens.sources.store import Bucket, digits_bucket, hash_bucket, range_bucket
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,9 @@ class Context:
 
     key: bytes
     as_of: Column | None = None
-    missing_reason: str | None = None
+    #: Why a patient without a number is quarantined. None counts the number as valid, as
+    #: published; such a patient has no surrogate, and an upsert by surrogate refuses it.
+    missing_reason: str | None = "missing"
 
     def __repr__(self) -> str:
         return "Context(key=<hidden>)"
@@ -318,9 +320,11 @@ class Model:
     sort_by: tuple[str, ...] = ()
 
     @property
-    def bucket(self) -> Column:
-        """Row ids are handed out in order; surrogates and codes are not."""
-        ordered = self.merge_key.endswith("_id") and self.merge_key != "appointment_id"
+    def bucket(self) -> Bucket:
+        """Row ids are handed out in order, also behind a letter; surrogates and codes are not."""
+        if self.merge_key == "appointment_id":
+            return digits_bucket(self.merge_key)
+        ordered = self.merge_key.endswith("_id")
         return range_bucket(self.merge_key) if ordered else hash_bucket(self.merge_key)
 
 

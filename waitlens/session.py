@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,16 +44,17 @@ def hide_key_material(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back on a temporary folder of this machine.
+    Where it is unset, a session whose executors are threads of this process uses a folder
+    next to its warehouse; any other must be told.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local[") and context.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="waitlens-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared")
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -59,14 +62,38 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("settled folder", default=None)
+
+
+@contextmanager
+def settled_folder(spark: SparkSession) -> Iterator[str]:
+    """Tables settled inside the block live in one folder, which goes when the block ends.
+
+    Threads started inside see it if they run in a copy of the context.
+    """
+    folder = scratch_path(spark, f"settled-{spark.sparkContext.applicationId}/run")
+    token = _FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _FOLDER.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once: write it to the shared folder and go on from there.
 
     The written table cuts the lineage and survives lost executors like a checkpoint, but
-    later steps read only the columns they need and joins know its size. The files live
-    under one folder per application, to be deleted when the application is done.
+    later steps read only the columns they need and joins know its size. The files live in
+    the ``settled_folder`` around the call, or else under one folder per application, to be
+    deleted when the application is done.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"settled-{spark.sparkContext.applicationId}/t")
+    folder = _FOLDER.get()
+    if folder is None:
+        path = scratch_path(spark, f"settled-{spark.sparkContext.applicationId}/t")
+    else:
+        path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.sources.files import partition_values
+from waitlens.sources.files import files, first_line, partition_values
 
 
 def _text_reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
@@ -35,19 +36,19 @@ def _text(name: str, empty_as_null: bool = False) -> Column:
 
 def land_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     columns: list[str] | None = None,
     empty_as_null: bool = False,
     recursive: bool = False,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Every column as text, named by the header, plus the ``file_name`` of each row.
 
     Undecodable bytes are replaced, quoted line breaks kept, and files that are not CSV
     ignored. Without ``columns`` the header of the drop names them, so a file with a
     header only lands as no rows with the right columns. Empty fields stay empty text
-    unless ``empty_as_null``. A file with quoted line breaks is read by one task; set
-    ``multi_line=False`` to split large files that have none.
+    unless ``empty_as_null``. Large files are split among tasks; files with quoted line
+    breaks cannot be, and need ``multi_line=True``.
     """
     reader = _text_reader(spark, multi_line).option("recursiveFileLookup", recursive)
     if columns is not None:
@@ -57,6 +58,24 @@ def land_csv(
     return rows.select(*[_text(c, empty_as_null) for c in rows.columns], name)
 
 
+def land_mixed_csv(
+    spark: SparkSession, path: str, empty_as_null: bool = False, multi_line: bool = False
+) -> DataFrame | None:
+    """A drop whose files differ in columns or their order, landed under one set of columns.
+
+    Only the first line of each file is read to tell the headers apart; files of one header
+    are landed together. A column a file lacks is NULL in its rows. None for no files.
+    """
+    by_header: dict[str, list[str]] = {}
+    for name in files(spark, path):
+        if name.lower().endswith(".csv"):
+            by_header.setdefault(first_line(spark, f"{path}/{name}"), []).append(f"{path}/{name}")
+    landed = [
+        land_csv(spark, found, None, empty_as_null, False, multi_line) for header, found in by_header.items() if header
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), landed) if landed else None
+
+
 def export_dates(spark: SparkSession, root: str) -> list[date]:
     """Dates of the ``export_date=YYYYMMDD`` folders, ascending."""
     found = [v for v in partition_values(spark, root, "export_date") if len(v) == 8 and v.isdigit()]
@@ -64,7 +83,7 @@ def export_dates(spark: SparkSession, root: str) -> list[date]:
 
 
 def land_exports(
-    spark: SparkSession, root: str, only: date | None = None, multi_line: bool = True
+    spark: SparkSession, root: str, only: date | None = None, multi_line: bool = False
 ) -> DataFrame | None:
     """All exports (or one), each row under its export date as ``ingest_date``.
 
@@ -83,10 +102,14 @@ def land_exports(
     )
 
 
-def inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Name, size and SHA-256 of every file, hashed where the file is read."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(
+def inventory(spark: SparkSession, path: str, with_path: bool = False) -> DataFrame:
+    """Name, size and SHA-256 of every file, hashed where the file is read.
+
+    A file passes through one task whole, so it must be smaller than 2 GB.
+    """
+    found = spark.read.format("binaryFile").load(path)
+    return found.select(
+        *["path"] * with_path,
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length").alias("bytes"),
         F.sha2("content", 256).alias("sha256"),

@@ -141,10 +141,21 @@ def file_date(name: Column) -> Column:
     return F.when(stem.rlike("^[0-9]{8}$"), F.try_to_timestamp(stem, F.lit("yyyyMMdd"))).cast("date")
 
 
-def backfill_by_file_name(df: DataFrame, start: date, name_col: str = "file_name") -> DataFrame:
-    """Date each row by the file it came from; files without a date are left out."""
+def backfill_by_file_name(
+    df: DataFrame, start: date, name_col: str = "file_name"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows dated by the file they came from, rows of files whose name holds no date)."""
     day = file_date(F.col(name_col))
-    return df.where(day.isNotNull()).withColumn("ingest_date", clamp_to(day, start)).drop(name_col)
+    return (
+        df.where(day.isNotNull()).withColumn("ingest_date", clamp_to(day, start)).drop(name_col),
+        df.where(day.isNull()),
+    )
+
+
+def landed_dates(spark: SparkSession, lake: str, entity: Entity) -> list[date]:
+    """Dates of an entity's landed partitions, from folder names alone."""
+    found = partition_values(spark, bronze_path(lake, entity), "ingest_date")
+    return [date.fromisoformat(d) for d in found if d[:1].isdigit()]
 
 
 def listed_partitions(
@@ -152,10 +163,7 @@ def listed_partitions(
 ) -> DataFrame:
     """(entity, ingest_date) of every landed partition, from folder names alone."""
     found = [
-        (e.name, date.fromisoformat(d))
-        for e in entities
-        for d in partition_values(spark, bronze_path(lake, e), "ingest_date")
-        if d[:1].isdigit()
+        (e.name, d) for e in entities for d in landed_dates(spark, lake, e)
     ]
     return spark.createDataFrame(found, "entity string, ingest_date date")
 

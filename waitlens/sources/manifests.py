@@ -10,24 +10,40 @@ from pyspark.sql import functions as F
 
 from waitlens.sources.files import exists
 
-ITEM_DDL = "item string, status string, error string"
-MANIFEST_DDL = (
-    "source string, env string, run_id string, ingest_date date, started_at timestamp_ntz, "
-    "finished_at timestamp_ntz, status string, error array<string>, reason string, "
-    f"items array<struct<{ITEM_DDL.replace(' string', ':string')}>>, "
-    "items_succeeded bigint, items_failed bigint"
-)
+#: What a run of a source is told about besides its items; absent ones are NULL.
+RUN_FIELDS = {
+    "env": "string",
+    "started_at": "timestamp_ntz",
+    "finished_at": "timestamp_ntz",
+    "reason": "string",
+    "inputs": "array<string>",
+    "outputs": "array<string>",
+}
+ITEM_RESULTS = "source string, ingest_date date, run_id string, item string, status string, error string"
+RESULT_DDL = ", ".join([ITEM_RESULTS, *(f"{n} {t}" for n, t in RUN_FIELDS.items())])
 
 
 def build_manifests(results: DataFrame) -> DataFrame:
     """One manifest per run from its item results.
 
-    ``results`` has (source, ingest_date, run_id, item, status, error). A run failed when
-    an item did. Items of a run are the tables or files of one source on one date.
+    ``results`` has (source, ingest_date, run_id, item, status, error) and may have the
+    ``RUN_FIELDS``. A run failed when an item did, and was skipped when all items were.
+    Items of a run are the tables or files of one source on one date.
     """
     failed = F.col("status") == "failed"
+    skipped = F.count_if(F.col("status") == "skipped") == F.count("*")
+    given = {n: F.col(n) if n in results.columns else F.lit(None) for n in RUN_FIELDS}
+    told = {
+        "env": F.max(given["env"].cast("string")),
+        "started_at": F.min(given["started_at"].cast("timestamp_ntz")),
+        "finished_at": F.max(given["finished_at"].cast("timestamp_ntz")),
+        "reason": F.max(given["reason"].cast("string")),
+        "inputs": F.array_sort(F.array_distinct(F.flatten(F.collect_list(given["inputs"].cast("array<string>"))))),
+        "outputs": F.array_sort(F.array_distinct(F.flatten(F.collect_list(given["outputs"].cast("array<string>"))))),
+    }
     return results.groupBy("source", "ingest_date", "run_id").agg(
-        F.when(F.count_if(failed) > 0, "failed").otherwise("success").alias("status"),
+        F.when(F.count_if(failed) > 0, "failed").when(skipped, "skipped").otherwise("success").alias("status"),
+        *[c.alias(n) for n, c in told.items()],
         F.sort_array(F.collect_list(F.when(failed, F.col("error")))).alias("error"),
         F.sort_array(F.collect_list(F.struct("item", "status", "error"))).alias("items"),
         F.count_if(F.col("status") == "success").alias("items_succeeded"),

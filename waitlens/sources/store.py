@@ -1,35 +1,85 @@
 """Versioned Parquet tables whose upserts rewrite only the buckets they touch.
 
-Rows live in folders ``v=00000001/_bucket=3``; the bucket is a function of the merge key.
-A version is its layout file: schema, and for each bucket the version that wrote it last.
-An upsert reads and rewrites the buckets its batch falls into and lists the others where
-they are, so its cost follows the batch. Whole numbers handed out in order make good
-buckets by range (new rows touch the last ones), text keys by hash.
-
-The layout file is written last. Until it exists the version is invisible, nothing is ever
+Rows live in folders ``data/<attempt>/_bucket=3``; every write has an attempt folder of its
+own. A version is its layout file: schema, bucket rule, the folder of each bucket, and what
+has been loaded. An upsert reads and rewrites the buckets its batch falls into and lists the
+others where they are, so its cost follows the batch. Whole numbers and ids with a running
+number make good buckets by range (new rows touch the last ones), other keys by hash.
+
+The bucket rule is fixed with the first version and read from the layout afterwards: a key
+must go on to the bucket its old row is in. The layout file is written last and only if its
+number is still free, so of two writers one commits and the other fails; nothing is ever
 overwritten in place, and a lost executor only repeats tasks.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import math
+import uuid
+from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass, replace
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from waitlens.functions.identifiers import digits_only
 from waitlens.operators.conform import require_unique, upsert
-from waitlens.sources.files import exists, read_text, subfolders, write_text
+from waitlens.sources.files import create_text, delete, files, read_text
+
+#: Rows of a bucket aimed at when the first version chooses the bucket size.
+BUCKET_ROWS = 5_000_000
+
+
+@dataclass(frozen=True)
+class Bucket:
+    """A rule from key to bucket number. Size 0: the first version chooses it."""
+
+    kind: str = "whole"
+    key: str = ""
+    size: int = 0
+
+    def _number(self) -> Column:
+        if self.kind == "digits":
+            return digits_only(F.col(self.key)).try_cast("bigint")
+        return F.col(self.key).cast("bigint")
+
+    def column(self) -> Column:
+        if self.kind == "whole":
+            return F.lit(0).cast("bigint")
+        if self.kind == "hash":
+            return F.pmod(F.xxhash64(self.key), F.lit(self.size)).cast("bigint")
+        return F.coalesce(F.floor(self._number() / self.size), F.lit(-1)).cast("bigint")
 
+    def sized_for(self, df: DataFrame) -> Bucket:
+        """The rule with a size for the rows of a first version."""
+        if self.size or self.kind == "whole":
+            return self
+        if self.kind == "hash":
+            return replace(self, size=max(1, math.ceil(df.count() / BUCKET_ROWS)))
+        rows, low, high = df.agg(F.count("*"), F.min(self._number()), F.max(self._number())).first()
+        span = 1 if low is None else high - low + 1
+        return replace(self, size=max(1, math.ceil(span / max(1, math.ceil(rows / BUCKET_ROWS)))))
 
-def range_bucket(key: str, width: int = 50_000_000) -> Column:
-    """Bucket of a whole-number key; NULL has its own."""
-    return F.coalesce(F.floor(F.col(key) / width), F.lit(-1)).cast("bigint")
 
+def range_bucket(key: str, width: int = 0) -> Bucket:
+    """Ranges of a whole-number key."""
+    return Bucket("range", key, width)
 
-def hash_bucket(key: str, count: int = 16) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(count)).cast("bigint")
+
+def digits_bucket(key: str, width: int = 0) -> Bucket:
+    """Ranges of the running number in a text key such as ``A000123``."""
+    return Bucket("digits", key, width)
+
+
+def hash_bucket(key: str, count: int = 0) -> Bucket:
+    return Bucket("hash", key, count)
+
+
+class ConcurrentWriteError(RuntimeError):
+    """Another writer committed the version this one was about to commit."""
 
 
 class VersionedTable:
@@ -38,32 +88,56 @@ class VersionedTable:
         spark: SparkSession,
         path: str,
         sort_by: Sequence[str] = (),
-        bucket: Column | None = None,
+        bucket: Bucket | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.sort_by = tuple(sort_by)
-        self.bucket = F.lit(0).cast("bigint") if bucket is None else bucket
+        self.bucket = bucket or Bucket()
 
     def _layout_path(self, version: int) -> str:
-        return f"{self.path}/v={version:08d}/_layout.json"
+        return f"{self.path}/layouts/{version:08d}.json"
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first."""
-        numbers = [int(n[2:]) for n in subfolders(self.spark, self.path) if n.startswith("v=")]
-        return [n for n in numbers if exists(self.spark, self._layout_path(n))]
-
-    def _layout(self, version: int) -> tuple[StructType, dict[int, int]]:
-        stored = json.loads(read_text(self.spark, self._layout_path(version)))
-        return (
-            StructType.fromJson(stored["schema"]),
-            {int(b): v for b, v in stored["buckets"].items()},
-        )
-
-    def _scan(self, schema: StructType, buckets: dict[int, int]) -> DataFrame:
-        if not buckets:
+        names = files(self.spark, f"{self.path}/layouts")
+        return sorted(int(n.removesuffix(".json")) for n in names if n[:8].isdigit() and n.endswith(".json"))
+
+    def _layout(self, version: int) -> dict:
+        return json.loads(read_text(self.spark, self._layout_path(version)))
+
+    def _newest(self) -> tuple[int, dict | None]:
+        have = self.versions()
+        return (have[-1], self._layout(have[-1])) if have else (0, None)
+
+    def rule(self) -> Bucket:
+        """The bucket rule of the stored table, or the one a first version would start from.
+
+        A stored size stands whatever size was asked for; another key or kind is refused.
+        """
+        _, layout = self._newest()
+        if layout is None:
+            return self.bucket
+        stored = Bucket(**layout["rule"])
+        asked = self.bucket
+        if asked.kind != "whole" and (asked.kind, asked.key) != (stored.kind, stored.key):
+            raise ValueError(f"{self.path} is bucketed by {stored}, not {asked}; see rebucket")
+        return stored
+
+    def loaded(self) -> list[date]:
+        """The source partitions earlier upserts have recorded."""
+        _, layout = self._newest()
+        return [] if layout is None else [date.fromisoformat(d) for d in layout["loaded"]]
+
+    def _scan(self, layout: dict, only: set[int] | None = None) -> DataFrame:
+        schema = StructType.fromJson(layout["schema"])
+        folders = [
+            f"{self.path}/data/{attempt}/_bucket={b}"
+            for b, attempt in sorted(layout["buckets"].items())
+            if only is None or int(b) in only
+        ]
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        folders = [f"{self.path}/v={v:08d}/_bucket={b}" for b, v in sorted(buckets.items())]
         return self.spark.read.schema(schema).parquet(*folders)
 
     def read(self, version: int | None = None) -> DataFrame | None:
@@ -74,46 +148,81 @@ class VersionedTable:
         chosen = have[-1] if version is None else version
         if chosen not in have:
             raise ValueError(f"no version {chosen} of {self.path}")
-        return self._scan(*self._layout(chosen))
-
-    def _commit(self, df: DataFrame, kept: dict[int, int]) -> int:
-        """Write ``df`` as the next version, next to the buckets kept from earlier ones."""
-        have = self.versions()
-        number = (have[-1] if have else 0) + 1
-        folder = f"{self.path}/v={number:08d}"
-        rows = df.withColumn("_bucket", self.bucket).hint("rebalance", "_bucket")
+        return self._scan(self._layout(chosen))
+
+    def _commit(
+        self, df: DataFrame, after: int, rule: Bucket, kept: dict[str, str], loaded: Iterable[date]
+    ) -> int:
+        """Write ``df`` and commit it, with the buckets kept, as the version after ``after``."""
+        attempt = uuid.uuid4().hex
+        folder = f"{self.path}/data/{attempt}"
+        rows = df.withColumn("_bucket", rule.column()).hint("rebalance", "_bucket")
         if self.sort_by:
             rows = rows.sortWithinPartitions("_bucket", *self.sort_by)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "_bucket"
-        ).parquet(folder)
+        rows.write.partitionBy("_bucket").parquet(folder)
         written = [
-            int(n.removeprefix("_bucket="))
-            for n in subfolders(self.spark, folder)
-            if n.startswith("_bucket=")
+            n.removeprefix("_bucket=") for n in files(self.spark, folder) if n.startswith("_bucket=")
         ]
-        layout = {**kept, **{b: number for b in written}}
-        text = json.dumps({"schema": df.schema.jsonValue(), "buckets": layout})
-        write_text(self.spark, self._layout_path(number), text)
-        return number
-
-    def write(self, df: DataFrame) -> int:
-        """Commit ``df`` as the whole next version."""
-        return self._commit(df, {})
-
-    def upsert(self, batch: DataFrame, keys: Sequence[str]) -> int:
-        """Merge a batch by key. Its keys must be unique; see ``require_unique``.
-
-        Buckets without batch rows stay in the files they are in; columns they lack read
-        as NULL under the new schema.
+        layout = {
+            "schema": df.schema.jsonValue(),
+            "rule": asdict(rule),
+            "buckets": {**kept, **{b: attempt for b in written}},
+            "loaded": sorted(d.isoformat() for d in loaded),
+        }
+        if not create_text(self.spark, self._layout_path(after + 1), json.dumps(layout)):
+            delete(self.spark, folder)
+            raise ConcurrentWriteError(f"version {after + 1} of {self.path} was committed by another writer")
+        return after + 1
+
+    def write(self, df: DataFrame, loaded: Iterable[date] = ()) -> int:
+        """Commit ``df`` as the whole next version; a stored bucket rule stays."""
+        after, layout = self._newest()
+        rule = self.rule() if layout else self.bucket.sized_for(df)
+        return self._commit(df, after, rule, {}, loaded)
+
+    def rebucket(self, rule: Bucket) -> int:
+        """Rewrite the whole table under another rule."""
+        after, layout = self._newest()
+        if layout is None:
+            raise ValueError(f"{self.path} has no version yet")
+        df = self._scan(layout)
+        self.bucket = rule.sized_for(df)
+        return self._commit(df, after, self.bucket, {}, self.loaded())
+
+    def upsert(
+        self, batch: DataFrame, keys: Sequence[str], unique: bool = False, loaded: Iterable[date] = ()
+    ) -> int:
+        """Merge a batch by key and record the source partitions it came from.
+
+        Its keys must be unique and not NULL; ``unique`` says that they are unique by the
+        way the batch was made, which spares the check. Buckets without batch rows stay in
+        the files they are in; columns they lack read as NULL under the new schema. When
+        a column changes its type, all buckets are rewritten.
         """
-        require_unique(batch, keys)
+        require_unique(batch, keys, known=unique)
+        after, layout = self._newest()
+        if layout is None:
+            return self._commit(batch, 0, self.bucket.sized_for(batch), {}, loaded)
+        rule = self.rule()
+        before = {f.name: f.dataType for f in StructType.fromJson(layout["schema"])}
+        retyped = any(before.get(f.name, f.dataType) != f.dataType for f in batch.schema)
+        if retyped:
+            touched = {int(b) for b in layout["buckets"]}
+        else:
+            touched = {r[0] for r in batch.select(rule.column().alias("b")).distinct().collect()}
+        kept = {b: a for b, a in layout["buckets"].items() if int(b) not in touched}
+        merged = upsert(self._scan(layout, touched), batch, keys)
+        done = {*(date.fromisoformat(d) for d in layout["loaded"]), *loaded}
+        return self._commit(merged, after, rule, kept, done)
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete all but the newest versions and the data only they refer to."""
         have = self.versions()
-        if not have:
-            return self._commit(batch, {})
-        schema, buckets = self._layout(have[-1])
-        touched = {r[0] for r in batch.select(self.bucket.alias("b")).distinct().collect()}
-        current = self._scan(schema, {b: v for b, v in buckets.items() if b in touched})
-        return self._commit(
-            upsert(current, batch, keys), {b: v for b, v in buckets.items() if b not in touched}
-        )
+        old, new = have[:-keep], have[-keep:]
+        used = {a for v in new for a in self._layout(v)["buckets"].values()}
+        unused = {a for v in old for a in self._layout(v)["buckets"].values()} - used
+        # Layouts first: a reader then finds either a whole version or none.
+        for v in old:
+            delete(self.spark, self._layout_path(v))
+        for attempt in unused:
+            delete(self.spark, f"{self.path}/data/{attempt}")

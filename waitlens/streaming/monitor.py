@@ -57,11 +57,12 @@ def staleness(
     counts = kept.groupBy(F.col(event).alias("event"), hour.alias("hour")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    every = Window.partitionBy()
-    spans = counts.groupBy("event").agg(F.min("hour").alias("_lo"), F.max("hour").alias("_hi"))
-    last = F.max("_hi").over(every) if until is None else hour_start(until)
-    hours = spans.select("event", F.min("_lo").over(every).alias("_a"), last.alias("_b")).select(
-        "event", F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 HOUR"))).alias("hour")
+    # The range is two values; each event's hours are then laid out where the event is.
+    first, last = counts.agg(F.min("hour"), F.max("hour")).first()
+    begin = F.lit(first).cast("timestamp_ntz")
+    end = F.lit(last).cast("timestamp_ntz") if until is None else hour_start(until)
+    hours = counts.select("event").distinct().select(
+        "event", F.explode(F.sequence(begin, end, F.expr("INTERVAL 1 HOUR"))).alias("hour")
     )
     recent = Window.partitionBy("event").orderBy("hour").rowsBetween(-(periods - 1), 0)
     filled = hours.join(counts, ["event", "hour"], "left").select(

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.contracts import ENTITIES, GOLD_AGE_BANDS, SEX_CODES
+from waitlens.contracts import ENTITIES, GOLD_AGE_BANDS, SEX_CODES, TEXT_KEY_ENTITIES
 from waitlens.operators import profiling, readiness
 from waitlens.operators.quality import (
+    Check,
     accepted_values,
     between,
     distinct_in_set,
@@ -23,6 +25,8 @@ from waitlens.operators.quality import (
     unique,
 )
 from waitlens.plans.daily import GATE_SUITES
+from waitlens.plans.suites import GOLD_SUITES, SILVER_SUITES
+from waitlens.session import settle
 from workload.registry import query, rounded
 from workload.roles import Roles
 
@@ -122,12 +126,11 @@ def e6(r: Roles) -> DataFrame:
 
 @query(
     "e7_not_null_mostly",
-    """SELECT 'patient_id' AS column_name, count(*) AS evaluated, count(*) FILTER (patient_sk IS NULL) AS failed,
+    """SELECT 'patient_sk' AS column_name, count(*) AS evaluated, count(*) FILTER (patient_sk IS NULL) AS failed,
          count(patient_sk) >= 0.80*count(*) AS passed FROM s_referrals""",
 )
 def e7(r: Roles) -> DataFrame:
-    checked = _verdicts(r, r.s_referrals, not_null("patient_sk", mostly=0.80))
-    return checked.withColumn("column_name", F.lit("patient_id"))
+    return _verdicts(r, r.s_referrals, not_null("patient_sk", mostly=0.80))
 
 
 @query(
@@ -178,6 +181,64 @@ def e9(r: Roles) -> DataFrame:
     return _suite_runs(r).select("table_name", "run_status", "failure_count")
 
 
+# Where each tested table is in Spark and in SQL.
+_TESTED = {
+    "patients": ("s_patients", "s_patients"), "patient_identifiers": ("vault", "s_vault"),
+    "patients_quarantine": ("s_quarantine", "s_quarantine"), "encounters": ("s_encounters", "s_encounters"),
+    "referrals": ("s_referrals", "s_referrals"), "diagnoses": ("s_diagnoses", "s_diagnoses"),
+    "diagnostics_orders": ("s_diagnostics", "s_diagnostics"), "appointments": ("s_appointments", "s_appointments"),
+    "urgent_care": ("s_urgent", "s_urgent"), "providers": ("s_providers", "s_providers"),
+    "dim_patient": ("dim_patient", "dim_patient"), "dim_site": ("dim_site", "dim_site"),
+    "dim_specialty": ("dim_specialty", "dim_specialty"), "fct_wait_times": ("waits", "fct_wait_times"),
+    "fct_urgent_care": ("urgent", "fct_urgent_care"), "fct_utilisation": ("utilisation", "fct_utilisation"),
+    "fct_inequality": ("inequality", "fct_inequality"),
+}
+
+
+def _literal(value) -> str:
+    return str(value) if not isinstance(value, str) else f"'{value}'"
+
+
+def check_sql(table: str, source: str, check: Check) -> str:
+    """One declared check, said in SQL."""
+    scope = check.where or "TRUE"
+    column = check.columns[0] if check.columns else ""
+    rows = f"count(*) FILTER ({scope})"
+    if check.kind in ("unique", "compound_unique"):
+        some = f"{column} IS NOT NULL" if check.kind == "unique" else "TRUE"
+        counts = f"coalesce(sum(n), 0) AS evaluated, count(*) FILTER (n > 1) AS failed FROM (SELECT count(*) AS n FROM {source} WHERE {some} GROUP BY {', '.join(check.columns)})"
+    else:
+        bad = {
+            "row_count": "FALSE",
+            "not_null": f"{column} IS NULL",
+            "accepted_values": f"{column} NOT IN ({', '.join(map(_literal, check.values))})",
+            "between": f"{column} NOT BETWEEN {check.low} AND {check.high}",
+        }[check.kind]
+        counts = f"{rows} AS evaluated, count(*) FILTER (({scope}) AND {bad}) AS failed FROM {source}"
+    if check.kind == "row_count":
+        ok = f"evaluated >= {check.low}" + (f" AND evaluated <= {check.high}" if check.high else "")
+    else:
+        ok = "failed = 0"
+    return (
+        f"SELECT '{table}' AS table_name, '{check.kind}' AS check_name, '{check.label}' AS column_name, '{check.severity}' AS severity, "
+        f"CAST(evaluated AS BIGINT) AS evaluated, failed, {ok} AS passed FROM (SELECT {counts})"
+    )
+
+
+_DECLARED = {n: c for n, c in (SILVER_SUITES | GOLD_SUITES).items() if n in _TESTED}
+
+
+@query(
+    "e9_declared_checks",
+    " UNION ALL ".join(check_sql(n, _TESTED[n][1], c) for n, checks in _DECLARED.items() for c in checks),
+)
+def e9_declared(r: Roles) -> DataFrame:
+    """Every declared test of every table that follows the data, a row each."""
+    # Settled: each table is scanned once per grouped check.
+    parts = [run_checks(settle(getattr(r, _TESTED[n][0])), n, checks) for n, checks in _DECLARED.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "e9_severity",
     """SELECT 'silver' AS table_name, 'PASSED' AS run_status, 0 AS failure_count FROM b_patients
@@ -247,28 +308,32 @@ def f1(r: Roles) -> DataFrame:
     return readiness.completeness(r.spark, _six(r)).drop("check_name")
 
 
-@query(
-    "f2_primary_keys",
+_KEYS_SQL = (
     " UNION ALL ".join(
         f"SELECT '{n}' AS entity, 'nulls='||(count(*)-count({ENTITIES[n].pk}))||', duplicates='||"
         f"(count(*)-count(DISTINCT {ENTITIES[n].pk})-CAST(count(*)>count({ENTITIES[n].pk}) AS INT))||', rows='||count(*) AS detail, "
         f"count(*)=count(DISTINCT {ENTITIES[n].pk}) AS passed FROM {t}"
         for n, t in _TABLES
-    ),
+    )
 )
+
+
+@query("f2_primary_keys", _KEYS_SQL)
 def f2(r: Roles) -> DataFrame:
     return readiness.primary_keys(r.spark, r.bronze).drop("check_name")
 
 
-@query(
-    "f3_null_rates",
+_NULLS_SQL = (
     """SELECT 'encounters' AS entity, FALSE AS passed, 'column=patient_id nulls='||(count(*)-count(patient_id)) AS detail
          FROM b_encounters HAVING count(*)>count(patient_id)
        UNION ALL SELECT 'referrals', FALSE, 'column=target_provider_id nulls='||(count(*)-count(target_provider_id))
          FROM b_referrals HAVING count(*)>count(target_provider_id)
        UNION ALL SELECT 'patient_demographics', TRUE, 'WARN column=registration_end_date nulls='||(count(*)-count(registration_end_date))
-         FROM b_patients HAVING (count(*)-count(registration_end_date))*100.0/count(*)>50""",
+         FROM b_patients HAVING (count(*)-count(registration_end_date))*100.0/count(*)>50"""
 )
+
+
+@query("f3_null_rates", _NULLS_SQL)
 def f3(r: Roles) -> DataFrame:
     return readiness.null_rates(r.spark, r.bronze).drop("check_name")
 
@@ -276,19 +341,29 @@ def f3(r: Roles) -> DataFrame:
 _PARENTS = {n: t for n, t in _TABLES}
 
 
-@query(
-    "f4_references",
+_REFERENCES_SQL = (
     " UNION ALL ".join(
         f"SELECT '{c}' AS entity, '{cc} -> {p}.{pc}: orphans='||count(*) FILTER (k.id IS NULL)||'/'||count(*) AS detail, "
         f"count(*) FILTER (k.id IS NULL)=0 AS passed FROM (SELECT DISTINCT CAST({cc} AS VARCHAR) AS id FROM {_PARENTS[c]} WHERE {cc} IS NOT NULL) h "
         f"LEFT JOIN (SELECT DISTINCT CAST({pc} AS VARCHAR) AS id FROM {_PARENTS[p]}) k ON k.id=h.id"
         for c, cc, p, pc in readiness.FOREIGN_KEYS
-    ),
+    )
 )
+
+
+@query("f4_references", _REFERENCES_SQL)
 def f4(r: Roles) -> DataFrame:
     return readiness.references(r.spark, r.bronze).drop("check_name")
 
 
+_OTHER_SPANS = (
+    "SELECT 'urgent_care_logs', "
+    + ", ".join(
+        f"{pick}({','.join(f'{end}({c})' for c in ('arrival_datetime', 'triage_datetime', 'seen_by_clinician_datetime', 'departure_datetime', 'created_at', 'updated_at'))})"
+        for pick, end in (("least", "min"), ("greatest", "max"))
+    )
+    + " FROM b_urgent",
+)
 _SPANS = " UNION ALL ".join(
     (
         "SELECT 'patient_demographics' AS entity, min(updated_at) AS lo, max(updated_at) AS hi FROM b_patients",
@@ -298,41 +373,77 @@ _SPANS = " UNION ALL ".join(
         "greatest(max(referral_datetime),max(created_at),max(updated_at)) FROM b_referrals",
         "SELECT 'diagnoses', least(min(coded_datetime),min(clinical_datetime),min(created_at),min(updated_at)), "
         "greatest(max(coded_datetime),max(clinical_datetime),max(created_at),max(updated_at)) FROM b_diagnoses",
+        *_OTHER_SPANS,
     )
 )
 
 
-@query(
-    "f5_date_overlap",
+_OVERLAP_SQL = (
     f"""WITH s AS ({_SPANS}), o AS (SELECT max(lo) AS a, min(hi) AS b, count(*) AS n FROM s),
           c AS (SELECT s.*, s.lo<=o.b AND s.hi>=o.a AS covers FROM s, o)
         SELECT entity, covers AS passed, 'range='||CAST(lo AS DATE)||' to '||CAST(hi AS DATE) AS detail FROM c
-        UNION ALL SELECT 'all', (SELECT a<=b FROM o) AND count(*) FILTER (covers)>=3, 'overlapping_entities='||count(*) FILTER (covers) FROM c""",
+        UNION ALL SELECT 'all', (SELECT a<=b FROM o) AND count(*) FILTER (covers)>=3, 'overlapping_entities='||count(*) FILTER (covers) FROM c"""
 )
+
+
+@query("f5_date_overlap", _OVERLAP_SQL)
 def f5(r: Roles) -> DataFrame:
-    frames = {n: r.bronze[n] for n in ("patient_demographics", "encounters", "referrals", "diagnoses")}
-    return readiness.date_overlap(r.spark, frames).drop("check_name")
+    return readiness.date_overlap(r.spark, r.bronze).drop("check_name")
+
+
+def _kinds_sql(key: str, holders) -> str:
+    """(entity, kind) of a key's holders, if they do not agree."""
+    each = " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, CASE typeof(any_value({key})) WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof(any_value({key}))) END AS kind, "
+        f"count(*)>0 AS has_rows, {e in TEXT_KEY_ENTITIES} AS text_known FROM {_PARENTS[e]}"
+        for e in holders
+    )
+    return f"SELECT * FROM ({each}) QUALIFY min(kind) OVER () <> max(kind) OVER ()"
+
+
+_KEY_ROWS = " UNION ALL ".join(
+    f"SELECT 'join_key_existence' AS check_name, '{e}' AS entity, count({key})>=0 AS passed, 'column={key} present=True' AS detail, "
+    f"count(*)>0 AS has_rows FROM {_PARENTS[e]}"
+    for key, holders in readiness.JOIN_KEY_HOLDERS.items()
+    for e in holders
+)
+_KIND_ROWS = " UNION ALL ".join(
+    f"SELECT 'type_consistency' AS check_name, entity, text_known AND kind='string' AS passed, "
+    f"CASE WHEN text_known AND kind='string' THEN 'WARN ' ELSE '' END||'column={key} type='||kind AS detail, has_rows FROM ({_kinds_sql(key, holders)})"
+    for key, holders in readiness.JOIN_KEY_HOLDERS.items()
+)
+_REPORT_SQL = " UNION ALL ".join(
+    [f"SELECT 'entity_completeness' AS check_name, '{n}' AS entity, count(*)>0 AS passed, 'rows='||count(*) AS detail FROM {t}" for n, t in _TABLES]
+    + [
+        f"SELECT '{check}', entity, passed, detail FROM ({sql})"
+        for check, sql in (
+            ("pk_unique_nonnull", _KEYS_SQL),
+            ("null_rate", _NULLS_SQL),
+            ("referential_integrity", _REFERENCES_SQL),
+            ("date_range_coverage", _OVERLAP_SQL),
+        )
+    ]
+    + [f"SELECT check_name, entity, passed, detail FROM ({_KEY_ROWS})", f"SELECT check_name, entity, passed, detail FROM ({_KIND_ROWS})"]
+)
 
 
-@query("f6_readiness_report")
+@query("f6_readiness_report", _REPORT_SQL)
 def f6(r: Roles) -> DataFrame:
     return readiness.readiness_report(r.spark, r.bronze)
 
 
+@query(
+    "f6_readiness_verdict",
+    f"""SELECT count(*) AS checks, count(*) FILTER (passed) AS passed, count(*) FILTER (NOT passed) AS failed,
+          count(*) FILTER (NOT passed)=0 AS ready FROM ({_REPORT_SQL})""",
+)
+def f6_verdict(r: Roles) -> DataFrame:
+    return readiness.readiness_verdict(readiness.readiness_report(r.spark, r.bronze))
+
+
 @query(
     "f6_key_contracts",
-    " UNION ALL ".join(
-        [
-            f"SELECT 'join_key_existence' AS check_name, '{e}' AS entity, TRUE AS passed, count(*)>0 AS has_rows FROM {_PARENTS[e]}"
-            for key, holders in readiness.JOIN_KEY_HOLDERS.items()
-            for e in holders
-        ]
-        + [
-            f"SELECT 'type_consistency', '{e}', {'TRUE' if e in ('appointments', 'diagnostics_orders') else 'FALSE'}, count(*)>0 FROM {_PARENTS[e]}"
-            for key, holders in readiness.JOIN_KEY_HOLDERS.items()
-            for e in holders
-        ]
-    ),
+    f"SELECT check_name, entity, passed, has_rows FROM ({_KEY_ROWS}) UNION ALL SELECT check_name, entity, passed, has_rows FROM ({_KIND_ROWS})",
 )
 def f6_contracts(r: Roles) -> DataFrame:
     """The two checks on schemas, next to whether the entity has rows."""
@@ -341,29 +452,31 @@ def f6_contracts(r: Roles) -> DataFrame:
     return both.drop("detail").join(rows, "entity")
 
 
+# Column, type, and how its range is compared: as a number, as a moment, or not at all.
 _PROFILED = (
-    ("l_orderkey", True), ("l_partkey", True), ("l_suppkey", True), ("l_linenumber", True), ("l_quantity", True),
-    ("l_extendedprice", True), ("l_discount", True), ("l_tax", True), ("l_returnflag", False),
-    ("l_linestatus", False),
+    ("l_orderkey", "bigint", "n"), ("l_partkey", "bigint", "n"), ("l_suppkey", "bigint", "n"),
+    ("l_linenumber", "int", "n"), ("l_quantity", "double", "n"), ("l_extendedprice", "double", "n"),
+    ("l_discount", "double", "n"), ("l_tax", "double", "n"), ("l_returnflag", "string", ""),
+    ("l_linestatus", "string", ""), ("l_shipdate", "timestamp_ntz", "t"),
 )
+_AS = {"n": "CAST({} AS DOUBLE)", "t": "CAST(epoch({}) AS DOUBLE)", "": "NULL::DOUBLE"}
 
 
 @query(
     "f7_column_profile",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, round(count({c})*100.0/count(*),6) AS non_null_pct, count(DISTINCT {c}) AS distinct_count, "
-        + (
-            f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM lineitem"
-            if ranged
-            else "NULL::DOUBLE, NULL::DOUBLE FROM lineitem"
-        )
-        for c, ranged in _PROFILED
+        f"SELECT '{c}' AS column_name, '{kind}' AS data_type, round(count({c})*100.0/count(*),6) AS non_null_pct, "
+        f"count(DISTINCT {c}) AS distinct_count, {_AS[how].format(f'min({c})')} AS min_value, "
+        f"{_AS[how].format(f'max({c})')} AS max_value FROM lineitem"
+        for c, kind, how in _PROFILED
     ),
 )
 def f7(r: Roles) -> DataFrame:
-    profile = profiling.column_profile(r.raw("lineitem").drop("l_shipdate")).drop("data_type")
-    numbers = {c: F.col(c).cast("double") for c in ("min_value", "max_value")}
-    return rounded(profile.withColumns(numbers), "non_null_pct")
+    profile = profiling.column_profile(r.raw("lineitem"))
+    as_number = lambda c: F.when(
+        F.col("data_type") == "timestamp_ntz", F.unix_timestamp(F.col(c).try_cast("timestamp")).cast("double")
+    ).otherwise(F.col(c).try_cast("double"))
+    return rounded(profile.withColumns({c: as_number(c) for c in ("min_value", "max_value")}), "non_null_pct")
 
 
 @query(

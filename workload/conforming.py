@@ -15,6 +15,7 @@ from waitlens.operators import conform
 from waitlens.operators.dims import calendar, dense_key, validity
 from waitlens.plans import gold, silver
 from waitlens.session import scratch_path
+from waitlens.sources.files import partition_values
 from waitlens.sources.lake import write_partitions
 from waitlens.sources.seeds import area_deprivation
 from waitlens.sources.store import VersionedTable, range_bucket
@@ -40,6 +41,22 @@ def b1(r: Roles) -> DataFrame:
     return conform.increment(source, mark).select("event_id", "ingest_date")
 
 
+@query(
+    "b1_late_partition",
+    "SELECT event_id, CAST(ts AS DATE) AS ingest_date FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-20' "
+    "OR day(ts) % 7 = 3",
+)
+def b1_late(r: Roles) -> DataFrame:
+    """All partitions up to a day are loaded but some, which landed late and are not lost."""
+    path = scratch_path(r.spark, "late")
+    rows = r.raw("events").select("event_id", F.col("ts").cast("date").alias("ingest_date"))
+    write_partitions(rows, path)
+    landed = [date.fromisoformat(d) for d in partition_values(r.spark, path, "ingest_date")]
+    loaded = [d for d in landed if d <= date(2024, 1, 20) and d.day % 7 != 3]
+    fresh = conform.new_partitions(landed, loaded)
+    return r.spark.read.parquet(path).where(F.col("ingest_date").isin(fresh)).select("event_id", "ingest_date")
+
+
 @query("b2_dedup_latest", latest_sql("SELECT * FROM lineitem", "l_orderkey, l_linenumber", _LINE_ORDER))
 def b2(r: Roles) -> DataFrame:
     return conform.dedup_latest(
@@ -47,14 +64,15 @@ def b2(r: Roles) -> DataFrame:
     )
 
 
-@query(
-    "b3_upsert",
+_UPSERT_SQL = (
     """WITH batch AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice+1 AS o_totalprice FROM orders WHERE o_orderstatus='P'
                       UNION ALL SELECT -1-o_orderkey, 'N', o_totalprice FROM orders WHERE o_orderstatus='F')
        SELECT * FROM batch UNION ALL
-       SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)""",
+       SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)"""
 )
-def b3(r: Roles) -> DataFrame:
+
+
+def _upserted(r: Roles, asked_width: int = 0) -> DataFrame:
     """A table of all orders, and a batch that changes some and adds others."""
     rows = r.raw("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     changed = rows.where("o_orderstatus = 'P'").select(
@@ -63,14 +81,40 @@ def b3(r: Roles) -> DataFrame:
     added = rows.where("o_orderstatus = 'F'").select(
         (-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice"
     )
-    table = VersionedTable(
-        r.spark, scratch_path(r.spark, "upsert"), ["o_orderkey"], range_bucket("o_orderkey")
-    )
-    table.write(rows)
+    # Some forty buckets, whatever the size of the test table.
+    width = max(1, rows.agg(F.max("o_orderkey")).first()[0] // 20)
+    path = scratch_path(r.spark, "upsert")
+    VersionedTable(r.spark, path, ["o_orderkey"], range_bucket("o_orderkey", width)).write(rows)
+    table = VersionedTable(r.spark, path, ["o_orderkey"], range_bucket("o_orderkey", asked_width or width))
     table.upsert(changed.unionByName(added), ["o_orderkey"])
     return table.read()
 
 
+@query("b3_upsert", _UPSERT_SQL)
+def b3(r: Roles) -> DataFrame:
+    return _upserted(r)
+
+
+@query("b3_changed_width", _UPSERT_SQL)
+def b3_changed_width(r: Roles) -> DataFrame:
+    """The second writer asks for another bucket width: the stored one stands."""
+    return _upserted(r, 7)
+
+
+@query(
+    "b3_type_change",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS k, CASE WHEN o_orderstatus='P' THEN -o_totalprice ELSE o_totalprice END AS v FROM orders""",
+)
+def b3_type_change(r: Roles) -> DataFrame:
+    """A key that arrives as a number at first and as text later."""
+    rows = r.raw("orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), "o_orderstatus")
+    table = VersionedTable(r.spark, scratch_path(r.spark, "retyped"))
+    table.write(rows.drop("o_orderstatus"))
+    late = rows.where("o_orderstatus = 'P'").select(F.col("k").cast("string").alias("k"), (-F.col("v")).alias("v"))
+    table.upsert(late, ["k"])
+    return table.read()
+
+
 @query(
     "b4_sync_schema",
     """SELECT o_orderkey, o_orderstatus, NULL::VARCHAR AS note FROM orders
@@ -186,7 +230,7 @@ def b13(r: Roles) -> DataFrame:
 @query(
     "b14_strict_casts",
     """SELECT appointment_id, CAST(booking_updated_datetime AS TIMESTAMP) AS updated,
-         CAST(substr(appointment_start_datetime,1,10) AS DATE) AS day, CAST(wait_time_days AS INT) AS wait FROM b_appointments""",
+         CAST(CAST(appointment_start_datetime AS TIMESTAMP) AS DATE) AS day, CAST(wait_time_days AS INT) AS wait FROM b_appointments""",
 )
 def b14(r: Roles) -> DataFrame:
 
@@ -194,7 +238,7 @@ def b14(r: Roles) -> DataFrame:
     return r.appointments.select(
         "appointment_id",
         parse_as(F.col("booking_updated_datetime"), "timestamp", "strict").alias("updated"),
-        parse_as(F.substring("appointment_start_datetime", 1, 10), "date", "strict").alias("day"),
+        parse_as(F.col("appointment_start_datetime"), "timestamp", "strict").cast("date").alias("day"),
         F.col("wait_time_days").cast("int").alias("wait"),
     )
 

@@ -29,7 +29,7 @@ from workload.roles import Roles
 
 @query(
     "d1_first_match",
-    """SELECT r.referral_id, t.treatment_date, t.gap FROM s_referrals r LEFT JOIN first_treatment t ON t.referral_id=r.referral_id""",
+    """SELECT r.referral_id, CAST(t.started AS DATE) AS treatment_date, t.gap FROM s_referrals r LEFT JOIN first_treatment t ON t.referral_id=r.referral_id""",
 )
 def d1(r: Roles) -> DataFrame:
     requests = r.s_referrals.select(
@@ -45,7 +45,7 @@ def d1(r: Roles) -> DataFrame:
     )
 
 
-@query("d2_milestones", "SELECT * FROM first_tests")
+@query("d2_milestones", "SELECT referral_id, asked AS dm01_request_date, answered AS dm01_result_date FROM first_tests")
 def d2(r: Roles) -> DataFrame:
     return milestones(
         r.s_diagnostics,
@@ -120,33 +120,26 @@ def d9(r: Roles) -> DataFrame:
     )
 
 
-def _dna(r: Roles) -> DataFrame:
-    """The missed-appointment metric: the widest of the three."""
-    booked = r.s_appointments.select(
-        "patient_sk",
-        F.trunc(F.col("appointment_start_datetime").cast("date"), "MM").alias("month"),
-        "booking_status",
-    ).join(gold.strata(r.dim_patient), "patient_sk")
-    return stratified_rate(
-        booked, "dna_rate", "month", status_flag(F.col("booking_status"), "DNA"), STRATIFIERS
-    )
+def _metrics(r: Roles) -> DataFrame:
+    """All three metrics over all strata."""
+    return gold.inequality_base(r.waits, r.urgent, r.s_appointments, r.dim_patient)
 
 
 @query(
     "d10_ridit",
     """SELECT metric_name, period, stratifier, stratum, population_count, round(ridit_score,6) AS ridit_score, round(weight,6) AS weight
-       FROM ridits WHERE metric_name='dna_rate'""",
+       FROM ridits""",
 )
 def d10(r: Roles) -> DataFrame:
-    return rounded(with_ridit(_dna(r)), "ridit_score", "weight").drop("metric_value")
+    return rounded(with_ridit(_metrics(r)), "ridit_score", "weight").drop("metric_value")
 
 
 @query(
     "d11_sii",
-    "SELECT metric_name, period, round(sii_value,6) AS sii_value FROM slopes WHERE metric_name='dna_rate'",
+    "SELECT metric_name, period, round(sii_value,6) AS sii_value FROM slopes",
 )
 def d11(r: Roles) -> DataFrame:
-    indexed = with_slope_indices(with_ridit(_dna(r))).where("stratifier = 'imd_decile'")
+    indexed = with_slope_indices(with_ridit(_metrics(r))).where("stratifier = 'imd_decile'")
     return rounded(
         indexed.groupBy("metric_name", "period").agg(F.max("sii_value").alias("sii_value")), "sii_value"
     )
@@ -157,10 +150,10 @@ def d11(r: Roles) -> DataFrame:
     """SELECT metric_name, period, round(
          (sum(weight*ridit_score*metric_value) - sum(weight*ridit_score)*sum(weight*metric_value))
          / nullif(sum(weight*ridit_score*ridit_score) - power(sum(weight*ridit_score),2),0), 6) AS sii_value
-       FROM ridits WHERE stratifier='imd_decile' AND metric_name='dna_rate' GROUP BY 1,2""",
+       FROM ridits WHERE stratifier='imd_decile' GROUP BY 1,2""",
 )
 def d11_wls(r: Roles) -> DataFrame:
-    indexed = with_slope_indices(with_ridit(_dna(r)), method="wls").where("stratifier = 'imd_decile'")
+    indexed = with_slope_indices(with_ridit(_metrics(r)), method="wls").where("stratifier = 'imd_decile'")
     return rounded(
         indexed.groupBy("metric_name", "period").agg(F.max("sii_value").alias("sii_value")), "sii_value"
     )
@@ -168,10 +161,10 @@ def d11_wls(r: Roles) -> DataFrame:
 
 @query(
     "d12_rii",
-    "SELECT metric_name, period, round(rii_value,6) AS rii_value FROM slopes WHERE metric_name='dna_rate'",
+    "SELECT metric_name, period, round(rii_value,6) AS rii_value FROM slopes",
 )
 def d12(r: Roles) -> DataFrame:
-    indexed = with_slope_indices(with_ridit(_dna(r))).where("stratifier = 'imd_decile'")
+    indexed = with_slope_indices(with_ridit(_metrics(r))).where("stratifier = 'imd_decile'")
     return rounded(
         indexed.groupBy("metric_name", "period").agg(F.max("rii_value").alias("rii_value")), "rii_value"
     )
@@ -179,13 +172,13 @@ def d12(r: Roles) -> DataFrame:
 
 @query(
     "d13_suppression",
-    """SELECT period, stratifier, stratum, CASE WHEN population_count>=5 THEN population_count END AS population_count,
+    """SELECT metric_name, period, stratifier, stratum, CASE WHEN population_count>=5 THEN population_count END AS population_count,
          round(CASE WHEN population_count>=5 THEN metric_value END,6) AS metric_value
-       FROM metrics WHERE metric_name='dna_rate'""",
+       FROM metrics""",
 )
 def d13(r: Roles) -> DataFrame:
-    hidden = suppress_small(_dna(r), ["population_count", "metric_value"])
-    return rounded(hidden, "metric_value").drop("metric_name")
+    hidden = suppress_small(_metrics(r), ["population_count", "metric_value"])
+    return rounded(hidden, "metric_value")
 
 
 @query(

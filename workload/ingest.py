@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from waitlens.contracts import ENTITIES
 from waitlens.operators.quality import not_null, row_count, run_suites, unique
+from waitlens.plans.daily import Paths
+from waitlens.plans.historical import load_history
 from waitlens.session import scratch_path
 from waitlens.sources import drops, exports, lake, manifests
 from waitlens.sources.seeds import load_seed
@@ -71,7 +73,7 @@ def a4(r: Roles) -> DataFrame:
     rows.write.option("header", True).option("escape", '"').option("quoteAll", True).option(
         "emptyValue", ""
     ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return drops.land_csv(r.spark, path).drop("file_name")
+    return drops.land_csv(r.spark, path, multi_line=True).drop("file_name")
 
 
 @query(
@@ -119,6 +121,13 @@ def a6_rejects(r: Roles) -> DataFrame:
     return rejected.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def _named_by_file(r: Roles) -> DataFrame:
+    """Rows named by the file they would arrive in; one name in ten holds no date."""
+    month = F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "MM"), "yyyyMMdd")
+    name = F.concat(F.when(F.col("o_orderkey") % 10 != 0, month).otherwise("undated1"), F.lit("_orders.csv"))
+    return r.raw("orders").select("o_orderkey", name.alias("file_name"))
+
+
 @query(
     "a7_file_dated_backfill",
     """SELECT CASE WHEN d < DATE '1998-01-01' THEN DATE '1998-01-01' ELSE d END AS ingest_date, count(*) AS n
@@ -126,19 +135,26 @@ def a6_rejects(r: Roles) -> DataFrame:
              FROM orders) WHERE d IS NOT NULL GROUP BY 1""",
 )
 def a7(r: Roles) -> DataFrame:
-    """Rows named by the file they would arrive in; one name in ten holds no date."""
-    month = F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "MM"), "yyyyMMdd")
-    name = F.concat(F.when(F.col("o_orderkey") % 10 != 0, month).otherwise("undated1"), F.lit("_orders.csv"))
-    rows = r.raw("orders").select("o_orderkey", name.alias("file_name"))
-    dated = lake.backfill_by_file_name(rows, date(1998, 1, 1))
+    rows = _named_by_file(r)
+    dated, _ = lake.backfill_by_file_name(rows, date(1998, 1, 1))
     return dated.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "a7_rejects",
+    "SELECT o_orderkey, 'undated1_orders.csv' AS file_name FROM orders WHERE o_orderkey % 10 = 0",
+)
+def a7_rejects(r: Roles) -> DataFrame:
+    """The rows of the same load whose file names hold no date."""
+    _, rejected = lake.backfill_by_file_name(_named_by_file(r), date(1998, 1, 1))
+    return rejected
+
+
 @query(
     "a8_coerce",
     """SELECT event_id, try_cast(CASE WHEN event_id%5=0 THEN 'soon' ELSE CAST(ts AS VARCHAR) END AS TIMESTAMP) AS moment,
          try_cast(CASE WHEN event_id%7=0 THEN '' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS DATE) AS day,
-         CASE WHEN event_id%3=0 THEN NULL WHEN event_id%11=0 THEN NULL ELSE event_id END AS n,
+         CASE WHEN event_id%3=0 OR event_id%11=0 OR event_id%13=0 THEN NULL ELSE event_id END AS n,
          CASE event_id%8 WHEN 0 THEN TRUE WHEN 1 THEN TRUE WHEN 2 THEN TRUE WHEN 3 THEN FALSE WHEN 4 THEN FALSE
               WHEN 5 THEN FALSE END AS flag,
          CAST(user_id AS VARCHAR) AS who, TIMESTAMP '2024-06-01' AS updated_at
@@ -154,6 +170,7 @@ def a8(r: Roles) -> DataFrame:
         F.when(k % 7 == 0, "").otherwise(F.col("ts").cast("date").cast("string")).alias("day"),
         F.when(k % 3 == 0, "n/a")
         .when(k % 11 == 0, F.concat(k.cast("string"), F.lit(".5")))
+        .when(k % 13 == 0, F.concat(k.cast("string"), F.lit(".0000000000001")))
         .otherwise(F.concat(k.cast("string"), F.lit(".0")))
         .alias("n"),
         flag.alias("flag"),
@@ -166,12 +183,44 @@ def a8(r: Roles) -> DataFrame:
     return lake.coerce(text, types, now=F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"))
 
 
-@query("a9_file_inventory")
+@query(
+    "a9_file_inventory",
+    """SELECT strftime(o_orderdate, '%Y') AS folder, strlen(body) AS bytes, sha256(body) AS sha256 FROM (
+         SELECT any_value(o_orderdate) AS o_orderdate,
+           'o_orderkey,o_orderstatus'||chr(10)||string_agg(o_orderkey||','||o_orderstatus||chr(10), '' ORDER BY o_orderkey) AS body
+         FROM orders GROUP BY strftime(o_orderdate, '%Y'))""",
+)
 def a9(r: Roles) -> DataFrame:
-    """Size and digest of the files of a drop written from the orders."""
+    """Size and digest of the files of a drop: the orders of a year each, in order of their key."""
     path = scratch_path(r.spark, "inventory")
-    r.raw("orders").select("o_orderkey", "o_orderstatus").write.option("header", True).csv(path)
-    return drops.inventory(r.spark, path).where(F.col("file_name").like("part-%"))
+    rows = r.raw("orders").select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy").alias("folder"))
+    by_year = rows.repartition("folder").sortWithinPartitions("folder", "o_orderkey")
+    by_year.write.partitionBy("folder").option("header", True).csv(path)
+    return drops.inventory(r.spark, f"{path}/folder=*/*.csv", with_path=True).select(
+        F.regexp_extract("path", "folder=([0-9]+)/", 1).alias("folder"), "bytes", "sha256"
+    )
+
+
+@query(
+    "a6_historical_load",
+    """SELECT 'encounters' AS entity, CAST(count(encounter_datetime_start) AS BIGINT) AS landed,
+              CAST(count(*)-count(encounter_datetime_start) AS BIGINT) AS rejected,
+              (SELECT CAST(greatest(max(CAST(encounter_datetime_start AS DATE)), DATE '1996-01-01')+1 AS DATE) FROM b_encounters) AS next_date FROM b_encounters
+       UNION ALL
+       SELECT 'urgent_care_logs', count(arrival_datetime), count(*)-count(arrival_datetime), NULL FROM b_urgent""",
+)
+def a6_historical(r: Roles) -> DataFrame:
+    """Two whole extracts loaded as text; afterwards a daily run knows its date."""
+    paths = Paths(scratch_path(r.spark, "history"))
+    as_text = lambda df: df.drop("ingest_date").select(*[F.col(c).cast("string") for c in df.columns if c != "ingest_date"])
+    extracts = {
+        "encounters": lambda: as_text(r.encounters),
+        "urgent_care_logs": lambda: as_text(r.urgent_care_logs),
+    }
+    loaded = load_history(r.spark, paths, extracts, date(1996, 1, 1))
+    told = manifests.read_manifests(r.spark, paths.manifests).where(F.col("source") == ENTITIES["encounters"].source)
+    after = manifests.next_business_date(told).withColumn("entity", F.lit("encounters"))
+    return loaded.join(after, "entity", "left")
 
 
 _RUNS = """SELECT event_type AS source, CAST(ts AS DATE) AS ingest_date,
@@ -196,7 +245,11 @@ def _runs(r: Roles) -> DataFrame:
     "a10_run_manifest",
     """SELECT o_orderpriority AS source, CAST(o_orderdate AS DATE) AS ingest_date, CAST(l_orderkey AS VARCHAR) AS run_id,
          CASE WHEN count(*) FILTER (l_returnflag='R')>0 THEN 'failed' ELSE 'success' END AS status,
-         count(*) FILTER (l_returnflag='R') AS errors, count(*) AS items,
+         CASE WHEN count(*) FILTER (l_returnflag='R')>0 THEN 'failed' ELSE 'success' END||';'
+           ||string_agg('table_'||l_linenumber||'='||CASE WHEN l_returnflag='R' THEN 'failed:error '||l_partkey ELSE 'success:' END, ','
+             ORDER BY 'table_'||l_linenumber, l_returnflag<>'R', 'error '||l_partkey) AS items,
+         string_agg('error '||l_partkey, ',' ORDER BY 'error '||l_partkey) FILTER (l_returnflag='R') AS errors,
+         'test' AS env, min(l_shipdate) AS started_at, max(l_shipdate) AS finished_at,
          count(*) FILTER (l_returnflag<>'R') AS items_succeeded, count(*) FILTER (l_returnflag='R') AS items_failed
        FROM lineitem JOIN orders ON o_orderkey=l_orderkey GROUP BY 1,2,3""",
 )
@@ -210,11 +263,18 @@ def a10(r: Roles) -> DataFrame:
         F.concat(F.lit("table_"), F.col("l_linenumber").cast("string")).alias("item"),
         F.when(failed, "failed").otherwise("success").alias("status"),
         F.when(failed, F.concat(F.lit("error "), F.col("l_partkey").cast("string"))).alias("error"),
+        F.lit("test").alias("env"),
+        F.col("l_shipdate").alias("started_at"),
+        F.col("l_shipdate").alias("finished_at"),
+    )
+    spelled = F.transform(
+        "items", lambda i: F.concat(i["item"], F.lit("="), i["status"], F.lit(":"), F.coalesce(i["error"], F.lit("")))
     )
     return manifests.build_manifests(results).select(
         "source", "ingest_date", "run_id", "status",
-        F.size("error").cast("bigint").alias("errors"), F.size("items").cast("bigint").alias("items"),
-        "items_succeeded", "items_failed",
+        F.concat_ws(";", "status", F.array_join(spelled, ",")).alias("items"),
+        F.nullif(F.array_join("error", ","), F.lit("")).alias("errors"),
+        "env", "started_at", "finished_at", "items_succeeded", "items_failed",
     )
 
 
@@ -254,15 +314,15 @@ def a12(r: Roles) -> DataFrame:
     "a13_missing_partitions",
     """SELECT e.entity, d.day AS ingest_date
        FROM (VALUES ('click'),('error'),('purchase'),('signup'),('view')) e(entity),
-            (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-15', INTERVAL 1 DAY)) AS DATE) AS day) d
-       WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.event_type=e.entity AND CAST(x.ts AS DATE)=d.day AND x.value>=5)""",
+            (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-12-31', INTERVAL 1 DAY)) AS DATE) AS day) d
+       WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.event_type=e.entity AND CAST(x.ts AS DATE)=d.day)""",
 )
 def a13(r: Roles) -> DataFrame:
-    present = r.raw("events").where("value >= 5").select(
+    present = r.raw("events").select(
         F.col("event_type").alias("entity"), F.col("ts").cast("date").alias("ingest_date")
     )
     names = ["click", "error", "purchase", "signup", "view"]
-    return lake.missing_partitions(present, names, date(2024, 1, 1), date(2024, 2, 15))
+    return lake.missing_partitions(present, names, date(2024, 1, 1), date(2024, 12, 31))
 
 
 @query(
@@ -319,7 +379,8 @@ def a17(r: Roles) -> DataFrame:
     "a18_dq_sink",
     """SELECT 'labels' AS table_name, CASE WHEN (SELECT count(*) FROM labels)>=1 THEN 'PASSED' ELSE 'FAILED' END AS run_status,
          0 AS failure_count, DATE '2024-06-01' AS run_date
-       UNION ALL SELECT 'lineitem', 'FAILED', 1, DATE '2024-06-01'
+       UNION ALL SELECT 'lineitem', CASE WHEN max(n)>1 THEN 'FAILED' ELSE 'PASSED' END, CAST(max(n)>1 AS INT), DATE '2024-06-01'
+         FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
        UNION ALL SELECT 'orders', 'FAILED', -1, DATE '2024-06-01'""",
 )
 def a18(r: Roles) -> DataFrame:
