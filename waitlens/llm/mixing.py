@@ -78,7 +78,7 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, repeats: i
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
     """How many documents of each length to take so that their words come nearest ``budget``.
 
-    From below: the sum never exceeds the budget. ``sizes`` are distinct and positive.
+    ``sizes`` are distinct and positive. The sum may pass the budget if that is nearer.
     """
     total = int((sizes * counts).sum())
     if budget <= 0 or total == 0:
@@ -101,11 +101,12 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.nda
             break
     # Bounded knapsack: bit b of ``reach`` says that b words can be met exactly. A length
     # with c documents enters as blocks of 1, 2, 4, ... documents.
-    mask = (1 << (left + 1)) - 1
+    most = 2 * left
+    mask = (1 << (most + 1)) - 1
     reach, steps = 1, []
     for i in order:
         size, spare = int(sizes[i]), int(counts[i] - taken[i])
-        spare = min(spare, left // size)
+        spare = min(spare, most // size)
         block = 1
         while spare > 0 and not reach >> left & 1:
             block = min(block, spare)
@@ -115,7 +116,11 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.nda
             block *= 2
         if reach >> left & 1:
             break
-    at = reach.bit_length() - 1
+    at = (reach & ((1 << (left + 1)) - 1)).bit_length() - 1
+    above = reach >> (left + 1)
+    if above:
+        higher = left + (above & -above).bit_length()
+        at = higher if higher - left < left - at else at
     for i, block, before in reversed(steps):
         if not before >> at & 1:
             taken[i] += block
