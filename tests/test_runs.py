@@ -14,10 +14,13 @@ from waitlens.contracts import ENTITIES, GOLD_TABLES
 from waitlens.operators.quality import QualityGateError, not_null, row_count
 from waitlens.plans import daily, reports, silver
 from waitlens.plans.suites import GOLD_SUITES
+from waitlens.session import settle, settled_folder
 from waitlens.sources import exports
+from waitlens.sources.files import files
 from waitlens.sources.manifests import read_manifests
 from waitlens.sources.store import VersionedTable
 from waitlens.streaming import incremental, monitor
+from workload.queries import REGISTRY
 from workload.roles import TEST_KEY, Roles
 
 SMALL = "/root/testdata/sf0.001"
@@ -142,6 +145,21 @@ def test_a_failed_table_fails_the_run(spark, tmp_path):
         daily.run_day(spark, paths, sources, silver.Context(b"k"))
 
 
+def test_a_source_with_nothing_to_land_is_skipped(spark, tmp_path):
+    paths = daily.Paths(str(tmp_path / "lake"), env="test")
+    done = daily.ingest_source(spark, paths, "sftp", {"appointments": lambda: None}, date(2024, 1, 1))
+    assert done == "skipped"
+    (row,) = read_manifests(spark, paths.manifests).collect()
+    assert row.status == "skipped" and row.reason == "nothing to land"
+
+
+def test_settled_tables_go_with_their_run(spark, tmp_path):
+    with settled_folder(spark) as folder:
+        df = settle(spark.range(3))
+        assert df.count() == 3 and len(files(spark, folder)) == 1
+    assert files(spark, folder) == []
+
+
 def test_the_gate_blocks_promotion(spark, tmp_path):
     paths = daily.Paths(str(tmp_path / "lake"))
     keys = [(i, "x" if i < 7 else None) for i in range(10)]
@@ -162,7 +180,7 @@ def oracle():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_registered_query(spark, oracle, name):
     df = contract.queries()[name](spark, SMALL)
     sql = contract.oracle_sql().get(name)

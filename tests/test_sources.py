@@ -96,6 +96,18 @@ def test_land_csv_refuses_differing_headers(spark, tmp_path):
         drops.land_csv(spark, str(tmp_path)).collect()
 
 
+def test_land_mixed_csv_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,v\n1,a\n")
+    (tmp_path / "b.csv").write_text("v,id\nb,2\n")
+    (tmp_path / "c.csv").write_text("id,extra\n3,x\n")
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "note.txt").write_text("no csv")
+    rows = {r.id: (r.v, r.extra, r.file_name) for r in drops.land_mixed_csv(spark, str(tmp_path)).collect()}
+    assert rows == {"1": ("a", None, "a.csv"), "2": ("b", None, "b.csv"), "3": (None, "x", "c.csv")}
+    (tmp_path / "empty").mkdir()
+    assert drops.land_mixed_csv(spark, str(tmp_path / "empty")) is None
+
+
 def test_land_csv_split_reading(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,v\n1,nan\n2,\n")
     rows = drops.land_csv(spark, str(tmp_path), ["id", "v"], multi_line=False).collect()
