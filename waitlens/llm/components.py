@@ -9,12 +9,27 @@ table reaches the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waitlens.llm.common import Scratch
 
 
+def local_roots(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """Of each of ``n`` rows of one task: the smallest row it reaches over the links."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[left], label[right])
+        new = label.copy()
+        np.minimum.at(new, left, low)
+        np.minimum.at(new, right, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def _oriented(links: DataFrame) -> DataFrame:
     """(u, v) with u > v, each once."""
     return links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

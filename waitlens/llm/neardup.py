@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitlens.llm.common import U64, Scratch, WordTable, mix64, slices, utf8, width
-from waitlens.llm.components import components
+from waitlens.llm.components import components, local_roots
 
 #: Minwise coordinates of a document.
 COORDINATES = 64
@@ -48,6 +48,8 @@ FIRST_LEVELS, LAST_LEVEL = 3, 8
 #: Four standard deviations of the signature's estimate lie between this and the threshold.
 SLACK = 0.2
 BLOCK = 512
+#: Names of a membership matrix at a time.
+COLUMNS = 8192
 
 _SEEDS = mix64(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 _PLACES = mix64(np.arange(101, 101 + 64, dtype=U64)) | U64(1)
@@ -231,33 +233,63 @@ def _by_node(rows: DataFrame, floor: float, cross: bool) -> DataFrame:
     return dealt.mapInArrow(links, "a long, b long")
 
 
-def _by_block(rows: DataFrame, floor: float) -> DataFrame:
-    """Proposed links between components within large nodes, block against block."""
+def common_counts(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set in ``one`` with every set in ``two``.
+
+    As products of membership matrices, a few thousand names at a time.
+    """
+    names = [np.concatenate(part) if part else np.zeros(0, np.int64) for part in (one, two)]
+    owners = [np.repeat(np.arange(len(part)), [len(s) for s in part]) for part in (one, two)]
+    shared = np.intersect1d(*names)
+    out = np.zeros((len(one), len(two)), np.float32)
+    for at in range(0, len(shared), COLUMNS):
+        chunk = shared[at : at + COLUMNS]
+        held = []
+        for name, owner, part in zip(names, owners, (one, two), strict=True):
+            place = np.minimum(np.searchsorted(chunk, name), len(chunk) - 1)
+            there = chunk[place] == name
+            matrix = np.zeros((len(part), len(chunk)), np.float32)
+            matrix[owner[there], place[there]] = 1
+            held.append(matrix)
+        out += held[0] @ held[1].T
+    return out
+
+
+def _by_block(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """A spanning forest (u, v) of the links within large nodes, block against block.
+
+    Both blocks come with their full sets, so links are confirmed where they are found and
+    only those that connect something leave the task.
+    """
+    percent = round(100 * threshold)
 
     def links(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        ids, roots = group.column("cid").to_numpy(), group.column("root").to_numpy()
+        ids = group.column("cid").to_numpy()
+        names = [np.asarray(v.values.to_numpy()) for v in group.column("names")]
         mine = group.column("_block").to_numpy()
         i, j = group.column("_i")[0].as_py(), group.column("_j")[0].as_py()
-        low = np.frombuffer(b"".join(group.column("_low").to_pylist()), np.uint8).reshape(-1, COORDINATES)
         one, two = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        left, right = np.repeat(one, len(two)), np.tile(two, len(one))
-        apart = (roots[left] != roots[right]) & ((ids[left] < ids[right]) | (i != j))
-        left, right = left[apart], right[apart]
-        likely = _agree(low, left, right) >= floor
-        a, b = ids[left[likely]], ids[right[likely]]
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+        common = common_counts([names[k] for k in one], [names[k] for k in two])
+        size = np.array([len(n) for n in names])
+        union = size[one][:, None] + size[two][None, :] - common
+        left, right = np.nonzero(100 * common >= percent * union)
+        root = local_roots(one[left], two[right], len(ids))
+        moved = np.flatnonzero(root != np.arange(len(ids)))
+        a, b = ids[moved], ids[root[moved]]
+        return pa.table({"u": pa.array(np.maximum(a, b)), "v": pa.array(np.minimum(a, b))})
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("cid", F.lit(5)), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     dealt = (
-        rows.select("node", "cid", "_low", "root", blocks.alias("_blocks"), block.alias("_block"))
+        rows.select("node", "cid", blocks.alias("_blocks"), block.alias("_block"))
+        .join(sets, "cid")
         .withColumn("_other", other)
         .withColumn("_i", F.least("_block", "_other"))
         .withColumn("_j", F.greatest("_block", "_other"))
     )
-    return dealt.groupBy("node", "_i", "_j").applyInArrow(links, "a long, b long")
+    return dealt.groupBy("node", "_i", "_j").applyInArrow(links, "u long, v long")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -296,18 +328,27 @@ def near_duplicates(
     )
     lows = classes.select("cid", "_low")
 
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """The full sets of some classes, from their texts."""
+        asked = ids.join(classes.select("cid", "_key"), "cid").select(F.col("cid").alias("_id"), "_key")
+        return scratch.keep(full_sets(texts.join(asked, "_id"), shingle))
+
     # Down the trees by signature.
     first = F.array(*[_child(tree, F.lit(c), F.col("_sig")) for tree, c in _roots(trees, threshold)])
     level = scratch.keep(_occupied(classes.select(F.explode(first).alias("node"), "cid")))
     small, stars = [level.where(F.col("n") <= SMALL)], []
+    large = level.where(F.col("n") > SMALL)
+    # Whoever is in a large node further down is in one here.
+    walkers = scratch.keep(classes.select("cid", "_sig").join(large.select("cid").distinct(), "cid", "left_semi"))
     for _ in range(FIRST_LEVELS - 1):
-        large = level.where(F.col("n") > SMALL)
         if large.isEmpty():
             break
         stars.append(large.select("cid", "hub"))
-        level = scratch.keep(_occupied(_branch(large.join(classes.select("cid", "_sig"), "cid"), threshold)))
+        level = scratch.keep(_occupied(_branch(large.join(walkers, "cid"), threshold)))
         small.append(level.where(F.col("n") <= SMALL))
-    large = level.where(F.col("n") > SMALL)
+        large = level.where(F.col("n") > SMALL)
     stars.append(large.select("cid", "hub"))
     few = scratch.keep(_union(small).join(lows, "cid").select("node", "cid", "_low"))
     hubs = _union(stars).where("cid <> hub").distinct()
@@ -319,12 +360,8 @@ def near_duplicates(
         .select(F.col("hub").alias("a"), F.col("cid").alias("b"))
     )
     proposed = scratch.keep(_by_node(few, floor, False).unionByName(starred).distinct())
-
-    # The full sets of all that have a likely partner, from their texts.
-    suspects = proposed.select(F.col("a").alias("cid")).unionByName(proposed.select(F.col("b").alias("cid"))).distinct()
-    asked = suspects.join(classes.select("cid", "_key"), "cid").select(F.col("cid").alias("_id"), "_key")
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    sets = scratch.keep(full_sets(texts.join(asked, "_id"), shingle))
+    # Members of nodes that are still large may find partners further down.
+    sets = sets_of(_ends(proposed).unionByName(large.select("cid")).distinct())
 
     # Forest first, then what is still apart.
     forest = proposed.groupBy("b").agg(F.min("a").alias("a"))
@@ -336,27 +373,25 @@ def near_duplicates(
 
     # Small nodes whose members are not all together yet.
     mixed = scratch.keep(_mixed(few, roots))
-    more = _by_node(mixed, floor, True)
+    more, blocked = _by_node(mixed, floor, True), None
     # Large ones: down on while mixed, then in blocks.
     for at in range(FIRST_LEVELS, LAST_LEVEL + 1):
         open_nodes = scratch.keep(_mixed(large, roots))
         if open_nodes.isEmpty():
             break
         if at == LAST_LEVEL:
-            more = more.unionByName(_by_block(open_nodes.join(lows, "cid"), floor))
+            blocked = scratch.keep(_by_block(open_nodes, sets, threshold))
             break
-        down = _branch(open_nodes.join(classes.select("cid", "_sig"), "cid"), threshold)
-        level = scratch.keep(_occupied(down))
+        level = scratch.keep(_occupied(_branch(open_nodes.join(walkers, "cid"), threshold)))
         large = level.where(F.col("n") > SMALL)
         fresh = _mixed(level.where(F.col("n") <= SMALL), roots).join(lows, "cid")
         more = more.unionByName(_by_node(fresh, floor, True))
     more = scratch.keep(_apart(more.distinct(), roots).join(proposed, ["a", "b"], "left_anti"))
+    if blocked is not None:
+        links = scratch.keep(links.unionByName(blocked))
+        roots = scratch.keep(components(links, scratch))
+        more = scratch.keep(_apart(more, roots))
     if not more.isEmpty():
-        late = more.select(F.col("a").alias("cid")).unionByName(more.select(F.col("b").alias("cid"))).distinct()
-        unread = scratch.keep(late.join(sets.select("cid"), "cid", "left_anti"))
-        if not unread.isEmpty():
-            asked = unread.join(classes.select("cid", "_key"), "cid").select(F.col("cid").alias("_id"), "_key")
-            sets = sets.unionByName(scratch.keep(full_sets(texts.join(asked, "_id"), shingle)))
         links = scratch.keep(links.unionByName(confirm(more, sets, threshold)))
         roots = scratch.keep(components(links, scratch))
 
@@ -379,6 +414,11 @@ def near_duplicates(
     )
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(cid) of all classes in some pair."""
+    return pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
+
+
 def _estimate(one: pa.Array, two: pa.Array) -> pa.Array:
     left = np.frombuffer(b"".join(one.to_pylist()), np.uint8).reshape(-1, COORDINATES)
     right = np.frombuffer(b"".join(two.to_pylist()), np.uint8).reshape(-1, COORDINATES)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waitlens.llm.common import Scratch
-from waitlens.llm.components import components
+from waitlens.llm.components import components, local_roots
 
 #: Vectors of a label the centres are learnt from, at most. Every vector is assigned.
 SAMPLE = 4096
@@ -160,20 +160,6 @@ def cells(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     )
 
 
-def _forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
-    """Label of each of ``n`` rows: the smallest row it reaches over the links."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[left], label[right])
-        new = label.copy()
-        np.minimum.at(new, left, low)
-        np.minimum.at(new, right, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def block_links(placed: DataFrame, threshold: float) -> DataFrame:
     """(u, v, n): with v null, u has n linked vectors more; else u and v are connected.
 
@@ -210,7 +196,7 @@ def block_links(placed: DataFrame, threshold: float) -> DataFrame:
         left, right = np.nonzero(linked)
         # Rows of one class may stand on both sides: they are one vertex.
         names, vertex = np.unique(ids, return_inverse=True)
-        label = _forest(vertex[a][left], vertex[b][right], len(names))
+        label = local_roots(vertex[a][left], vertex[b][right], len(names))
         moved = np.flatnonzero(label != np.arange(len(names)))
         some = counts > 0
         u = np.r_[ids[a][some], names[moved]]
