@@ -11,7 +11,8 @@ inside one task. Several trees bring the chance to miss a pair near zero.
 Large nodes branch on. Groups of near copies do not part by branching, so each large node
 also proposes its members' links to its smallest member, and a node whose members are all
 in one confirmed component has nothing left to find and ends. What is still large and mixed
-after the last level is compared in blocks, so no pair is left out for the size of a node.
+after the last level is compared in blocks on full sets, so no pair is left out for the
+size of a node, and only links that connect something leave a task.
 
 Every proposed link is confirmed on the full sets. Proposals are confirmed forest first:
 one per document, then those between components that are still apart. Thus links inside a
@@ -43,8 +44,8 @@ COORDINATES = 64
 TREES = 12
 #: A node of so many classes is compared exhaustively.
 SMALL = 64
-#: Levels branched by signature alone, and at most.
-FIRST_LEVELS, LAST_LEVEL = 3, 8
+#: Levels branched by signature alone, and by mixed nodes at most before blocks take over.
+FIRST_LEVELS, LAST_LEVEL = 3, 3
 #: Four standard deviations of the signature's estimate lie between this and the threshold.
 SLACK = 0.2
 BLOCK = 512
