@@ -6,7 +6,10 @@ normalised value), and every distinct atom of the corpus gets one surrogate from
 hash: digits stay digits, letters keep case and script, a card number keeps its check digit
 right, a name keeps gender and script. So the same value reads the same everywhere, however
 it is written. Surrogates that would coincide with one another or with a real value are
-drawn again, which keeps different values different.
+drawn again, which keeps different values different. A shape may have too few values for
+that: after a few rounds its surrogates get longer, by one character more each round, and a
+value without letters and digits, which no draw can change, is lengthened from the start.
+So there is always room, and every value gets its surrogate.
 
 Only texts with an entity are taken apart; the others pass through where they are read.
 
@@ -53,8 +56,9 @@ SYLLABLES = {
     "greek": ("βα", "δε", "κι", "λο", "μυ", "να", "πε", "ρι", "σο", "τα", "φα", "χε", "ζι", "θο", "γα", "λε"),
 }
 ENDINGS = {"male": ("n", "н", "ς"), "female": ("a", "а", "α"), "any": ("s", "с", "ν")}
-#: Rounds of drawing again; each leaves a vanishing share of the collisions before.
-MOST_ROUNDS = 30
+#: Rounds of drawing again in the same shape; after them surrogates grow.
+SAME_LENGTH = 8
+DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def may_hold_some(text: Column) -> Column:
@@ -90,15 +94,15 @@ def _pick(choices: str, n: Column) -> Column:
 def same_shape(value: Column, digest: Column) -> Column:
     """Every digit and letter replaced by one of its own class, case and script."""
     upper_lower = (
-        ("[0-9]", "0123456789"),
-        ("[a-z]", "abcdefghijklmnopqrstuvwxyz"),
-        ("[A-Z]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        ("[0-9]", DIGITS),
+        ("[a-z]", LOWER),
+        ("[A-Z]", UPPER),
         (r"[\p{Ll}&&\p{IsCyrillic}]", "абвгдежзиклмнопрстуфхцчшэюя"),
         (r"[\p{Lu}&&\p{IsCyrillic}]", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"),
         (r"[\p{Ll}&&\p{IsGreek}]", "αβγδεζηθικλμνξοπρστυφχψω"),
         (r"[\p{Lu}&&\p{IsGreek}]", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
-        (r"\p{Ll}", "abcdefghijklmnopqrstuvwxyz"),
-        (r"\p{Lu}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        (r"\p{Ll}", LOWER),
+        (r"\p{Lu}", UPPER),
     )
 
     def swap(char: Column, i: Column) -> Column:
@@ -139,26 +143,41 @@ def name_like(digest: Column, gender: Column, script: Column, attempt: Column) -
     return out
 
 
+def growth(norm: Column, attempt: Column) -> Column:
+    """By how many characters a surrogate is longer than its value."""
+    return F.when(norm.rlike(r"[0-9\p{L}]"), F.greatest(attempt - SAME_LENGTH, F.lit(0))).otherwise(attempt + 1)
+
+
 def surrogate(key: bytes) -> Column:
     """From the columns kind, norm, gender, script and attempt."""
     digest = F.col("_digest")
     norm, kind, attempt = F.col("norm"), F.col("kind"), F.col("attempt")
     shaped = same_shape(norm, digest)
+    longer = growth(norm, attempt)
+
+    def more(spell, joint: str = "") -> Column:
+        """As many further parts as the surrogate grows by."""
+        parts = F.transform(F.sequence(F.lit(0), longer - 1), lambda i: F.concat(F.lit(joint), spell(F.length(norm) + i)))
+        return F.when(longer > 0, F.array_join(parts, "")).otherwise("")
+
+    drawn = lambda choices: lambda i: _pick(choices, _byte(digest, i))
+    digits, lower, upper = more(drawn(DIGITS)), more(drawn(LOWER)), more(drawn(UPPER))
     local = F.substring_index(shaped, "@", 1)
     host = F.substring_index(F.substring_index(shaped, "@", -1), ".", 1)
-    octet = lambda i: (F.pmod(_byte(digest, F.lit(i)), F.lit(254)) + 1).cast("string")
-    body = F.concat(F.substring(norm, 1, 1), F.expr("substring(_shaped, 2, length(_shaped) - 2)"))
+    octet = lambda i: (F.pmod(_byte(digest, i), F.lit(254)) + 1).cast("string")
+    body = F.concat(F.substring(norm, 1, 1), F.expr("substring(_shaped, 2, length(_shaped) - 2)"), digits)
     last = F.pmod(F.lit(10) - check_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
     right = check_sum(norm) % 10 == 0
     card = F.concat(body, F.when(right, last).otherwise(F.substring(F.col("_shaped"), -1, 1)))
     return (
-        F.when(kind == "email", F.concat(local, F.lit("@"), host, F.lit(".example."), F.substring_index(norm, ".", -1)))
-        .when(kind == "address", F.concat_ws(".", *[octet(i) for i in range(4)]))
+        F.when(kind == "email", F.concat(local, lower, F.lit("@"), host, F.lit(".example."), F.substring_index(norm, ".", -1)))
+        .when(kind == "address", F.concat(F.concat_ws(".", *[octet(F.lit(i)) for i in range(4)]), more(octet, ".")))
         .when(kind == "card", card)
         .when(kind.isin("given", "family"), name_like(digest, F.col("gender"), F.col("script"), attempt))
-        .when(kind == "account", F.concat(F.substring(norm, 1, 2), F.expr("substring(_shaped, 3)")))
-        .when(kind == "access", F.concat(F.lit("AKIA"), F.expr("substring(_shaped, 5)")))
-        .otherwise(shaped)
+        .when(kind == "account", F.concat(F.substring(norm, 1, 2), F.expr("substring(_shaped, 3)"), upper))
+        .when(kind == "access", F.concat(F.lit("AKIA"), F.expr("substring(_shaped, 5)"), upper))
+        .when(kind == "secret", F.concat(shaped, lower))
+        .otherwise(F.concat(shaped, digits))
     )
 
 
@@ -173,12 +192,16 @@ def draw(atoms: DataFrame, key: bytes) -> DataFrame:
 
 
 def assign(atoms: DataFrame, key: bytes, scratch: Scratch) -> DataFrame:
-    """(kind, norm, surrogate): all distinct within a kind, none equal to a real value."""
+    """(kind, norm, surrogate): all distinct within a kind, none equal to a real value.
+
+    Ends for any input: each round after the first few has many times the space of the
+    round before, and fewer values to place.
+    """
     drawn = scratch.keep(draw(atoms.withColumn("attempt", F.lit(0)), key))
-    for _ in range(MOST_ROUNDS):
+    while True:
         written = F.lower("surrogate")
         first = drawn.groupBy("kind", written.alias("_low")).agg(F.min("norm").alias("_first"), F.count("*").alias("_n"))
-        real = drawn.select("kind", F.col("norm").alias("_low")).distinct().withColumn("_real", F.lit(True))
+        real = drawn.select("kind", F.lower("norm").alias("_low")).distinct().withColumn("_real", F.lit(True))
         taken = first.join(real, ["kind", "_low"], "left").where("_n > 1 OR _real")
         judged = drawn.withColumn("_low", written).join(taken, ["kind", "_low"], "left")
         bad = F.coalesce(F.col("_real") | ((F.col("_n") > 1) & (F.col("norm") != F.col("_first"))), F.lit(False))
@@ -188,7 +211,6 @@ def assign(atoms: DataFrame, key: bytes, scratch: Scratch) -> DataFrame:
         again = draw(judged.where("_bad").withColumn("attempt", F.col("attempt") + 1), key)
         fine = judged.where("NOT _bad").select(*drawn.columns)
         drawn = scratch.keep(fine.unionByName(again))
-    raise RuntimeError("surrogates still collide; the space of some kind is too small for its values")
 
 
 def atoms_of(kind: Column, value: Column) -> Column:
@@ -224,9 +246,11 @@ def written_like(original: Column, kind: Column, drawn: Column) -> Column:
         ),
         "",
     )
+    # A surrogate longer than its value goes on behind it.
+    rest = F.substring(first, F.length(F.regexp_replace(original, "[^A-Za-z0-9]", "")) + 1, F.length(first))
     name = F.array_join(drawn, " ")
     return (
-        F.when(kind.isin("phone", "card", "social", "account"), spread)
+        F.when(kind.isin("phone", "card", "social", "account"), F.concat(spread, rest))
         .when(kind == "person", F.when(original == F.upper(original), F.upper(name)).otherwise(name))
         .otherwise(F.array_join(drawn, " "))
     )
