@@ -2,9 +2,10 @@
 
 Patterns propose candidates in every text. The hash of each candidate's value is then
 counted over the whole corpus by distinct repositories and distinct owners. A value many
-owners hold is a copied example; a value of one owner that looks random is live. Named
-formats are always reported; long random strings outside any named format are reported
-only if they are owner-specific.
+owners hold is a copied example, as is one of two owners in many repositories; a value of
+one owner that looks random is live, in however many repositories. Named formats are always
+reported; long random strings outside any named format are reported only if they are
+owner-specific.
 
 Results: null text is empty text; a text without candidates has an empty span list and the
 digest of the empty string; repeated rows have a row each and count as one repository; a
@@ -54,7 +55,7 @@ KINDS = (
     Kind("bare", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}", least=32),
 )
 BASE = [k.name for k in KINDS if k.base]
-#: Copied by so many owners or repositories, a value is an example.
+#: Copied by so many owners, or so many repositories of more than one, a value is an example.
 EXAMPLE_OWNERS, EXAMPLE_REPOS = 3, 10
 #: Distinct characters of a value that looks random.
 VARIETY = 8
@@ -132,7 +133,7 @@ def scan(
         spans.withColumn("secret", secret).where(F.length("secret") >= least).withColumn("_hash", F.sha2("secret", 256))
     )
     held = ownership(spans)
-    copied = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repos") >= EXAMPLE_REPOS)
+    copied = (F.col("owners") >= EXAMPLE_OWNERS) | ((F.col("owners") > 1) & (F.col("repos") >= EXAMPLE_REPOS))
     random = looks_random(F.col("secret"))
     verdict = F.when(copied | ~random, F.when(copied, "example").otherwise("unsure")).otherwise(
         F.when(F.col("owners") == 1, "live").otherwise("unsure")
