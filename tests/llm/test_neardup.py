@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from math import comb
 
 import numpy as np
 
@@ -96,6 +97,16 @@ def test_components_of_a_path_and_a_cycle(spark):
     assert components(none, Scratch(spark, "test")).count() == 0
 
 
+def test_signature_hardly_ever_hides_a_pair_at_the_threshold():
+    n, p = neardup.COORDINATES, 0.8 + 0.2 / 256
+    low = np.zeros((n + 1, n), np.uint8)
+    for k in range(n + 1):
+        low[k, k:] = 1
+    estimates = neardup._agree(low, np.full(n + 1, n), np.arange(n + 1))
+    missed = sum(comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1) if estimates[k] < 0.8 - neardup.SLACK)
+    assert missed < 1e-6
+
+
 def test_pairs_within():
     left, right = neardup.pairs_within(np.array([3, 1, 2]))
     assert list(zip(left.tolist(), right.tolist(), strict=True)) == [(0, 1), (0, 2), (1, 2), (4, 5)]

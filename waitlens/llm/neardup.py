@@ -46,8 +46,9 @@ TREES = 12
 SMALL = 64
 #: Levels branched by signature alone, and by mixed nodes at most before blocks take over.
 FIRST_LEVELS, LAST_LEVEL = 3, 3
-#: Four standard deviations of the signature's estimate lie between this and the threshold.
-SLACK = 0.2
+#: So far below the threshold an estimate may lie: six standard deviations. All trees share
+#: the signature, so what falls below is lost in all of them; links are confirmed exactly.
+SLACK = 0.3
 BLOCK = 512
 #: Names of a membership matrix at a time.
 COLUMNS = 8192
