@@ -9,7 +9,9 @@ where they stand: equal substrings share all names but those at their ends, and
 changes only names near it.
 
 A fingerprint is the smallest hashes of a text's distinct phrase names, so two fingerprints
-estimate how many phrases two texts share.
+estimate how many phrases two texts share. It keeps 64 names whatever the length of the text,
+pooled over levels of which the lowest has most names: the standard error is up to 1/16,
+and a short passage shared by long texts may leave no trace.
 
 Results: null is the empty text, whose fingerprint is empty; equal texts have equal
 fingerprints; repeated rows are documents of their own, and each is followed by the next in
