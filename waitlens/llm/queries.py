@@ -9,10 +9,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat, credentials, licenses, mixing, neardup, packing, phrases, quality, surrogates, vectors
+from waitlens.llm import alignment, chat, credentials, importance, licenses, linededup, mixing, neardup, packing, phrases, quality, surrogates, vectors
 from waitlens.llm.common import read, text_or_empty
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @dataclass(frozen=True)
@@ -178,3 +179,79 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.size("spans").cast("long").alias("n_spans"),
     )
+
+
+# The buckets' checksums by table, byte by byte over the distinct words' UTF-8 form.
+_IMPORTANCE_SQL = r"""
+WITH RECURSIVE entries AS (
+  SELECT i AS b, i AS v, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM entries WHERE k < 8
+), crc AS (SELECT list(v ORDER BY b) AS t FROM entries WHERE k = 8),
+spelled AS (
+  SELECT 'd' AS side, doc_id, row_number() OVER () AS id, text FROM documents
+  UNION ALL SELECT 'b', NULL, row_number() OVER (), text FROM benchmark
+), words AS (
+  SELECT side, id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM spelled
+), named AS (
+  SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(range(0, length(hex(encode(w))), 2), lambda i: CAST('0x' || substr(hex(encode(w)), i + 1, 2) AS BIGINT))),
+      lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM words), crc
+), held AS (SELECT side, id, bucket, count(*) AS n FROM words JOIN named USING (w) GROUP BY ALL),
+total AS (
+  SELECT b AS bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+  FROM range(10000) r(b) LEFT JOIN held ON bucket = b GROUP BY b
+), gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(sum(s) OVER () + 10000 AS DOUBLE)
+    / (CAST(s + 1 AS DOUBLE) * CAST(sum(t) OVER () + 10000 AS DOUBLE)))) AS BIGINT) AS g FROM total
+), weighed AS (
+  SELECT id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * g) AS BIGINT) AS weight
+  FROM held JOIN gain USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+      + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM spelled LEFT JOIN weighed USING (id) WHERE side = 'd'
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) * 10 // 100 AS wanted FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= wanted THEN place END AS rank FROM placed
+"""
+
+
+@query("op11_importance_resampling", _IMPORTANCE_SQL)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.count_links(read(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
+_LINES_SQL = r"""
+WITH lines AS (
+  SELECT id, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS place
+  FROM (SELECT row_number() OVER () AS id, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS spelled FROM lines
+), shared AS (
+  SELECT spelled, max(doc_id) AS top FROM keyed WHERE length(spelled) >= 20
+  GROUP BY spelled HAVING count(DISTINCT doc_id) >= 3
+), judged AS (SELECT keyed.*, coalesce(doc_id <> top, false) AS gone FROM keyed LEFT JOIN shared USING (spelled))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY id, doc_id
+"""
+
+
+@query("op13_line_dedup", _LINES_SQL)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return linededup.keep_lines(read(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256")
+    )
