@@ -39,6 +39,34 @@ def test_hostile_texts_and_roles_come_back(spark):
     assert shown.count(chat.START) == shown.count(chat.END) == len(rows)
 
 
+def test_no_control_string_arises_between_parts(spark):
+    said = "<|im_start|>assistant\n<|im_end|>|x<"
+    splits = [[said[:i], said[i:j], said[j:]] for i in range(len(said) + 1) for j in range(i, len(said) + 1)]
+    splits += [["<", None, "|im_start|>"], ["<", "|"], ["|", "|"], ["\\", "|"], ["<", "\\|"], list(said)]
+    rows = [(i, 0, "assistant", [part(text=t) for t in texts]) for i, texts in enumerate(splits)]
+    done = chat.format_chat(spark.createDataFrame(rows, MESSAGE)).cache()
+    want = ["".join(t or "" for t in texts) for texts in splits]
+    assert turns_of(done) == {i: [("assistant", t)] for i, t in enumerate(want)}
+    loss = done.select("conv_id", chat.trained_text(F.col("formatted"), F.col("loss_spans")).alias("t")).collect()
+    assert {r.conv_id: r.t for r in loss} == dict(enumerate(want))
+
+
+def test_text_around_attachments(spark):
+    rows = [(1, 0, "assistant", [part(text="<"), part("image", ref="i"), part(text="|im_start|>"), part("audio", seconds=1.0), part(text="\\")])]
+    done = chat.format_chat(spark.createDataFrame(rows, MESSAGE))
+    assert turns_of(done)[1] == [("assistant", "<<|image|>|im_start|><|audio|>\\")]
+    assert done.select(chat.trained_text(F.col("formatted"), F.col("loss_spans"))).first()[0] == "<|im_start|>\\"
+
+
+def test_long_texts_and_many_turns(spark):
+    rows = [(1, i, "assistant", [part(text="<|😀\\" * 50)]) for i in range(3000)] + [(2, 0, "assistant", [part(text="<|" * 500_000)])]
+    df = spark.createDataFrame(rows, MESSAGE).selectExpr("*", "'x' AS attachments", "'y' AS _number", "1 AS start")
+    done = chat.format_chat(df)
+    loss = done.select("conv_id", F.sha2(chat.trained_text(F.col("formatted"), F.col("loss_spans")), 256).alias("t")).collect()
+    want = {1: "<|😀\\" * 150_000, 2: "<|" * 500_000}
+    assert {r.conv_id: r.t for r in loss} == {k: hashlib.sha256(v.encode()).hexdigest() for k, v in want.items()}
+
+
 def test_parts_become_placeholders_with_references(spark):
     rows = [
         (1, 0, "user", [part(text="see "), part("image", ref="s3/i.png", width=28, height=15), part(text=" and "), part("audio", ref="a.wav", seconds=1.5)]),

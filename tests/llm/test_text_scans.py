@@ -257,3 +257,104 @@ def test_every_block_ends_in_the_next_document(spark, n):
     for k, doc in enumerate(order):
         want = phrases.edited(texts[doc], texts[order[(k + 1) % n]])
         assert got[doc] == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_later_mentions_follow_the_titled_name(spark):
+    texts = [
+        "Mr John Smith called. Smith left; SMITH’s dog and Johnathan stayed. Jane Roe too.",
+        "Smith is not named here, mail a@b.com",
+        "Frau Иванова! Later Иванова, then Mr Иванова Long. A Long way, long ago, Long",
+        "Long before Mr Long.",
+    ]
+    out = replaced(spark, texts)
+    given, family = re.match(r"Mr (\w+) (\w+) called", out[0]).groups()
+    assert out[0] == f"Mr {given} {family} called. {family} left; SMITH’s dog and Johnathan stayed. Jane Roe too."
+    assert out[1].startswith("Smith is not named here, mail ")
+    assert "Иванова" not in out[2] and re.search(r"A (\w+) way, long ago, (\w+)", out[2]).group(1) != "Long"
+    first, last = re.fullmatch(r"(\w+) before Mr (\w+)\.", out[3]).groups()
+    assert first == last != "Long"
+
+
+def test_numbers_keep_apart(spark):
+    assert replaced(spark, ["555 123 4567 2001:db8::1"])[0].endswith(" 2001:db8::1")
+    assert not replaced(spark, ["555 123 4567 2001:db8::1"])[0].startswith("555 123 4567")
+    for card in ("4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111", "3782 822463 10005"):
+        assert card not in replaced(spark, [f"pay {card}."])[0]
+
+
+HOSTILE = [
+    "see a@" + "b." * 500_000 + "com",
+    "a." * 500_000 + "@b.com",
+    "a@b" * 300_000,
+    "+1" + " 22" * 300_000,
+    "1" * 1_000_000,
+    "1 " * 500_000,
+    "1234 " * 200_000,
+    "1.2." * 250_000,
+    "AB12" + " CD34" * 200_000,
+    "AKIA" * 250_000,
+    "eyJ" * 330_000,
+    "eyJaaaaaaaa." * 80_000,
+    "-----BEGIN PRIVATE KEY-----" * 40_000,
+    "-----BEGIN " + "A " * 500_000,
+    "token" * 200_000,
+    "token" + " " * 1_000_000,
+    "password=" * 110_000,
+    "://a:" * 200_000,
+    "gho_" * 250_000,
+    "xoxb-" * 200_000,
+    "Mr. " + "A’" * 500_000,
+    "Mr. A " * 160_000,
+    "f" * 1_000_000,
+    "Aa-" * 330_000,
+]
+
+
+def test_long_hostile_texts(spark):
+    df = spark.createDataFrame(list(enumerate(HOSTILE)), "doc_id long, text string").withColumn("source", surrogates.F.lit("s"))
+    out = [r.text for r in surrogates.replace_personal_data(df.repartition(8), KEY).orderBy("doc_id").collect()]
+    assert len(out) == len(HOSTILE) and "b." * 200 not in out[0][:400]
+    assert credentials.scan(df.repartition(8)).count() == len(HOSTILE)
+
+
+def plain_entities(text):
+    """(kind, value) and the gaps around them, by the patterns in another regular-expression engine."""
+    import regex
+
+    found = list(regex.finditer("|".join(f"(?:{p})" for p in surrogates.PATTERNS.values()), text))
+    at, gaps = 0, []
+    for m in found:
+        gaps.append(text[at : m.start()])
+        at = m.end()
+    out = []
+    for m in found:
+        kind = next((k for k, p in surrogates.PATTERNS.items() if regex.fullmatch(p, m[0])), "person")
+        prefix = regex.match(surrogates.PREFIX[kind], m[0])[0] if kind in surrogates.PREFIX else ""
+        gaps[len(out)] += prefix
+        out.append((kind, m[0][len(prefix) :]))
+    return out, [*gaps, text[at:]]
+
+
+def test_surrogate_query_against_plain_version(spark):
+    from waitlens.llm.queries import REGISTRY
+
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in documents(spark, sf).collect()}
+    said = {}
+    for r in REGISTRY["op7_surrogates"].run(spark, sf).collect():
+        text = texts.pop(r.doc_id)
+        if text is None:
+            assert r.text is None
+            continue
+        entities, gaps = plain_entities(text)
+        assert r.n_entities == len(entities)
+        # Everything between the entities is where it was.
+        got = re.fullmatch("([\\s\\S]+?)".join(map(re.escape, gaps)), r.text)
+        assert got, r.doc_id
+        for (kind, value), new in zip(entities, got.groups(), strict=True):
+            norm = re.sub(r"\D", "", value) if kind in ("phone", "card", "social") else value.lower() if kind == "email" else value
+            new = re.sub(r"\D", "", new) if kind in ("phone", "card", "social") else new
+            assert said.setdefault((kind, norm), new) == new and new != norm
+    assert not texts and len(said) > 50
+    # Different values stay different.
+    assert len({(k, v.lower()) for (k, _), v in said.items()}) == len(said)

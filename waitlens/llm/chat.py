@@ -6,7 +6,8 @@ spell, with an attachment record (turn, place, kind, reference, expanded token c
 Turns stand between marks; a list of spans says which characters train the model.
 
 Escaping is reversible: ``\\`` becomes ``\\\\`` and ``<|`` becomes ``<\\|``, so a text never
-holds ``<|``, with which every control string begins.
+holds ``<|``, with which every control string begins. A text behind another
+part gets a ``\\`` before a ``|`` it starts with, so none arises where two parts meet either.
 
 Results: null text is empty text, a null role is the empty role, a null or empty part list
 gives an empty turn. Turns are ordered by turn number, then role, then parts, so repeated
@@ -63,12 +64,12 @@ def expanded_tokens(part: Column, patch: int = 14, per_second: int = 25, per_pag
     )
 
 
-def visit(part: Column) -> Column:
+def visit(part: Column, place: Column) -> Column:
     """What one part contributes: its string, whether it is text, its tokens, its reference."""
     known = part["kind"].isin(*PLACEHOLDERS)
-    shown = F.when(known, F.concat(F.lit("<|"), part["kind"], F.lit("|>"))).otherwise(
-        escape(F.coalesce(part["text"], F.lit("")))
-    )
+    text = escape(F.coalesce(part["text"], F.lit("")))
+    joint = F.when((place > 0) & F.startswith(text, F.lit("|")), F.concat(F.lit("\\"), text)).otherwise(text)
+    shown = F.when(known, F.concat(F.lit("<|"), part["kind"], F.lit("|>"))).otherwise(joint)
     return F.struct(
         shown.alias("shown"),
         F.coalesce(~known, F.lit(True)).alias("is_text"),
@@ -81,8 +82,8 @@ def visit(part: Column) -> Column:
 def format_chat(messages: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
     """One row per conversation from (conv_id, turn, role, parts).
 
-    Columns: conv_id, formatted, loss_spans (start from 0 and length, in code points),
-    attachments, expanded_tokens. A conversation is one string, so its own messages, and no
+    Columns: conv_id, formatted, loss_spans (start from 0 and length, in code points, with
+    the turn's number from 1 and the start within it), attachments, expanded_tokens. A conversation is one string, so its own messages, and no
     other rows, meet in one place; offsets come from a running sum, linear in its turns.
     """
     role = F.coalesce(F.col("role"), F.lit(""))
@@ -118,6 +119,7 @@ def format_chat(messages: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFr
             lambda p, i: F.struct(
                 F.col("turn").cast("long").alias("turn"),
                 (F.col("_start") + part_start(i)).alias("start"),
+                part_start(i).alias("at"),
                 F.length(p["shown"]).cast("long").alias("length"),
                 p["is_text"].alias("is_text"),
                 p["kind"].alias("kind"),
@@ -127,7 +129,7 @@ def format_chat(messages: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFr
         ),
     )
     trained = F.filter("_placed", lambda p: p["is_text"] & (F.col("_role") == trained_role))
-    spans = F.transform(trained, lambda p: F.struct("_number", p["start"].alias("start"), p["length"].alias("length")))
+    spans = F.transform(trained, lambda p: F.struct("_number", *[p[c].alias(c) for c in ("start", "length", "at")]))
     attached = F.transform(
         F.filter("_placed", lambda p: ~p["is_text"]),
         lambda p: F.struct(*[p[c].alias(c) for c in ("start", "turn", "kind", "ref", "tokens")]),
@@ -141,7 +143,9 @@ def format_chat(messages: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFr
     return whole.select(
         "conv_id",
         F.array_join(F.col("_turns._shown"), "").alias("formatted"),
-        F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"))).alias("loss_spans"),
+        F.transform(
+            "_spans", lambda s: F.struct(*[s[c].alias(n) for c, n in (("start", "start"), ("length", "length"), ("_number", "number"), ("at", "at"))])
+        ).alias("loss_spans"),
         "attachments",
         "expanded_tokens",
     )
@@ -168,6 +172,14 @@ def read_back(formatted: Column) -> Column:
 
 
 def trained_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    cut = lambda s: unescape(F.substring(formatted, s["start"].cast("int") + 1, s["length"].cast("int")))
+    """All text under the loss mask, unescaped, nothing between.
+
+    Each span is cut from its own turn, so the work is linear in the conversation.
+    """
+    turns = F.split(formatted, "<\\|im_start\\|>", -1)
+
+    def cut(s: Column) -> Column:
+        start = (s["at"] - len(START) + 1).cast("int")
+        return unescape(F.substring(F.get(turns, s["number"]), start, s["length"].cast("int")))
+
     return F.array_join(F.transform(spans, cut), "")

@@ -5,7 +5,8 @@ counted over the whole corpus by distinct repositories and distinct owners. A va
 owners hold is a copied example, as is one of two owners in many repositories; a value of
 one owner that looks random is live, in however many repositories. Named formats are always
 reported; long random strings outside any named format are reported only if they are
-owner-specific.
+owner-specific. Runs of characters are taken whole or not at all, so a long run is read
+once per pattern, whatever it consists of.
 
 Results: null text is empty text; a text without candidates has an empty span list and the
 digest of the empty string; repeated rows have a row each and count as one repository; a
@@ -40,15 +41,15 @@ class Kind:
 KINDS = (
     Kind(
         "assign",
-        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]++)""",
         group=2,
         least=6,
         base=True,
     ),
     Kind("access", r"AKIA[A-Z0-9]+", least=20, hint="AKIA", base=True),
     Kind("hex", r"[0-9a-f]{24,}", least=24, base=True),
-    Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hint="eyJ"),
-    Kind("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----", hint="PRIVATE KEY"),
+    Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", hint="eyJ"),
+    Kind("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]++-----END [A-Z ]{0,40}PRIVATE KEY-----", hint="PRIVATE KEY"),
     Kind("forge", r"\bgh[opsru]_[A-Za-z0-9]{36,}", hint="gh"),
     Kind("hook", r"\bxox[abprs]-[A-Za-z0-9-]{10,}", hint="xox"),
     Kind("url", r"://[^\s/:@]{1,64}:([^\s/@]{6,128})@", group=1, least=6, hint="://"),
@@ -118,7 +119,11 @@ def scan(
 
     The verdict is ``live``, ``example`` or ``unsure``.
     """
-    scratch = Scratch(docs.sparkSession, "secrets")
+    with Scratch(docs.sparkSession, "secrets") as scratch:
+        return scratch.finish(_scan(docs, id_col, text_col, repo_col, owner_col, scratch))
+
+
+def _scan(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner_col: str, scratch: Scratch) -> DataFrame:
     read = scratch.keep(candidates(docs, id_col, text_col, repo_col, owner_col))
     by_kind = read.where(F.size("_found") > 0).select("_row", "_repo", "_owner", F.explode("_found").alias("_f")).select(
         "_row", "_repo", "_owner", F.col("_f.kind").alias("kind"), F.col("_f.gaps").alias("_gaps"), F.col("_f.values").alias("_values")

@@ -193,7 +193,7 @@ def keep_bitmaps(
     whole = every.unionByName(gone.withColumn("_n", F.lit(None).cast("int"))).groupBy("doc", "copy").agg(
         F.max("_n").alias("n_lines"), F.collect_set("pos").alias("_gone")
     )
-    return scratch.keep(
+    return scratch.finish(
         whole.select("doc", "copy", "n_lines", F.size("_gone").alias("n_dropped"), F.arrow_udf(pack_bits, "binary")("n_lines", "_gone").alias("keep"))
     )
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from waitlens.llm.common import Scratch, utf8
 from waitlens.operators.dims import dense_key
+from waitlens.session import settled_folder
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -42,19 +43,20 @@ def size_of(text: Column) -> Column:
     return F.arrow_udf(count, "long")(text)
 
 
-def targets(sizes: DataFrame, weights: Sequence[float], share: float, repeats: int) -> DataFrame:
+def targets(sizes: DataFrame, weights: Sequence[float], share: float, repeats: int, scratch: Scratch) -> DataFrame:
     """(_key, source_size) with a target each: ``share`` of all words dealt by weight.
 
     Sources in order of their key take the weights in turn. A target above ``repeats`` times
     its source stops there and the excess is dealt again among the others. Only sums reach
     the driver; each round settles at least one source or is the last.
     """
-    scratch = Scratch(sizes.sparkSession, "mix-targets")
     turn = F.pmod(F.col("_turn") - 1, F.lit(len(weights))).cast("int")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1)
-    table = scratch.keep(
-        dense_key(sizes, ["_key"], "_turn").select("_key", "source_size", weight.alias("_weight"))
-    )
+    # The folder of the settled ranks goes with the block.
+    with settled_folder(sizes.sparkSession):
+        table = scratch.keep(
+            dense_key(sizes, ["_key"], "_turn").select("_key", "source_size", weight.alias("_weight"))
+        )
     cap = F.col("source_size") * F.lit(float(repeats))
     total = share * float(table.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0])
     level = None
@@ -143,8 +145,12 @@ def mix(
 
     ``carry`` names a column to hand through, for a caller whose ids are not unique.
     """
+    with Scratch(docs.sparkSession, "mix") as scratch:
+        return scratch.finish(_mixed(docs, id_col, text_col, source_col, weights, share, repeats, seed, carry, scratch))
+
+
+def _mixed(docs, id_col, text_col, source_col, weights, share, repeats, seed, carry, scratch) -> DataFrame:
     carried = [] if carry is None else [F.col(carry).alias("_carry")]
-    scratch = Scratch(docs.sparkSession, "mix")
     key = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
     order = F.xxhash64(F.lit(seed), F.col(id_col))
     sized = scratch.keep(
@@ -159,7 +165,7 @@ def mix(
     parts = scratch.keep(sized.groupBy("_key", "_size", "_part").agg(F.count("*").alias("_n")))
     lengths = parts.groupBy("_key", "_size").agg(F.sum("_n").alias("_n"))
     totals = lengths.groupBy("_key").agg(F.sum(F.col("_size") * F.col("_n")).alias("source_size"))
-    goals = scratch.keep(targets(totals, weights, share, repeats))
+    goals = scratch.keep(targets(totals, weights, share, repeats, scratch))
 
     whole = F.when(
         F.col("source_size") > 0,

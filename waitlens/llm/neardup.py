@@ -320,7 +320,13 @@ def near_duplicates(
     trees: int = TREES,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
-    scratch = Scratch(docs.sparkSession, "neardup")
+    with Scratch(docs.sparkSession, "neardup") as scratch:
+        return _join(docs, id_col, text_col, shingle, threshold, trees, scratch)
+
+
+def _join(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, threshold: float, trees: int, scratch: Scratch
+) -> DataFrame:
     floor = threshold - SLACK
     base = scratch.keep(signatures(docs, id_col, text_col, shingle))
     classes = scratch.keep(
@@ -340,6 +346,7 @@ def near_duplicates(
     # Down the trees by signature.
     first = F.array(*[_child(tree, F.lit(c), F.col("_sig")) for tree, c in _roots(trees, threshold)])
     level = scratch.keep(_occupied(classes.select(F.explode(first).alias("node"), "cid")))
+    spent = [level]
     small, stars = [level.where(F.col("n") <= SMALL)], []
     large = level.where(F.col("n") > SMALL)
     # Whoever is in a large node further down is in one here.
@@ -349,9 +356,12 @@ def near_duplicates(
             break
         stars.append(large.select("cid", "hub"))
         level = scratch.keep(_occupied(_branch(large.join(walkers, "cid"), threshold)))
+        spent.append(level)
         small.append(level.where(F.col("n") <= SMALL))
         large = level.where(F.col("n") > SMALL)
     stars.append(large.select("cid", "hub"))
+    # The rows of the last level that are read again below.
+    spent = [df for df in spent if df is not level]
     few = scratch.keep(_union(small).join(lows, "cid").select("node", "cid", "_low"))
     hubs = _union(stars).where("cid <> hub").distinct()
     likely = F.arrow_udf(_estimate, "double")("_low", "_hub_low")
@@ -362,6 +372,7 @@ def near_duplicates(
         .select(F.col("hub").alias("a"), F.col("cid").alias("b"))
     )
     proposed = scratch.keep(_by_node(few, floor, False).unionByName(starred).distinct())
+    scratch.drop(*spent)
     # Members of nodes that are still large may find partners further down.
     sets = sets_of(_ends(proposed).unionByName(large.select("cid")).distinct())
 
@@ -370,8 +381,10 @@ def near_duplicates(
     links = scratch.keep(confirm(forest, sets, threshold))
     roots = scratch.keep(components(links, scratch))
     rest = _apart(proposed.join(forest, ["a", "b"], "left_anti"), roots)
+    before = [links, roots]
     links = scratch.keep(links.unionByName(confirm(rest, sets, threshold)))
     roots = scratch.keep(components(links, scratch))
+    scratch.drop(*before)
 
     # Small nodes whose members are not all together yet.
     mixed = scratch.keep(_mixed(few, roots))
@@ -397,14 +410,13 @@ def near_duplicates(
         links = scratch.keep(links.unionByName(confirm(more, sets, threshold)))
         roots = scratch.keep(components(links, scratch))
 
-    named = scratch.keep(
+    named = (
         classes.select("_key", "cid")
         .join(roots, F.col("cid") == F.col("vertex"), "left")
         .select("_key", F.coalesce("root", "cid").alias("_component"))
     )
-    scratch.drop(level, few, proposed, sets, links, mixed, classes)
     component = F.when(F.col("_id").isNotNull(), F.coalesce("_component", "_id"))
-    return (
+    return scratch.finish(
         base.select("_id", "_n", "_key")
         .join(named, "_key", "left")
         .select(

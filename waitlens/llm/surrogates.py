@@ -1,7 +1,9 @@
 """Personal data replaced by keyed surrogates, in DataFrame expressions only.
 
 Mail addresses, phone, card, account and social security numbers, network addresses,
-credentials and titled names are found by pattern. Each is reduced to atoms (a kind and a
+credentials and titled names are found by pattern. Once a titled name is found in a text,
+its parts are looked up among the capitalised words of that text, so later mentions without
+a title read like the first; names that never stand behind a title are not found. Each is reduced to atoms (a kind and a
 normalised value), and every distinct atom of the corpus gets one surrogate from a keyed
 hash: digits stay digits, letters keep case and script, a card number keeps its check digit
 right, a name keeps gender and script. So the same value reads the same everywhere, however
@@ -12,6 +14,8 @@ value without letters and digits, which no draw can change, is lengthened from t
 So there is always room, and every value gets its surrogate.
 
 Only texts with an entity are taken apart; the others pass through where they are read.
+Patterns repeat single characters without bound, groups only a few times: matching a text
+of any length needs no deep stack.
 
 Results: null text stays null; repeated rows are replaced alike; an empty table gives no
 rows; all other columns are carried through whatever their names.
@@ -33,21 +37,26 @@ _TITLE = "(?:" + "|".join((*MALE, *FEMALE, "Dr", "Prof")) + r")\.? "
 
 # A run of characters is entered at its first one only, so a long run is read once.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "secret": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}""",
+    # A host name has at most 127 labels.
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,126}",
+    "secret": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9+/_.=-]{6,}""",
     "access": r"AKIA[A-Z0-9]{16,}",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-    r"|(?<!\d)\(\d{3}\)\x20?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
+    r"|(?<!\d)\(\d{3}\)\x20?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])",
     "social": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)",
+    # In one run, in fours, or as four, six and five digits.
+    "card": r"(?<![\d.-])(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,4}(?: \d{1,3})?|\d{4}(?:-\d{4}){2}-\d{1,4}(?:-\d{1,3})?"
+    r"|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?!\d)",
     "address": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
     "person": rf"(?<!\p{{L}}){_TITLE}{_NAME}(?: {_NAME})?",
 }
+#: A capitalised word, which may be a later mention of a name.
+WORD = rf"(?<!\p{{L}}){_NAME}"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What stands before the replaced part of a match.
 PREFIX = {
-    "secret": r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""",
+    "secret": r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?""",
     "person": f"^{_TITLE}",
 }
 SYLLABLES = {
@@ -261,18 +270,46 @@ def replace_personal_data(docs: DataFrame, key: bytes, text_col: str = "text") -
     return counted(docs, key, text_col).select("row.*")
 
 
+def later_mentions(parts: DataFrame, named: DataFrame) -> DataFrame:
+    """(_id, _anew, _mentions): the gaps of texts in which a detected name stands again.
+
+    ``named`` has (_id, norm, surrogate), the names detected in each text; only such texts
+    are looked at. Words meet names by equality of text and spelling.
+    """
+    cut = parts.join(named.select("_id").distinct(), "_id", "left_semi").select("_id", F.posexplode("_gaps").alias("_g", "_gap"))
+    cut = cut.select("_id", "_g", "_gap", gaps(F.col("_gap"), WORD).alias("_between"), matches(F.col("_gap"), WORD).alias("_words"))
+    words = cut.select("_id", "_g", F.posexplode("_words").alias("_w", "_word")).withColumn("norm", F.lower("_word"))
+    word = F.col("_word")
+    spelled = F.when((word == F.upper(word)) & (word != F.initcap(word)), F.upper("surrogate")).otherwise(F.col("surrogate"))
+    met = words.join(named, ["_id", "norm"], "left").withColumn("_new", F.coalesce(spelled, word))
+    per_gap = met.groupBy("_id", "_g").agg(
+        F.sort_array(F.collect_list(F.struct("_w", "_new"))).alias("_news"), F.count("surrogate").alias("_n")
+    )
+    before = F.expr("slice(_between, 1, size(_between) - 1)")
+    spelled = F.concat(F.array_join(F.zip_with(before, F.col("_news._new"), lambda g, n: F.concat(g, n)), ""), F.element_at("_between", -1))
+    fresh = F.when(F.col("_n") > 0, spelled).otherwise(F.col("_gap"))
+    whole = cut.join(per_gap.where("_n > 0"), ["_id", "_g"], "left").groupBy("_id").agg(
+        F.sort_array(F.collect_list(F.struct("_g", fresh.alias("_gap")))).alias("_all"), F.sum("_n").alias("_mentions")
+    )
+    return whole.where("_mentions > 0").select("_id", F.col("_all._gap").alias("_anew"), "_mentions")
+
+
 def counted(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """(row, n_entities): the whole row as a struct, its text replaced."""
-    scratch = Scratch(docs.sparkSession, "surrogates")
     # The row travels as one struct, so no column of it can clash with those made here.
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text = F.col("row").getField(text_col)
     found = F.coalesce(may_hold_some(text) & text.rlike(ANY), F.lit(False))
     plain = rows.where(~found).select("row", F.lit(0).cast("long").alias("n_entities"))
+    with Scratch(docs.sparkSession, "surrogates") as scratch:
+        return plain.unionByName(scratch.finish(_replaced(rows.where(found), text, key, text_col, docs.columns, scratch)))
+
+
+def _replaced(rows: DataFrame, text: Column, key: bytes, text_col: str, columns: list[str], scratch: Scratch) -> DataFrame:
+    """(row, n_entities) of rows that hold an entity."""
+    others = F.struct(*[F.col("row").getField(c).alias(c) for c in columns if c != text_col]).alias("row") if len(columns) > 1 else F.struct(F.lit(None).alias("_none")).alias("row")
     parts = scratch.keep(
-        rows.where(found).select(
-            F.monotonically_increasing_id().alias("_id"), "row", gaps(text, ANY).alias("_gaps"), matches(text, ANY).alias("_matches")
-        )
+        rows.select(F.monotonically_increasing_id().alias("_id"), others, gaps(text, ANY).alias("_gaps"), matches(text, ANY).alias("_matches"))
     )
     hits = parts.select("_id", F.posexplode("_matches").alias("_pos", "_match")).withColumn("kind", kind_of(F.col("_match")))
     prefix = F.lit("")
@@ -291,22 +328,22 @@ def counted(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     # A name met with and without a telling title takes the telling one.
     atoms = placed.groupBy("kind", "norm").agg(F.max(F.when(F.col("gender") != "any", F.col("gender"))).alias("gender"), F.max("script").alias("script"))
     table = assign(atoms.withColumn("gender", F.coalesce("gender", F.lit("any"))), key, scratch)
-    drawn = (
-        placed.join(table, ["kind", "norm"])
-        .groupBy("_id", "_pos")
-        .agg(F.sort_array(F.collect_list(F.struct("_n", "surrogate"))).alias("_drawn"))
-    )
+    spelled = placed.join(table, ["kind", "norm"])
+    drawn = spelled.groupBy("_id", "_pos").agg(F.sort_array(F.collect_list(F.struct("_n", "surrogate"))).alias("_drawn"))
     fresh = F.concat("_prefix", written_like(F.col("_value"), F.col("kind"), F.col("_drawn.surrogate")))
     per_row = (
         hits.join(drawn, ["_id", "_pos"])
         .groupBy("_id")
         .agg(F.sort_array(F.collect_list(F.struct("_pos", fresh.alias("_new")))).alias("_news"))
     )
+    # A word that is a given name here and a family name there counts as the latter.
+    named = spelled.where(F.col("kind").isin("given", "family")).groupBy("_id", "norm").agg(F.min_by("surrogate", "kind").alias("surrogate"))
+    again = later_mentions(parts, named)
+    laid = parts.join(per_row, "_id").join(again, "_id", "left").withColumn("_rest", F.coalesce("_anew", "_gaps"))
     joined = F.array_join(
-        F.concat(F.zip_with(F.expr("slice(_gaps, 1, size(_gaps) - 1)"), F.col("_news._new"), lambda g, n: F.concat(g, n)), F.expr("slice(_gaps, size(_gaps), 1)")), ""
+        F.concat(F.zip_with(F.expr("slice(_rest, 1, size(_rest) - 1)"), F.col("_news._new"), lambda g, n: F.concat(g, n)), F.expr("slice(_rest, size(_rest), 1)")), ""
     )
-    changed = parts.join(per_row, "_id").select(
-        F.struct(*[(joined if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns]).alias("row"),
-        F.size("_news").cast("long").alias("n_entities"),
+    return laid.select(
+        F.struct(*[(joined if c == text_col else F.col("row").getField(c)).alias(c) for c in columns]).alias("row"),
+        (F.size("_news") + F.coalesce("_mentions", F.lit(0))).cast("long").alias("n_entities"),
     )
-    return plain.unionByName(changed)

@@ -218,7 +218,11 @@ def near_vectors(
     threshold: float = 0.93,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per vector."""
-    scratch = Scratch(vectors.sparkSession, "vectors")
+    with Scratch(vectors.sparkSession, "vectors") as scratch:
+        return scratch.finish(_linked(vectors, id_col, vec_col, label_col, threshold, scratch))
+
+
+def _linked(vectors: DataFrame, id_col: str, vec_col: str, label_col: str, threshold: float, scratch: Scratch) -> DataFrame:
     base = scratch.keep(unit_rows(vectors, id_col, vec_col, label_col))
     classes = scratch.keep(
         base.where("_key IS NOT NULL")
