@@ -15,20 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitlens.llm import mixing, neardup, packing, quality, surrogates
-from waitlens.llm.common import Scratch, read
+from waitlens.llm.common import Scratch, numbered, read, release, scratch_folder
 from waitlens.llm.queries import SURROGATE_KEY, TOKENIZER
 
 
-def _named(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(name, row): every row under a number of its own, written so that it keeps it.
-
-    Ids may repeat or be null; the number never does. The row is a struct, so no column of
-    it can clash with those a stage makes.
-    """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return scratch.keep(docs.select(F.monotonically_increasing_id().alias("name"), row))
-
-
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the line-chain classifier rejects go; the rest stays as it is."""
     model = quality.train(docs, read(spark, sf_dir, "labels"))
@@ -42,13 +32,15 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Groups are components of links on five-word shingles at a similarity of 0.8.
     """
     scratch = Scratch(spark, "dedup-stage")
-    rows = _named(docs, scratch)
+    rows = numbered(docs, scratch)
     found = neardup.near_duplicates(rows.select("name", "row.text"), id_col="name")
     ids = rows.select(F.col("name").alias("doc_id"), F.col("row.doc_id").cast("long").alias("id"))
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("doc_id").alias("name"))
     first = found.join(ids, "doc_id").groupBy("component_id").agg(F.min(order).alias("first"))
     kept = scratch.keep(first.select("first.name"))
-    return rows.join(kept, "name", "left_semi").select("row.*")
+    release(found)
+    # The list grows with the documents; whole rows meet it in the same way at any size.
+    return rows.hint("merge").join(kept, "name", "left_semi").select("row.*")
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,11 +54,12 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
     scratch = Scratch(spark, "mix-stage")
-    rows = _named(docs, scratch)
+    rows = numbered(docs, scratch)
     mixed = mixing.mix(rows.select("name", "row.doc_id", "row.text", "row.source"), carry="name")
     taken = scratch.keep(mixed.where("copies > 0").select("name", "copies"))
+    release(mixed)
     repeated = F.explode(F.array_repeat("row", F.col("copies").cast("int"))).alias("row")
-    return rows.join(taken, "name").select(repeated).select("row.*")
+    return rows.hint("merge").join(taken, "name").select(repeated).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,9 +80,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder before the next."""
+    """All stages over ``documents``, each written to the shared folder before the next.
+
+    What a stage needed goes when its output is written, and the output when the next
+    stage's is, so two of them at most are there at a time and one remains to be read.
+    """
     scratch = Scratch(spark, "pipeline")
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = scratch.keep(stage(spark, docs, sf_dir))
+        with scratch_folder(spark):
+            kept = scratch.keep(stage(spark, docs, sf_dir))
+        scratch.drop(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
