@@ -28,7 +28,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waitlens.llm.common import Scratch, WordTable, slices
-from waitlens.llm.packing import byte_names
+from waitlens.llm.packing import Encoder, byte_names
 
 #: Rows of the table of frequent pairs at most.
 FREQUENT = 1 << 18
@@ -67,6 +66,9 @@ class Vocabularies:
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
+        # The same merges from the same file, several times faster on short strings; None
+        # where the file's merges do not stand in the order of their ids.
+        self.ranks = Encoder(path_a).ranks
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         names = byte_names()
@@ -81,8 +83,8 @@ class Vocabularies:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         self.segmented = not any(re.search("[^▁]▁", p) for p in pieces)
-        self.size_a = np.array([len(x) for x in self.bytes_a])
-        self.size_b = np.array([len(x) for x in self.bytes_b])
+        self.size_a = [len(x) for x in self.bytes_a]
+        self.size_b = [len(x) for x in self.bytes_b]
         # The first B id with the same bytes; -1 if there is none. Control tokens spell nothing.
         same: dict[bytes, int] = {}
         for i, spelling in enumerate(self.bytes_b):
@@ -90,18 +92,23 @@ class Vocabularies:
                 same.setdefault(spelling, i)
         self.identity = np.array([same.get(x, -1) for x in self.bytes_a], np.int64)
 
-    def encode(self, spaced: str) -> tuple[list[int], list[int]] | None:
-        """Ids of a text that starts with a space; None where they do not spell it.
+    def encode(self, spaced: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of texts that start with a space; None where they do not spell the text.
 
-        B puts a space of its own in front, so the text's goes.
+        B puts a space of its own in front, so the text's goes; an empty rest gets none.
         """
-        a = self.a.encode(spaced, add_special_tokens=False).ids
-        # An empty text would get none.
-        b = self.b.encode(spaced[1:], num_threads=1) if len(spaced) > 1 else [self.b.piece_to_id("▁")]
-        spelling = spaced.encode("utf-8", "surrogatepass")
-        if b"".join(map(self.bytes_a.__getitem__, a)) != spelling or b"".join(map(self.bytes_b.__getitem__, b)) != spelling:
-            return None
-        return a, b
+        if self.ranks is not None and all(len(s) <= SHORT for s in spaced):
+            all_a = [self.ranks.encode_ordinary(s) for s in spaced]
+        else:
+            all_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        all_b = self.b.encode([s[1:] for s in spaced], num_threads=1)
+        out = []
+        for text, a, b in zip(spaced, all_a, all_b, strict=True):
+            b = b if len(text) > 1 else [self.b.piece_to_id("▁")]
+            spelling = text.encode("utf-8", "surrogatepass")
+            right = b"".join(map(self.bytes_a.__getitem__, a)) == spelling == b"".join(map(self.bytes_b.__getitem__, b))
+            out.append((a, b) if right else None)
+        return out
 
 
 class Aligner:
@@ -111,30 +118,61 @@ class Aligner:
         self.words = Vocabularies(path_a, path_b)
         self.known = WordTable(self.align, bound)
 
+    def learn(self, texts: list[str]) -> None:
+        """Align the short segments of some texts that are not remembered, all at once."""
+        cut = segments if self.words.segmented else lambda s: [s]
+        fresh = self.known.lacks({p for t in texts if t for p in cut(f" {t}") if len(p) <= SHORT})
+        for part, coded in zip(fresh, self.words.encode(fresh) if fresh else [], strict=True):
+            self.known.put(part, self.pair_up(coded))
+
     def align(self, spaced: str) -> tuple | None:
-        coded = self.words.encode(spaced)
+        return self.pair_up(self.words.encode([spaced])[0])
+
+    def pair_up(self, coded: tuple[list[int], list[int]] | None) -> tuple | None:
+        """Groups of the tokens between common ends, and their pairs."""
         if coded is None:
             return None
-        a, b = (np.array(x, np.int64) for x in coded)
-        ends_a, ends_b = self.words.size_a[a].cumsum(), self.words.size_b[b].cumsum()
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        stop_a, stop_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
-        spelled, pairs, links = [], Counter(), 0
-        i = j = 0
-        for p, q in zip(stop_a.tolist(), stop_b.tolist(), strict=True):
-            left, right = coded[0][i:p], coded[1][j:q]
+        a, b = coded
+        size_a, size_b = self.words.size_a, self.words.size_b
+        spelled: list[str] = []
+        pairs: dict[int, int] = {}
+        links = i = j = 0
+        while i < len(a):
+            one, two = a[i], b[j]
+            x, y = size_a[one], size_b[two]
+            if x == y:
+                spelled.append(f"{one}|{two}")
+                key = one * SPAN + two
+                pairs[key] = pairs.get(key, 0) + 1
+                links += 1
+                i += 1
+                j += 1
+                continue
+            p, q = i + 1, j + 1
+            while x != y:
+                if x < y:
+                    x += size_a[a[p]]
+                    p += 1
+                else:
+                    y += size_b[b[q]]
+                    q += 1
+            left, right = a[i:p], b[j:q]
             spelled.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
             links += len(left) * len(right)
-            if len(left) == len(right) == 1:
-                pairs[left[0] * SPAN + right[0]] += 1
-            else:
-                # Ids may repeat without end in a long group; their kinds are few.
-                right = Counter(right)
-                for x, n in Counter(left).items():
-                    for y, m in right.items():
-                        pairs[x * SPAN + y] += n * m
             i, j = p, q
-        return len(a), len(b), len(cuts), links, ";".join(spelled), array("q", pairs.keys()), array("q", pairs.values())
+            if len(left) + len(right) < 9:
+                for one in left:
+                    for two in right:
+                        key = one * SPAN + two
+                        pairs[key] = pairs.get(key, 0) + 1
+                continue
+            # Ids may repeat without end in a long group; their kinds are few.
+            right = Counter(right)
+            for one, n in Counter(left).items():
+                for two, m in right.items():
+                    key = one * SPAN + two
+                    pairs[key] = pairs.get(key, 0) + n * m
+        return len(a), len(b), len(spelled), links, ";".join(spelled), tuple(pairs), tuple(pairs.values())
 
     def document(self, text: str) -> list[tuple]:
         """The aligned segments of a text; none if its tokens do not spell it."""
@@ -158,7 +196,9 @@ def aligned(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
         for batch in batches:
             for start, stop in slices(batch, 1, 2 << 20):
                 part = batch.slice(start, stop - start)
-                yield emit(part.column(0), [describe(aligner, identity, t or "") for t in part.column(1).to_pylist()])
+                texts = part.column(1).to_pylist()
+                aligner.learn(texts)
+                yield emit(part.column(0), [describe(aligner, identity, t or "") for t in texts])
 
     def describe(aligner: Aligner, identity: np.ndarray, text: str) -> tuple:
         found = aligner.document(text)
