@@ -11,8 +11,8 @@ from waitlens.contracts import ENTITIES
 from waitlens.operators import conform
 from waitlens.operators.dims import calendar, dense_key
 from waitlens.plans import silver
-from waitlens.sources import store
-from waitlens.sources.store import VersionedTable, digits_bucket, hash_bucket, range_bucket
+from waitlens.sources import keyed
+from waitlens.sources.keyed import KeyedTable, digits_bucket, hash_bucket, range_bucket
 
 
 def test_increment_marks(spark):
@@ -78,104 +78,137 @@ def test_left_join_scatters_missing_keys(spark):
     assert keys and all("_key" in line and "_scatter" in line for line in keys)
 
 
-def test_upsert_is_idempotent_and_keeps_the_rest(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), ["k"])
+def rows_of(table):
+    return sorted(map(tuple, table.read().collect()))
+
+
+def files_of(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.glob("_bucket=*/*.parquet")}
+
+
+def test_merge_is_idempotent_and_keeps_the_rest(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["k"])
     assert table.read() is None
-    table.write(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
+    table.merge(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), ["k"])
     batch = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
-    want = [(1, "a"), (2, "B"), (3, "C")]
     for _ in range(2):
-        table.upsert(batch, ["k"])
-        assert sorted(map(tuple, table.read().collect())) == want
-    assert table.versions() == [1, 2, 3]
-    assert sorted(map(tuple, table.read(1).collect())) == [(1, "a"), (2, "b")]
+        assert table.merge(batch, ["k"])
+        assert rows_of(table) == [(1, "a"), (2, "B"), (3, "C")]
 
 
-def test_upsert_follows_the_batch_schema(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    table.write(spark.createDataFrame([(1, "a", 9)], "k int, v string, gone int"))
-    table.upsert(spark.createDataFrame([(2, "b", 1.5)], "k int, v string, fresh double"), ["k"])
+def test_merge_follows_the_batch_schema(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), (), range_bucket("k", 1))
+    table.merge(spark.createDataFrame([(1, "a", 9), (2, "x", 8)], "k int, v string, gone int"), ["k"])
+    table.merge(spark.createDataFrame([(2, "b", 1.5)], "k int, v string, fresh double"), ["k"])
     rows = {r.k: r.asDict() for r in table.read().collect()}
     assert rows == {1: {"k": 1, "v": "a", "fresh": None}, 2: {"k": 2, "v": "b", "fresh": 1.5}}
+    table.merge(spark.createDataFrame([("3", "three")], "k string, v string"), ["k"])
+    assert rows_of(table) == [("1", "a"), ("2", "b"), ("3", "three")]
 
 
-def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), ["k"], range_bucket("k", 10))
-    table.write(spark.createDataFrame([(i, "old") for i in range(40)], "k int, v string"))
-    batch = [(15, "new", 1), (17, "new", 1), (41, "new", 1)]
-    table.upsert(spark.createDataFrame(batch, "k int, v string, extra int"), ["k"])
-    folders = [{p.name for p in a.iterdir() if p.is_dir()} for a in (tmp_path / "t" / "data").iterdir()]
-    assert {"_bucket=1", "_bucket=4"} in folders and len(folders) == 2
-    rows = {r.k: (r.v, r.extra) for r in table.read().collect()}
-    want = {i: ("old", None) for i in range(40)} | {k: (v, e) for k, v, e in batch}
-    assert rows == want
-    assert table.read(1).count() == 40 and table.read(1).columns == ["k", "v"]
+def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
+    path = tmp_path / "t"
+    table = KeyedTable(spark, str(path), ["k"], range_bucket("k", 10))
+    table.merge(spark.createDataFrame([(i, "old") for i in range(40)], "k int, v string"), ["k"])
+    before = files_of(path)
+    batch = [(15, "new"), (17, "new"), (41, "new")]
+    table.merge(spark.createDataFrame(batch, "k int, v string"), ["k"])
+    after = files_of(path)
+    changed = {f.split("/")[0] for f in after if after[f] != before.get(f)} | {f.split("/")[0] for f in before if f not in after}
+    assert changed == {"_bucket=1", "_bucket=4"}
+    assert dict(rows_of(table)) == {i: "old" for i in range(40)} | dict(batch)
+    assert not list(path.glob("_staged/*"))
 
 
 def test_buckets_take_missing_and_text_keys(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), (), hash_bucket("k", 3))
+    table = KeyedTable(spark, str(tmp_path / "t"), (), hash_bucket("k", 3))
     batch = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, v int")
-    table.upsert(batch, ["k"])
-    table.upsert(spark.createDataFrame([("k3", 33)], "k string, v int"), ["k"])
+    table.merge(batch, ["k"])
+    table.merge(spark.createDataFrame([("k3", 33)], "k string, v int"), ["k"])
     rows = {r.k: r.v for r in table.read().collect()}
     assert rows == {f"k{i}": i for i in range(20)} | {"k3": 33}
-    table.upsert(spark.createDataFrame([], "k string, v int"), ["k"])
+    table.merge(spark.createDataFrame([], "k string, v int"), ["k"])
     assert table.read().count() == 20
     with pytest.raises(conform.MissingKeyError):
-        table.upsert(spark.createDataFrame([(None, 1)], "k string, v int"), ["k"])
+        table.merge(spark.createDataFrame([(None, 1)], "k string, v int"), ["k"])
+
+
+def test_an_empty_table_has_its_schema(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), (), range_bucket("k"))
+    table.merge(spark.createDataFrame([], "k int, v string"), ["k"])
+    assert rows_of(table) == [] and table.read().columns == ["k", "v"]
+    table.merge(spark.createDataFrame([(1, "a")], "k int, v string"), ["k"])
+    assert rows_of(table) == [(1, "a")]
 
 
 def test_the_stored_bucket_rule_stands(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(i, "old") for i in range(40)], "k int, v string")
-    VersionedTable(spark, path, (), range_bucket("k", 10)).write(rows)
-    other = VersionedTable(spark, path, (), range_bucket("k", 3))
-    other.upsert(spark.createDataFrame([(7, "new")], "k int, v string"), ["k"])
+    KeyedTable(spark, path, (), range_bucket("k", 10)).merge(rows, ["k"])
+    other = KeyedTable(spark, path, (), range_bucket("k", 3))
+    other.merge(spark.createDataFrame([(7, "new")], "k int, v string"), ["k"])
     assert other.rule().size == 10
     assert sorted(r.v for r in other.read().where("k = 7").collect()) == ["new"] and other.read().count() == 40
-    with pytest.raises(ValueError, match="rebucket"):
-        VersionedTable(spark, path, (), hash_bucket("k", 3)).upsert(rows, ["k"])
-    other.rebucket(hash_bucket("k", 3))
-    assert other.rule().kind == "hash" and other.read().count() == 40
+    with pytest.raises(ValueError, match="bucketed by"):
+        KeyedTable(spark, path, (), hash_bucket("k", 3)).merge(rows, ["k"])
 
 
-def test_bucket_sizes_follow_the_first_version(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(store, "BUCKET_ROWS", 10)
+def test_bucket_sizes_follow_the_first_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "BUCKET_ROWS", 10)
     rows = spark.createDataFrame([(f"A{i * 1000}", i) for i in range(40)], "k string, v int")
-    table = VersionedTable(spark, str(tmp_path / "t"), (), digits_bucket("k"))
-    table.upsert(rows, ["k"])
+    table = KeyedTable(spark, str(tmp_path / "t"), (), digits_bucket("k"))
+    table.merge(rows, ["k"])
     assert table.rule().size == 9751
-    table.upsert(spark.createDataFrame([("A1000", -1), ("none", -2)], "k string, v int"), ["k"])
+    table.merge(spark.createDataFrame([("A1000", -1), ("none", -2)], "k string, v int"), ["k"])
     assert table.read().where("v < 0").count() == 2 and table.read().count() == 41
 
 
-def test_a_changed_type_rewrites_the_table(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), (), range_bucket("k", 10))
-    table.write(spark.createDataFrame([(i, i) for i in range(30)], "k int, v int"))
-    table.upsert(spark.createDataFrame([(3, "three")], "k int, v string"), ["k"])
-    rows = {r.k: r.v for r in table.read().collect()}
-    assert rows == {i: str(i) for i in range(30)} | {3: "three"}
-
-
-def test_one_of_two_writers_commits(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    table.write(spark.createDataFrame([(1,)], "k int"))
-    batch = spark.createDataFrame([(2,)], "k int")
-    table._commit(batch, 1, table.bucket, {}, [])
-    with pytest.raises(store.ConcurrentWriteError):
-        table._commit(batch, 1, table.bucket, {}, [])
-    assert table.versions() == [1, 2]
-    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
-
-
-def test_old_versions_expire(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), (), range_bucket("k", 10))
-    table.write(spark.createDataFrame([(i, 0) for i in range(30)], "k int, v int"))
-    for n in range(4):
-        table.upsert(spark.createDataFrame([(5, n)], "k int, v int"), ["k"])
-    table.expire(2)
-    assert table.versions() == [4, 5] and table.read().count() == 30 and table.read(4).count() == 30
-    assert len(list((tmp_path / "t" / "data").iterdir())) == 3
+def test_newest_row_stays_in_whatever_order_batches_come(spark, tmp_path):
+    rows = [(k, at, f"{k}/{at}") for k in range(6) for at in range(k + 1)] + [(1, None, "unknown counts as newest")]
+    want = sorted([(k, f"{k}/{k}") for k in range(6) if k != 1] + [(1, "unknown counts as newest")])
+    for n, order in enumerate(([0, 1, 2], [2, 1, 0], [1, 2, 0])):
+        table = KeyedTable(spark, str(tmp_path / f"t{n}"), (), range_bucket("k", 2))
+        for part in order:
+            batch = [r for i, r in enumerate(rows) if i % 3 == part]
+            table.merge(spark.createDataFrame(batch, "k int, at int, v string"), ["k"], ["at"])
+        assert [(k, v) for k, _, v in rows_of(table)] == want
+    # Of rows that tie, the one that comes last.
+    table.merge(spark.createDataFrame([(5, 5, "again")], "k int, at int, v string"), ["k"], ["at"])
+    assert dict((k, v) for k, _, v in rows_of(table))[5] == "again"
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"))
+    frame = lambda v: spark.createDataFrame([(1, v)], "k int, v string")
+    assert table.merge(frame("a"), ["k"], batch_id="b1") and table.merge(frame("b"), ["k"], batch_id="b2")
+    assert not table.merge(frame("a"), ["k"], batch_id="b1")
+    assert rows_of(table) == [(1, "b")] and table.loaded() == ["b1", "b2"]
+
+
+def test_an_overwrite_cut_short_is_repeated(spark, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "t"), (), range_bucket("k", 10))
+    table.merge(spark.createDataFrame([(i, "old") for i in range(30)], "k int, v string"), ["k"])
+    batch = spark.createDataFrame([(5, "new"), (25, "new")], "k int, v string")
+
+    def dies(self, aside):
+        # As if the driver died when one partition was gone and none was back.
+        import shutil
+
+        shutil.rmtree(tmp_path / "t" / "_bucket=0")
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(KeyedTable, "_put", dies)
+        with pytest.raises(RuntimeError):
+            table.merge(batch, ["k"], batch_id="b1")
+    assert table.read().count() == 20
+    # The replay finds the rows aside and is then recorded.
+    assert not table.merge(batch, ["k"], batch_id="b1")
+    assert dict(rows_of(table)) == {i: "new" if i in (5, 25) else "old" for i in range(30)}
+    # What was not written to its end is no part of the table.
+    (tmp_path / "t" / "_staged" / "b2" / "_bucket=0").mkdir(parents=True)
+    table.merge(batch, ["k"], batch_id="b2")
+    assert table.read().count() == 30
 
 
 def test_partitions_that_land_late_are_new():
@@ -185,20 +218,11 @@ def test_partitions_that_land_late_are_new():
     assert conform.new_partitions([day(2), day(1)], []) == [day(1), day(2)]
 
 
-def test_upsert_refuses_a_repeated_key(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
+def test_merge_refuses_a_repeated_key(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"))
     with pytest.raises(conform.DuplicateKeyError):
-        table.upsert(spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), ["k"])
-    assert table.versions() == []
-
-
-def test_an_unfinished_version_is_invisible(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    table.write(spark.createDataFrame([(1,)], "k int"))
-    (tmp_path / "t" / "data" / "unfinished" / "_bucket=0").mkdir(parents=True)
-    (tmp_path / "t" / "layouts" / "00000002.json.x.draft").write_text("{")
-    assert table.versions() == [1]
-    assert table.read().count() == 1
+        table.merge(spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), ["k"])
+    assert table.read() is None
 
 
 def patients(spark, rows):
@@ -238,7 +262,7 @@ def test_two_ids_sharing_a_number_collide_on_the_surrogate(spark, tmp_path):
     rows = patients(spark, [(1, "9434765919", 1), (2, "9434765919", 1)])
     batch = silver.patient_identifiers(rows, CTX)
     with pytest.raises(conform.DuplicateKeyError):
-        VersionedTable(spark, str(tmp_path / "t")).upsert(batch, ["patient_sk"])
+        KeyedTable(spark, str(tmp_path / "t")).merge(batch, ["patient_sk"])
 
 
 def orders(spark, ids):

@@ -18,7 +18,7 @@ from waitlens.session import settle, settled_folder
 from waitlens.sources import exports
 from waitlens.sources.files import files
 from waitlens.sources.manifests import read_manifests
-from waitlens.sources.store import VersionedTable
+from waitlens.sources.keyed import KeyedTable
 from waitlens.streaming import incremental, monitor
 from workload.queries import REGISTRY
 from workload.roles import TEST_KEY, Roles
@@ -27,7 +27,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_stream_loads_late_files_and_only_new_ones(spark, tmp_path):
-    path, table = str(tmp_path / "in"), VersionedTable(spark, str(tmp_path / "t"))
+    path, table = str(tmp_path / "in"), KeyedTable(spark, str(tmp_path / "t"))
     frame = lambda rows: spark.createDataFrame(rows, "k int, at int, v string")
 
     def load():
@@ -37,11 +37,14 @@ def test_stream_loads_late_files_and_only_new_ones(spark, tmp_path):
 
     frame([(1, 5, "a"), (1, 6, "b"), (2, 1, "c")]).write.parquet(path)
     assert load() == [(1, 6, "b"), (2, 1, "c")]
-    frame([(2, 0, "late"), (3, 1, "d")]).write.mode("append").parquet(path)
-    assert load() == [(1, 6, "b"), (2, 0, "late"), (3, 1, "d")]
-    versions = table.versions()
-    assert load() == [(1, 6, "b"), (2, 0, "late"), (3, 1, "d")]
-    assert table.versions() == versions
+    frame([(2, 0, "late"), (3, 1, "d"), (2, 2, "new")]).write.mode("append").parquet(path)
+    assert load() == [(1, 6, "b"), (2, 2, "new"), (3, 1, "d")]
+    frame([(2, 0, "later still")]).write.mode("append").parquet(path)
+    assert load() == [(1, 6, "b"), (2, 2, "new"), (3, 1, "d")]
+    loaded = table.loaded()
+    assert len(loaded) == 3
+    assert load() == [(1, 6, "b"), (2, 2, "new"), (3, 1, "d")]
+    assert table.loaded() == loaded
 
 
 def test_streamed_windows_equal_batch_windows(spark, tmp_path):
@@ -113,14 +116,14 @@ def test_a_whole_day(spark, tmp_path, deliveries):
     assert tables["fct_inequality"].groupBy(*keys).count().where("count > 1").count() == 0
     gold = reports.Gold(urgent=tables["fct_urgent_care"], sites=tables["dim_site"])
     assert reports.urgent_kpis(gold).first().breach_rate_4h > 0
-    vault = VersionedTable(spark, paths.silver("patient_identifiers")).read()
-    quarantine = VersionedTable(spark, paths.silver("patients_quarantine")).read()
+    vault = KeyedTable(spark, paths.silver("patient_identifiers")).read()
+    quarantine = KeyedTable(spark, paths.silver("patients_quarantine")).read()
     assert quarantine.where("rejection_reason IS NULL").count() == 0
     assert vault.where("patient_sk IS NULL").count() == 0
 
-    before = VersionedTable(spark, paths.silver("encounters")).read().count()
+    before = KeyedTable(spark, paths.silver("encounters")).read().count()
     assert run(day, mode="snapshot") == day
-    assert VersionedTable(spark, paths.silver("encounters")).read().count() == before
+    assert KeyedTable(spark, paths.silver("encounters")).read().count() == before
     assert exports.list_exports(spark, paths.exports) == [day.isoformat()]
 
     assert run() == day + timedelta(days=1)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitlens.contracts import ENTITIES, SEX_CODES
-from waitlens.operators.conform import new_partitions
+from waitlens.operators.conform import new_partitions, require_unique
 from waitlens.operators.quality import (
     Check,
     distinct_in_set,
@@ -28,6 +28,7 @@ from waitlens.plans.silver import MODELS, Context
 from waitlens.plans.suites import GOLD_SUITES
 from waitlens.session import hide_key_material, settle, settled_folder
 from waitlens.sources.exports import export_gold, read_runs, write_runs
+from waitlens.sources.keyed import KeyedTable
 from waitlens.sources.lake import landed_dates, read_bronze, slice_by_date, snapshot, write_bronze
 from waitlens.sources.manifests import (
     RESULT_DDL,
@@ -38,7 +39,6 @@ from waitlens.sources.manifests import (
     write_manifests,
 )
 from waitlens.sources.seeds import area_deprivation
-from waitlens.sources.store import VersionedTable
 
 # Checks that must hold before the star schema is rebuilt. About one record in seven
 # has no surrogate because its patient is quarantined.
@@ -50,8 +50,8 @@ GATE_SUITES: dict[str, list[Check]] = {
 }
 
 
-#: Models conformed side by side, and versions of a conformed table kept after a run.
-MODELS_AT_ONCE, VERSIONS_KEPT = 4, 2
+#: Models conformed side by side.
+MODELS_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -142,33 +142,37 @@ def conform(
 ) -> dict[str, DataFrame]:
     """Upsert every conformed table with the Bronze partitions it has not loaded.
 
-    Each table's layout records the partitions it holds, so one that lands late is loaded
-    when it comes, and nothing is scanned to find out. The vault is conformed first; the
-    other models do not depend on each other and run side by side.
+    Each table records the partitions it holds, so one that lands late is loaded when it
+    comes, and nothing is scanned to find out. A late partition does not replace what newer
+    ones delivered. The vault is conformed first; the other models do not depend on each
+    other and run side by side.
     """
     areas = area_deprivation(spark)
-    vault = VersionedTable(spark, paths.silver("patient_identifiers"))
+    vault = KeyedTable(spark, paths.silver("patient_identifiers"))
 
     def one(name: str) -> None:
         model = MODELS[name]
         entity = ENTITIES[model.source]
-        table = VersionedTable(spark, paths.silver(name), model.sort_by, model.bucket)
-        days = new_partitions(landed_dates(spark, paths.lake, entity), table.loaded(), lookback_days)
-        if not days and table.versions():
+        table = KeyedTable(spark, paths.silver(name), model.sort_by, model.bucket)
+        loaded = [date.fromisoformat(d) for d in table.loaded()]
+        days = new_partitions(landed_dates(spark, paths.lake, entity), loaded, lookback_days)
+        if not days and table.exists():
             return
         fresh = read_bronze(spark, paths.lake, entity, days)
         extra = {"areas": areas, "vault": vault.read(), "": None}[model.needs]
         batch = model.build(fresh, ctx) if extra is None else model.build(fresh, extra, ctx)
         # The batch is checked for its keys and then merged: compute it once.
-        table.upsert(settle(batch), [model.merge_key], loaded=days)
-        table.expire(VERSIONS_KEPT)
+        batch = settle(batch)
+        require_unique(batch, [model.merge_key])
+        table.merge(batch, [model.merge_key], ["_ingest_date"], ["_loaded_at"])
+        table.record(d.isoformat() for d in days)
 
     one("patient_identifiers")
     with ThreadPoolExecutor(MODELS_AT_ONCE) as pool:
         tasks = [pool.submit(copy_context().run, one, n) for n in MODELS if n != "patient_identifiers"]
         for task in tasks:
             task.result()
-    return {m: VersionedTable(spark, paths.silver(m)).read() for m in MODELS}
+    return {m: KeyedTable(spark, paths.silver(m)).read() for m in MODELS}
 
 
 def validate(

@@ -24,7 +24,7 @@ from waitlens.operators.conform import (
     resolve_key,
     with_audit,
 )
-from waitlens.sources.store import Bucket, digits_bucket, hash_bucket, range_bucket
+from waitlens.sources.keyed import Bucket, digits_bucket, hash_bucket, range_bucket
 
 
 @dataclass(frozen=True)

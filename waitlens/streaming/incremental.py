@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from waitlens.operators.conform import dedup_latest
 from waitlens.session import settle
-from waitlens.sources.store import VersionedTable
+from waitlens.sources.keyed import KeyedTable
 
 
 def read_new_files(
@@ -28,23 +28,28 @@ def read_new_files(
 
 def upsert_stream(
     new_rows: DataFrame,
-    target: VersionedTable,
+    target: KeyedTable,
     keys: Sequence[str],
     order_by: Sequence[str],
     tiebreak: Sequence[str],
     checkpoint: str,
     conform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Load everything not yet loaded, one deduplicated upsert per micro-batch, then stop.
+    """Load everything not yet loaded, one merge per micro-batch, then stop.
 
-    Replaying a batch after a failure upserts the same rows under the same keys, so it
-    leaves the table content unchanged.
+    A row replaces the stored one of its key only if it is newer by ``order_by`` and
+    ``tiebreak``, which ``conform`` must keep; so drops may come in any order. The table
+    records each batch under the stream's id and the batch's number, and a batch that is
+    replayed after a failure changes nothing.
     """
+    context = new_rows.sparkSession.sparkContext
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        stream = context.getLocalProperty("sql.streaming.queryId")
         latest = dedup_latest(batch, keys, order_by, tiebreak)
-        # Checked for repeated keys, assigned to buckets and merged: compute it once.
-        target.upsert(settle(latest if conform is None else conform(latest)), keys)
+        # Checked for missing keys, assigned to buckets and merged: compute it once.
+        rows = settle(latest if conform is None else conform(latest))
+        target.merge(rows, keys, order_by, tiebreak, batch_id=f"{stream}-{batch_id}")
 
     return (
         new_rows.writeStream.foreachBatch(merge)

@@ -18,7 +18,7 @@ from waitlens.session import scratch_path
 from waitlens.sources.files import partition_values
 from waitlens.sources.lake import write_partitions
 from waitlens.sources.seeds import area_deprivation
-from waitlens.sources.store import VersionedTable, range_bucket
+from waitlens.sources.keyed import KeyedTable, range_bucket
 from workload.registry import query
 from workload.roles import TEST_KEY, Roles, digits_sql, hmac_sql, latest_sql, mod11_sql, utc_sql
 
@@ -84,9 +84,9 @@ def _upserted(r: Roles, asked_width: int = 0) -> DataFrame:
     # Some forty buckets, whatever the size of the test table.
     width = max(1, rows.agg(F.max("o_orderkey")).first()[0] // 20)
     path = scratch_path(r.spark, "upsert")
-    VersionedTable(r.spark, path, ["o_orderkey"], range_bucket("o_orderkey", width)).write(rows)
-    table = VersionedTable(r.spark, path, ["o_orderkey"], range_bucket("o_orderkey", asked_width or width))
-    table.upsert(changed.unionByName(added), ["o_orderkey"])
+    KeyedTable(r.spark, path, ["o_orderkey"], range_bucket("o_orderkey", width)).merge(rows, ["o_orderkey"])
+    table = KeyedTable(r.spark, path, ["o_orderkey"], range_bucket("o_orderkey", asked_width or width))
+    table.merge(changed.unionByName(added), ["o_orderkey"])
     return table.read()
 
 
@@ -108,10 +108,10 @@ def b3_changed_width(r: Roles) -> DataFrame:
 def b3_type_change(r: Roles) -> DataFrame:
     """A key that arrives as a number at first and as text later."""
     rows = r.raw("orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), "o_orderstatus")
-    table = VersionedTable(r.spark, scratch_path(r.spark, "retyped"))
-    table.write(rows.drop("o_orderstatus"))
+    table = KeyedTable(r.spark, scratch_path(r.spark, "retyped"))
+    table.merge(rows.drop("o_orderstatus"), ["k"])
     late = rows.where("o_orderstatus = 'P'").select(F.col("k").cast("string").alias("k"), (-F.col("v")).alias("v"))
-    table.upsert(late, ["k"])
+    table.merge(late, ["k"])
     return table.read()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waitlens.plans import reports
 from waitlens.session import scratch_path
-from waitlens.sources.store import VersionedTable, range_bucket
+from waitlens.sources.keyed import KeyedTable, range_bucket
 from waitlens.streaming import incremental, monitor
 from workload.registry import query, rounded
 from workload.roles import Roles, latest_sql
@@ -257,22 +257,53 @@ def g19(r: Roles) -> DataFrame:
     return scaled.withColumns({c: F.round(F.col(c), 4) for c in _RATES})
 
 
-@query("h1_incremental_upsert", latest_sql(
-    "SELECT * FROM lineitem", "l_orderkey, l_linenumber", "l_shipdate, l_partkey, l_suppkey"
-))
-def h1(r: Roles) -> DataFrame:
-    """Lines delivered in two drops, oldest first, streamed into one table."""
-    keys, order, ties = ["l_orderkey", "l_linenumber"], ["l_shipdate"], ["l_partkey", "l_suppkey"]
+_LATEST_LINES = latest_sql("SELECT * FROM lineitem", "l_orderkey, l_linenumber", "l_shipdate, l_partkey, l_suppkey")
+_LINE_KEYS, _LINE_ORDER, _LINE_TIES = ["l_orderkey", "l_linenumber"], ["l_shipdate"], ["l_partkey", "l_suppkey"]
+
+
+def _line_table(r: Roles, base: str) -> KeyedTable:
+    # Some fifty buckets, whatever the size of the test table.
+    width = max(1, r.raw("lineitem").agg(F.max("l_orderkey")).first()[0] // 50)
+    return KeyedTable(r.spark, f"{base}/table", _LINE_KEYS, range_bucket("l_orderkey", width))
+
+
+def _streamed(r: Roles, newest_first: bool) -> DataFrame:
+    """Lines delivered in three drops by date, each loaded by a stream into one table."""
     base = scratch_path(r.spark, "stream")
     rows = r.raw("lineitem")
-    late = F.col("l_shipdate") >= F.lit("1998-06-01").cast("timestamp_ntz")
-    # Some fifty buckets, whatever the size of the test table.
-    width = max(1, rows.agg(F.max("l_orderkey")).first()[0] // 50)
-    table = VersionedTable(r.spark, f"{base}/table", keys, range_bucket("l_orderkey", width))
-    for drop in (rows.where(~late), rows.where(late)):
+    table = _line_table(r, base)
+    cuts = [F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in ("1995-01-01", "1998-06-01")]
+    at = F.col("l_shipdate")
+    drops = [rows.where(at < cuts[0]), rows.where((at >= cuts[0]) & (at < cuts[1])), rows.where((at >= cuts[1]) | at.isNull())]
+    for drop in reversed(drops) if newest_first else drops:
         drop.write.mode("append").parquet(f"{base}/bronze")
         new = incremental.read_new_files(r.spark, f"{base}/bronze", rows.schema)
-        incremental.upsert_stream(new, table, keys, order, ties, f"{base}/checkpoint").awaitTermination()
+        incremental.upsert_stream(new, table, _LINE_KEYS, _LINE_ORDER, _LINE_TIES, f"{base}/checkpoint").awaitTermination()
+    return table.read()
+
+
+@query("h1_incremental_upsert", _LATEST_LINES)
+def h1(r: Roles) -> DataFrame:
+    return _streamed(r, newest_first=False)
+
+
+@query("h1_newest_first", _LATEST_LINES)
+def h1_newest_first(r: Roles) -> DataFrame:
+    """An older row that comes later does not replace a newer one."""
+    return _streamed(r, newest_first=True)
+
+
+@query("h1_replayed_batch", _LATEST_LINES)
+def h1_replayed(r: Roles) -> DataFrame:
+    """A batch that comes again under its number, even changed, is not merged again."""
+    rows = r.raw("lineitem")
+    table = _line_table(r, scratch_path(r.spark, "replay"))
+    merge = lambda df, name: table.merge(df, _LINE_KEYS, _LINE_ORDER, _LINE_TIES, batch_id=name)
+    odd = F.col("l_orderkey") % 2 == 1
+    merge(rows.where(odd), "first")
+    merge(rows.where(~odd), "second")
+    if merge(rows.where(odd).withColumn("l_shipdate", F.lit("2100-01-01").cast("timestamp_ntz")), "first"):
+        raise AssertionError("a replayed batch was merged")
     return table.read()
 
 
