@@ -28,9 +28,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -112,39 +112,45 @@ class Vocabularies:
 
 
 class Aligner:
-    """Segment -> (tokens of A, of B, groups, links, groups spelled, pair numbers, their links)."""
+    """Segment -> (tokens of A, of B, groups, links, groups spelled, pair numbers, their links).
+
+    Numbers are packed as 64-bit words; links are None where each pair stands for one.
+    """
 
     def __init__(self, path_a: str, path_b: str, bound: int = 200_000):
         self.words = Vocabularies(path_a, path_b)
         self.known = WordTable(self.align, bound)
 
-    def learn(self, texts: list[str]) -> None:
-        """Align the short segments of some texts that are not remembered, all at once."""
-        cut = segments if self.words.segmented else lambda s: [s]
-        fresh = self.known.lacks({p for t in texts if t for p in cut(f" {t}") if len(p) <= SHORT})
+    def cut(self, texts: list[str]) -> list[list[str]]:
+        """The segments of some texts; short ones not remembered are aligned all at once."""
+        if self.words.segmented:
+            parts = [segments(f" {t}") if t else [] for t in texts]
+        else:
+            parts = [[f" {t}"] if t else [] for t in texts]
+        fresh = self.known.lacks({p for held in parts for p in held if len(p) <= SHORT})
         for part, coded in zip(fresh, self.words.encode(fresh) if fresh else [], strict=True):
             self.known.put(part, self.pair_up(coded))
+        return parts
 
     def align(self, spaced: str) -> tuple | None:
         return self.pair_up(self.words.encode([spaced])[0])
 
     def pair_up(self, coded: tuple[list[int], list[int]] | None) -> tuple | None:
-        """Groups of the tokens between common ends, and their pairs."""
+        """Groups of the tokens between common ends, and their pairs, which may repeat."""
         if coded is None:
             return None
         a, b = coded
         size_a, size_b = self.words.size_a, self.words.size_b
         spelled: list[str] = []
-        pairs: dict[int, int] = {}
+        pairs: list[int] = []
+        times: list[int] | None = None
         links = i = j = 0
         while i < len(a):
             one, two = a[i], b[j]
             x, y = size_a[one], size_b[two]
             if x == y:
                 spelled.append(f"{one}|{two}")
-                key = one * SPAN + two
-                pairs[key] = pairs.get(key, 0) + 1
-                links += 1
+                pairs.append(one * SPAN + two)
                 i += 1
                 j += 1
                 continue
@@ -157,36 +163,49 @@ class Aligner:
                     y += size_b[b[q]]
                     q += 1
             left, right = a[i:p], b[j:q]
-            spelled.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-            links += len(left) * len(right)
             i, j = p, q
-            if len(left) + len(right) < 9:
-                for one in left:
-                    for two in right:
-                        key = one * SPAN + two
-                        pairs[key] = pairs.get(key, 0) + 1
+            spelled.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
+            if len(left) + len(right) < 12:
+                pairs += [one * SPAN + two for one in left for two in right]
                 continue
             # Ids may repeat without end in a long group; their kinds are few.
-            right = Counter(right)
-            for one, n in Counter(left).items():
-                for two, m in right.items():
-                    key = one * SPAN + two
-                    pairs[key] = pairs.get(key, 0) + n * m
-        return len(a), len(b), len(spelled), links, ";".join(spelled), tuple(pairs), tuple(pairs.values())
-
-    def document(self, text: str) -> list[tuple]:
+            times = times or []
+            times += [1] * (len(pairs) - len(times))
+            left, right = Counter(left), Counter(right)
+            pairs += [one * SPAN + two for one in left for two in right]
+            times += [n * m for n in left.values() for m in right.values()]
+        if times is not None:
+            times += [1] * (len(pairs) - len(times))
+        links = len(pairs) if times is None else sum(times)
+        packed = None if times is None else array("q", times).tobytes()
+        return len(a), len(b), len(spelled), links, ";".join(spelled), array("q", pairs).tobytes(), packed
+
+    def document(self, text: str, parts: list[str]) -> list[tuple]:
         """The aligned segments of a text; none if its tokens do not spell it."""
         if not text:
             return []
-        spaced = f" {text}"
-        parts = segments(spaced) if self.words.segmented else [spaced]
         get, align = self.known.__getitem__, self.align
-        found = [get(p) if len(p) <= SHORT else align(p) for p in parts]
+        if max(map(len, parts)) <= SHORT:
+            found = [get(p) for p in parts]
+        else:
+            found = [get(p) if len(p) <= SHORT else align(p) for p in parts]
         if None in found:
-            found = [align(spaced)]
+            found = [align(f" {text}")]
         return [] if None in found else found
 
 
+def pairs_of(found: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of aligned segments, and how many links each stands for."""
+    keys = np.frombuffer(b"".join([f[5] for f in found]), np.int64)
+    if all(f[6] is None for f in found):
+        return np.unique(keys, return_counts=True)
+    times = np.concatenate([np.ones(len(f[5]) // 8, np.int64) if f[6] is None else np.frombuffer(f[6], np.int64) for f in found])
+    keys, place = np.unique(keys, return_inverse=True)
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, place, times)
+    return keys, total
+
+
 def aligned(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: str) -> DataFrame:
     """One row per document: its counts, its identity pairs by A id and its other pairs, with links."""
 
@@ -196,20 +215,15 @@ def aligned(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
         for batch in batches:
             for start, stop in slices(batch, 1, 2 << 20):
                 part = batch.slice(start, stop - start)
-                texts = part.column(1).to_pylist()
-                aligner.learn(texts)
-                yield emit(part.column(0), [describe(aligner, identity, t or "") for t in texts])
-
-    def describe(aligner: Aligner, identity: np.ndarray, text: str) -> tuple:
-        found = aligner.document(text)
-        keys = np.fromiter(chain.from_iterable(f[5] for f in found), np.int64)
-        links = np.fromiter(chain.from_iterable(f[6] for f in found), np.int64)
-        keys, place = np.unique(keys, return_inverse=True)
-        total = np.zeros(len(keys), np.int64)
-        np.add.at(total, place, links)
-        same = identity[keys // SPAN] == keys % SPAN if len(keys) else np.zeros(0, bool)
-        digest = hashlib.sha256(";".join(f[4] for f in found).encode()).hexdigest() if found else ""
-        counts = [sum(f[i] for f in found) for i in range(4)]
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                found = map(aligner.document, texts, aligner.cut(texts))
+                yield emit(part.column(0), [describe(f, identity) for f in found])
+
+    def describe(found: list[tuple], identity: np.ndarray) -> tuple:
+        keys, total = pairs_of(found)
+        same = identity[keys // SPAN] == keys % SPAN
+        digest = hashlib.sha256(";".join([f[4] for f in found]).encode()).hexdigest() if found else ""
+        counts = [sum([f[i] for f in found]) for i in range(4)]
         return *counts, digest, (keys[same] // SPAN).astype(np.int32), total[same], keys[~same], total[~same]
 
     def emit(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
