@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waitlens.plans import reports
 from waitlens.session import scratch_path
 from waitlens.sources.keyed import KeyedTable, range_bucket
-from waitlens.streaming import incremental, monitor
+from waitlens.streaming import incremental, monitor, silence
 from workload.registry import query, rounded
 from workload.roles import Roles, latest_sql
 
@@ -340,3 +340,28 @@ def h3(r: Roles) -> DataFrame:
 )
 def h4(r: Roles) -> DataFrame:
     return monitor.staleness(r.raw("events"), periods=3, threshold=2)
+
+
+@query(
+    "h4_streamed_staleness",
+    """WITH e AS (SELECT event_type AS event, date_trunc('hour', ts) AS hour FROM events),
+         span AS (SELECT min(hour) AS a, (SELECT date_trunc('hour', max(ts)) FROM events) - INTERVAL 1 HOUR AS b FROM e),
+         grid AS (SELECT event, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS hour FROM (SELECT DISTINCT event FROM e), span),
+         n AS (SELECT g.event, g.hour, count(e.event) AS event_count FROM grid g LEFT JOIN e ON e.event=g.event AND e.hour=g.hour GROUP BY ALL)
+       SELECT event, CAST(hour AS TIMESTAMP) AS hour, event_count,
+         sum(CASE WHEN event_count>=2 THEN 1 ELSE 0 END) OVER w = 0 AND count(*) OVER w = 3 AS stale
+       FROM n WINDOW w AS (PARTITION BY event ORDER BY hour ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+)
+def h4_streamed(r: Roles) -> DataFrame:
+    """The same from a stream in three drops: timers close the hours, all but the last."""
+    base = scratch_path(r.spark, "silence")
+    rows = r.raw("events").select("ts", "event_type")
+    ends = rows.agg(F.min("ts").alias("a"), F.expr("percentile_approx(ts, array(0.4D, 0.7D))").alias("cuts")).first()
+    low, high = ends.cuts
+    drops = [rows.where(F.col("ts") < low), rows.where((F.col("ts") >= low) & (F.col("ts") < high)), rows.where(F.col("ts") >= high)]
+    for drop in drops:
+        drop.write.mode("append").parquet(f"{base}/in")
+        stream = r.spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        closed = silence.watch_silence(stream, periods=3, threshold=2, since=ends.a, forget_after=None)
+        found = silence.drain(closed, f"{base}/out", f"{base}/checkpoint")
+    return found
