@@ -230,13 +230,14 @@ def scaled_within(df: DataFrame, group: str = "metric_name", value: str = "metri
     return df.where(F.col(value).isNotNull()).withColumn("normalized", scaled)
 
 
-def deviation_from_mean(df: DataFrame, value: str = "metric_value") -> DataFrame:
-    """Difference from the unweighted mean of all rows.
+def deviation_from_mean(df: DataFrame, value: str = "metric_value", within: str | None = None) -> DataFrame:
+    """Difference from the unweighted mean of all rows, or of those equal in ``within``.
 
     The rows are the strata of one stratifier, a fixed vocabulary, so one window holds them.
     """
     rows = df.where(F.col(value).isNotNull())
-    return rows.withColumn("deviation", F.col(value) - F.avg(value).over(Window.partitionBy()))
+    group = Window.partitionBy(*[within] * (within is not None))
+    return rows.withColumn("deviation", F.col(value) - F.avg(value).over(group))
 
 
 def heat_matrix(hours: DataFrame) -> DataFrame:

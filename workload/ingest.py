@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waitlens.contracts import ENTITIES
+from waitlens.operators.dims import calendar
 from waitlens.operators.quality import not_null, row_count, run_suites, unique
+from waitlens.plans import gold
 from waitlens.plans.daily import Paths
 from waitlens.plans.historical import load_history
 from waitlens.session import scratch_path
@@ -183,44 +186,68 @@ def a8(r: Roles) -> DataFrame:
     return lake.coerce(text, types, now=F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"))
 
 
+#: Keys to a file of the drop.
+_FILE_KEYS = 20_000
+
+
 @query(
     "a9_file_inventory",
-    """SELECT strftime(o_orderdate, '%Y') AS folder, strlen(body) AS bytes, sha256(body) AS sha256 FROM (
-         SELECT any_value(o_orderdate) AS o_orderdate,
+    f"""SELECT CAST(part AS VARCHAR) AS folder, strlen(body) AS bytes, sha256(body) AS sha256 FROM (
+         SELECT o_orderkey // {_FILE_KEYS} AS part,
            'o_orderkey,o_orderstatus'||chr(10)||string_agg(o_orderkey||','||o_orderstatus||chr(10), '' ORDER BY o_orderkey) AS body
-         FROM orders GROUP BY strftime(o_orderdate, '%Y'))""",
+         FROM orders GROUP BY 1)""",
 )
 def a9(r: Roles) -> DataFrame:
-    """Size and digest of the files of a drop: the orders of a year each, in order of their key."""
+    """Size and digest of the files of a drop: a range of order keys each, so files grow in number."""
     path = scratch_path(r.spark, "inventory")
-    rows = r.raw("orders").select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy").alias("folder"))
-    by_year = rows.repartition("folder").sortWithinPartitions("folder", "o_orderkey")
-    by_year.write.partitionBy("folder").option("header", True).csv(path)
+    part = F.floor(F.col("o_orderkey") / _FILE_KEYS).alias("folder")
+    rows = r.raw("orders").select("o_orderkey", "o_orderstatus", part)
+    by_range = rows.repartition("folder").sortWithinPartitions("folder", "o_orderkey")
+    by_range.write.partitionBy("folder").option("header", True).csv(path)
     return drops.inventory(r.spark, f"{path}/folder=*/*.csv", with_path=True).select(
         F.regexp_extract("path", "folder=([0-9]+)/", 1).alias("folder"), "bytes", "sha256"
     )
 
 
+# Where each entity is in SQL, and what dates its rows: a column, or the file it came in.
+_EXTRACTS = {
+    "patient_demographics": ("b_patients", "registration_start_date"), "encounters": ("b_encounters", "encounter_datetime_start"),
+    "referrals": ("b_referrals", "referral_datetime"), "diagnoses": ("b_diagnoses", "clinical_datetime"),
+    "urgent_care_logs": ("b_urgent", "arrival_datetime"), "appointments": ("b_appointments", None),
+    "diagnostics_orders": ("b_diagnostics", None), "provider_site_reference": ("b_providers", None),
+}
+_HISTORY_SQL = " UNION ALL ".join(
+    f"SELECT '{n}' AS entity, '{ENTITIES[n].source}' AS source, count({c or 'ingest_date'}) AS landed, "
+    f"count(*)-count({c or 'ingest_date'}) AS rejected, greatest(CAST(max({c or 'ingest_date'}) AS DATE), DATE '2023-01-01') AS last FROM {t}"
+    for n, (t, c) in _EXTRACTS.items()
+)
+
+
 @query(
     "a6_historical_load",
-    """SELECT 'encounters' AS entity, CAST(count(encounter_datetime_start) AS BIGINT) AS landed,
-              CAST(count(*)-count(encounter_datetime_start) AS BIGINT) AS rejected,
-              (SELECT CAST(greatest(max(CAST(encounter_datetime_start AS DATE)), DATE '1996-01-01')+1 AS DATE) FROM b_encounters) AS next_date FROM b_encounters
-       UNION ALL
-       SELECT 'urgent_care_logs', count(arrival_datetime), count(*)-count(arrival_datetime), NULL FROM b_urgent""",
+    f"""SELECT entity, CAST(landed AS BIGINT) AS landed, CAST(rejected AS BIGINT) AS rejected,
+          CAST(max(last) OVER (PARTITION BY source) + 1 AS DATE) AS next_date FROM ({_HISTORY_SQL})""",
 )
 def a6_historical(r: Roles) -> DataFrame:
-    """Two whole extracts loaded as text; afterwards a daily run knows its date."""
+    """All eight extracts loaded as text, three of them dated by their file; afterwards each
+    source knows its next date."""
     paths = Paths(scratch_path(r.spark, "history"))
-    as_text = lambda df: df.drop("ingest_date").select(*[F.col(c).cast("string") for c in df.columns if c != "ingest_date"])
-    extracts = {
-        "encounters": lambda: as_text(r.encounters),
-        "urgent_care_logs": lambda: as_text(r.urgent_care_logs),
-    }
-    loaded = load_history(r.spark, paths, extracts, date(1996, 1, 1))
-    told = manifests.read_manifests(r.spark, paths.manifests).where(F.col("source") == ENTITIES["encounters"].source)
-    after = manifests.next_business_date(told).withColumn("entity", F.lit("encounters"))
-    return loaded.join(after, "entity", "left")
+
+    def extract(name: str) -> DataFrame:
+        df = r.bronze[name]
+        text = [F.col(c).cast("string").alias(c) for c in df.columns if c != "ingest_date"]
+        stem = F.coalesce(F.date_format("ingest_date", "yyyyMMdd"), F.lit("undated"))
+        file = [F.concat(stem, F.lit(f"_{name}.csv")).alias("file_name")] if _EXTRACTS[name][1] is None else []
+        return df.select(*text, *file)
+
+    loaded = load_history(r.spark, paths, {n: partial(extract, n) for n in _EXTRACTS}, date(2023, 1, 1))
+    sources = F.create_map(*[F.lit(x) for n in _EXTRACTS for x in (n, ENTITIES[n].source)])
+    latest = manifests.latest_success(manifests.read_manifests(r.spark, paths.manifests))
+    return (
+        loaded.withColumn("source", F.element_at(sources, F.col("entity")))
+        .join(latest, "source", "left")
+        .select("entity", "landed", "rejected", F.date_add("latest", 1).alias("next_date"))
+    )
 
 
 _RUNS = """SELECT event_type AS source, CAST(ts AS DATE) AS ingest_date,
@@ -363,15 +390,51 @@ def a16(r: Roles) -> DataFrame:
     return exports.read_export(r.spark, root, "fct_urgent_care", every=True)
 
 
+# The exported tables that follow the data, where they are in Spark, and a column to compare.
+_EXPORTED = {
+    "dim_patient": ("dim_patient", "patient_sk"), "dim_site": ("dim_site", "provider_code"),
+    "dim_specialty": ("dim_specialty", "specialty_code"), "fct_wait_times": ("waits", "referral_id"),
+    "fct_urgent_care": ("urgent", "uc_log_id"), "fct_utilisation": ("utilisation", "appointment_id"),
+    "fct_inequality": ("inequality", "stratum"),
+}
+def _told(table: str, column: str) -> str:
+    v = f"CAST({column} AS VARCHAR)"
+    return f"SELECT '{table}' AS table_name, DATE '2024-06-01' AS export_date, count(*) AS n, min({v}) AS low, max({v}) AS high, count(DISTINCT {v}) AS names FROM {table}"
+
+
 @query(
-    "a17_snapshot_discovery",
-    "SELECT * FROM dim_patient WHERE imd_decile > 5",
+    "a16_whole_export",
+    " UNION ALL ".join(_told(t, c) for t, (_, c) in _EXPORTED.items())
+    + " UNION ALL SELECT 'dim_imd', DATE '2024-06-01', count(*), min(CAST(imd_decile AS VARCHAR)), max(CAST(imd_decile AS VARCHAR)), count(DISTINCT imd_decile) FROM seed_imd"
+    " UNION ALL SELECT 'dim_ethnicity', DATE '2024-06-01', count(*), min(ethnicity_code), max(ethnicity_code), count(DISTINCT ethnicity_code) FROM seed_ethnicity"
+    " UNION ALL SELECT 'dim_date', DATE '2024-06-01', count(*), min(strftime(d, '%Y%m%d')), max(strftime(d, '%Y%m%d')), count(DISTINCT d)"
+    " FROM (SELECT unnest(generate_series(DATE '2020-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) AS d)",
 )
+def a16_whole(r: Roles) -> DataFrame:
+    """All ten tables exported and read back under their date."""
+    root = scratch_path(r.spark, "gold")
+    tables = {t: getattr(r, name) for t, (name, _) in _EXPORTED.items()}
+    fixed = {"dim_date": calendar(r.spark), "dim_imd": gold.dim_imd(r.spark), "dim_ethnicity": gold.dim_ethnicity(r.spark)}
+    keys = {t: c for t, (_, c) in _EXPORTED.items()} | {"dim_date": "date_sk", "dim_imd": "imd_decile", "dim_ethnicity": "ethnicity_code"}
+    exports.export_gold(tables | fixed, root, "2024-06-01")
+    parts = []
+    for table, column in keys.items():
+        value = F.col(column).cast("string")
+        back = exports.read_export(r.spark, root, table, every=True)
+        parts.append(
+            back.groupBy("export_date").agg(
+                F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), F.count_distinct(value).alias("names")
+            ).select(F.lit(table).alias("table_name"), "export_date", "n", "low", "high", "names")
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("a17_snapshot_discovery", "SELECT * REPLACE ('later' AS age_band) FROM dim_patient")
 def a17(r: Roles) -> DataFrame:
-    """Two exports of which the newest is read."""
+    """Two exports that differ in a value, of which the newest is read."""
     root = scratch_path(r.spark, "gold")
     exports.export_gold({"dim_patient": r.dim_patient}, root, "2024-05-31")
-    exports.export_gold({"dim_patient": r.dim_patient.where("imd_decile > 5")}, root, "2024-06-01")
+    exports.export_gold({"dim_patient": r.dim_patient.withColumn("age_band", F.lit("later"))}, root, "2024-06-01")
     return exports.read_export(r.spark, root, "dim_patient")
 
 

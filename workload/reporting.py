@@ -216,12 +216,12 @@ def g15(r: Roles) -> DataFrame:
 
 @query(
     "g16_deviation",
-    f"""SELECT stratum, round(metric_value-avg(metric_value) OVER (),6) AS deviation FROM ({_MEAN_SQL})
-        WHERE metric_name='dna_rate' AND metric_value IS NOT NULL""",
+    f"""SELECT metric_name, stratum, round(metric_value-avg(metric_value) OVER (PARTITION BY metric_name),6) AS deviation FROM ({_MEAN_SQL})
+        WHERE metric_value IS NOT NULL""",
 )
 def g16(r: Roles) -> DataFrame:
-    rows = _means(r).where("metric_name = 'dna_rate'")
-    return rounded(reports.deviation_from_mean(rows), "deviation").select("stratum", "deviation")
+    found = reports.deviation_from_mean(_means(r), within="metric_name")
+    return rounded(found, "deviation").select("metric_name", "stratum", "deviation")
 
 
 @query(
