@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from waitlens.operators.conform import dedup_latest
 from waitlens.session import settle
 
 
@@ -63,3 +64,50 @@ def validity(df: DataFrame, start: str, end: str) -> DataFrame:
         .withColumn("valid_to", F.coalesce(F.col(end), F.lit(date(9999, 12, 31))))
         .withColumn("is_current", F.col(end).isNull())
     )
+
+
+def versions(
+    df: DataFrame, key: str, attributes: Sequence[str], at: str, tiebreak: Sequence[str] = ()
+) -> DataFrame:
+    """(key, attributes, valid_from, valid_to, is_current) from successive deliveries.
+
+    A new interval starts where an attribute changes and ends where the next one starts;
+    deliveries that repeat the state open none. Of deliveries at one instant the highest by
+    ``tiebreak``, then by the attributes, counts. The last interval is open: ``valid_to`` is
+    NULL. Intervals include their start and exclude their end. Rows without key or instant
+    have no place in time and are left out.
+    """
+    placed = df.where(F.col(key).isNotNull() & F.col(at).isNotNull())
+    last = dedup_latest(placed.select(key, at, *attributes, *tiebreak), [key, at], list(tiebreak), list(attributes))
+    in_time = Window.partitionBy(key).orderBy(at)
+    state = F.struct(*attributes)
+    before = F.lag(state).over(in_time)
+    changed = last.withColumn("_new", before.isNull() | ~state.eqNullSafe(before)).where("_new")
+    until = F.lead(at).over(in_time)
+    return changed.select(key, *attributes, F.col(at).alias("valid_from"), until.alias("valid_to")).withColumn(
+        "is_current", F.col("valid_to").isNull()
+    )
+
+
+def as_of(
+    facts: DataFrame, dimension: DataFrame, key: str, at: str, columns: Sequence[str], dimension_key: str | None = None
+) -> DataFrame:
+    """Facts with ``columns`` of the version of their key that was valid at ``at``.
+
+    Intervals of a key do not overlap, so a fact meets one version at most; it stays with
+    NULLs where there is none. The join is by key, with the interval as a condition: its
+    work is a key's facts times its versions, and a hot key's facts are split by the
+    adaptive join. Facts without key or instant are scattered, not sent to one task.
+    """
+    right = dimension.select(
+        F.col(dimension_key or key).alias("_vkey"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *columns
+    )
+    match = (
+        (F.col(key) == F.col("_vkey"))
+        & (F.col(at) >= F.col("_from"))
+        & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
+    )
+    known = F.col(key).isNotNull() & F.col(at).isNotNull()
+    none = [F.lit(None).cast(dimension.schema[c].dataType).alias(c) for c in columns]
+    met = facts.where(known).join(right, match, "left").drop("_vkey", "_from", "_to")
+    return met.unionByName(facts.where(~known).select("*", *none))

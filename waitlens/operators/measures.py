@@ -123,9 +123,9 @@ def share(flag: Column) -> Column:
 
 
 def quantiles(
-    df: DataFrame, groups: Sequence[str | Column], value: str, points: dict[str, float]
+    df: DataFrame, groups: Sequence[str | Column], value: str, points: dict[str, float], weight: Column | None = None
 ) -> DataFrame:
-    """Exact continuous quantiles per group.
+    """Exact continuous quantiles per group; a row counts ``weight`` times.
 
     The rows are first reduced to one count per (group, value), before the shuffle as far
     as possible; the quantiles are then read from those counts. The working set is the
@@ -135,9 +135,11 @@ def quantiles(
     columns = [F.col(g) if isinstance(g, str) else g for g in groups]
     labels = df.select(*columns).columns
     counts = (
-        df.select(*[c.alias(n) for c, n in zip(columns, names)], F.col(value).alias("_v"))
+        df.select(
+            *[c.alias(n) for c, n in zip(columns, names)], F.col(value).alias("_v"), (F.lit(1) if weight is None else weight).alias("_w")
+        )
         .groupBy(*names, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_w").alias("_n"))
     )
     result = counts.groupBy(*names).agg(
         *[F.percentile("_v", F.lit(p), F.col("_n")).alias(name) for name, p in points.items()]

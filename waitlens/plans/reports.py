@@ -1,6 +1,8 @@
 """Report queries on the star schema, and the shaping their charts need.
 
-``Gold`` holds the tables; an empty provider or specialty list means no filter.
+``Gold`` holds the tables; an empty provider or specialty list means no filter. Wait reports
+read either the fact table or its cells (``wait_cells``), counts of equal values per site,
+specialty and month: a quantile of any filter follows exactly from the counts of its values.
 """
 
 from __future__ import annotations
@@ -31,6 +33,26 @@ class Gold:
     specialties: DataFrame | None = None
 
 
+#: The column of a cell that says how many facts it stands for.
+CELL_COUNT = "_cell_count"
+
+
+def wait_cells(waits: DataFrame) -> DataFrame:
+    """One row per site, specialty, month, wait and breach, with the number of facts.
+
+    As many rows as there are distinct values, however many facts: to be stored with the
+    export and given to the reports as ``Gold(waits=cells)``.
+    """
+    return waits.groupBy("site_sk", "specialty_sk", "treatment_month", "wait_days", "rtt_breach_flag").agg(
+        F.count(F.lit(1)).alias(CELL_COUNT)
+    )
+
+
+def _facts(df: DataFrame) -> Column:
+    """How many facts a row stands for."""
+    return F.col(CELL_COUNT) if CELL_COUNT in df.columns else F.lit(1)
+
+
 def _at_providers(
     facts: DataFrame, sites: DataFrame, providers: Sequence[str], need_name: bool = False
 ) -> DataFrame:
@@ -61,11 +83,8 @@ def wait_kpis(gold: Gold, providers: Sequence[str] = (), specialties: Sequence[s
 
     Facts collapse to one row per (wait, breach) before the median is taken.
     """
-    counts = (
-        _waits(gold, providers, specialties)
-        .groupBy("wait_days", "rtt_breach_flag")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    facts = _waits(gold, providers, specialties)
+    counts = facts.groupBy("wait_days", "rtt_breach_flag").agg(F.sum(_facts(facts)).alias("_n"))
     n = F.col("_n")
     return counts.agg(
         (F.sum(F.when(F.col("rtt_breach_flag"), n).otherwise(0)) / F.sum(n)).alias("breach_rate_18wk"),
@@ -77,14 +96,14 @@ def wait_kpis(gold: Gold, providers: Sequence[str] = (), specialties: Sequence[s
 def wait_by_provider(gold: Gold, providers: Sequence[str] = (), specialties: Sequence[str] = ()) -> DataFrame:
     """Median and 90th percentile wait per provider."""
     facts = _waits(gold, providers, specialties, need_name=True)
-    return quantiles(facts, ["provider_name"], "wait_days", _WAIT_POINTS).orderBy("provider_name")
+    return quantiles(facts, ["provider_name"], "wait_days", _WAIT_POINTS, _facts(facts)).orderBy("provider_name")
 
 
 def wait_trend(gold: Gold, providers: Sequence[str] = (), specialties: Sequence[str] = ()) -> DataFrame:
     """Median and 90th percentile wait per treatment month."""
     month = month_label(F.col("treatment_month")).alias("treatment_month")
     facts = _waits(gold, providers, specialties)
-    return quantiles(facts, [month], "wait_days", _WAIT_POINTS).orderBy("treatment_month")
+    return quantiles(facts, [month], "wait_days", _WAIT_POINTS, _facts(facts)).orderBy("treatment_month")
 
 
 def month_bounds(gold: Gold) -> DataFrame:

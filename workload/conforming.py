@@ -12,9 +12,10 @@ from waitlens.functions.identifiers import digits_to_bigint, hmac_sha256, in_dom
 from waitlens.functions.parsing import parse_as
 from waitlens.functions.temporal import to_utc
 from waitlens.operators import conform
-from waitlens.operators.dims import calendar, dense_key, validity
+from waitlens.operators.dims import as_of, calendar, dense_key, validity, versions
 from waitlens.plans import gold, silver
 from waitlens.session import scratch_path
+from waitlens.sources import bucketed
 from waitlens.sources.files import partition_values
 from waitlens.sources.lake import write_partitions
 from waitlens.sources.seeds import area_deprivation
@@ -184,6 +185,38 @@ def b9(r: Roles) -> DataFrame:
     return conform.resolve_key(rows, r.vault, F.col("patient_id"), ["uc_log_id"])
 
 
+def _bucketed(r: Roles, df: DataFrame, label: str, key: str) -> DataFrame:
+    path = scratch_path(r.spark, f"bucketed-{label}")
+    return bucketed.write_bucketed(df, f"{label}_{path[-12:]}", path, key, 16)
+
+
+@query(
+    "b9_resolve_bucketed",
+    """SELECT uc_log_id, v.patient_sk FROM b_urgent u LEFT JOIN s_vault v ON v.patient_id=u.patient_id""",
+)
+def b9_bucketed(r: Roles) -> DataFrame:
+    """The vault lies in buckets of its key and is not shuffled."""
+    vault = _bucketed(r, r.vault.select("patient_id", "patient_sk"), "vault", "patient_id")
+    rows = r.urgent_care_logs.select("uc_log_id", "patient_id")
+    return bucketed.join_stored(rows, vault, F.col("patient_id"), "patient_id", ["patient_sk"]).drop("patient_id")
+
+
+@query(
+    "f4_references_bucketed",
+    """SELECT 'lineitem' AS child, count(*) AS total, count(*) FILTER (o_orderkey IS NULL) AS orphans
+         FROM (SELECT DISTINCT l_orderkey FROM lineitem) LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = l_orderkey
+       UNION ALL SELECT 'orders', count(*), count(*) FILTER (c_custkey IS NULL)
+         FROM (SELECT DISTINCT o_custkey FROM orders) LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) ON c_custkey = o_custkey""",
+)
+def f4_bucketed(r: Roles) -> DataFrame:
+    """References of two tables to parents of which some are missing."""
+    parents = _bucketed(r, r.raw("orders").where("o_orderstatus <> 'P'").select("o_orderkey"), "orders", "o_orderkey")
+    payers = _bucketed(r, r.raw("customer").where("c_acctbal > 0").select("c_custkey"), "customer", "c_custkey")
+    lines = bucketed.orphans(r.raw("lineitem"), "l_orderkey", parents, "o_orderkey")
+    orders = bucketed.orphans(r.raw("orders"), "o_custkey", payers, "c_custkey")
+    return lines.select(F.lit("lineitem").alias("child"), "*").unionByName(orders.select(F.lit("orders").alias("child"), "*"))
+
+
 @query(
     "b10_area_lookup",
     """SELECT patient_id, ingest_date, p.lsoa_code, CAST(l.imd_decile AS INT) AS imd_decile, imd_label, deprivation_level FROM b_patients p
@@ -321,6 +354,40 @@ def c3(r: Roles) -> DataFrame:
     )
 
 
+# The state of a customer is the priority and status of the latest order so far.
+_STATES_SQL = """SELECT o_custkey, o_orderpriority, o_orderstatus, o_orderdate AS valid_from,
+    lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS valid_to FROM (
+      SELECT * FROM (
+        SELECT *, lag(o_orderpriority || o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS before FROM (
+          SELECT o_custkey, o_orderdate, max_by(o_orderpriority, o_orderkey) AS o_orderpriority, max_by(o_orderstatus, o_orderkey) AS o_orderstatus
+          FROM orders GROUP BY ALL))
+      WHERE before IS DISTINCT FROM o_orderpriority || o_orderstatus)"""
+
+
+def _states(r: Roles) -> DataFrame:
+    return versions(r.raw("orders"), "o_custkey", ["o_orderpriority", "o_orderstatus"], "o_orderdate", ["o_orderkey"])
+
+
+@query("c3_versions", f"SELECT *, valid_to IS NULL AS is_current FROM ({_STATES_SQL})")
+def c3_versions(r: Roles) -> DataFrame:
+    """Intervals of each customer's state; repeats of a state open no new one."""
+    return _states(r)
+
+
+@query(
+    "c3_as_of",
+    f"""SELECT l_orderkey, l_linenumber, s.o_orderpriority, s.o_orderstatus
+        FROM (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey) f
+        ASOF LEFT JOIN ({_STATES_SQL}) s ON s.o_custkey = f.o_custkey AND f.l_shipdate >= s.valid_from""",
+)
+def c3_as_of(r: Roles) -> DataFrame:
+    """Each line with the state its customer was in when it was shipped."""
+    owners = r.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    lines = r.raw("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(owners, "l_orderkey")
+    found = as_of(lines, _states(r), "o_custkey", "l_shipdate", ["o_orderpriority", "o_orderstatus"])
+    return found.select("l_orderkey", "l_linenumber", "o_orderpriority", "o_orderstatus")
+
+
 @query(
     "c6_dim_imd",
     """SELECT row_number() OVER (ORDER BY s.imd_decile) AS imd_sk, CAST(s.imd_decile AS INT) AS imd_decile, s.imd_label, s.deprivation_level,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waitlens.plans import reports
 from waitlens.session import scratch_path
+from waitlens.sources import exports
 from waitlens.sources.keyed import KeyedTable, range_bucket
 from waitlens.streaming import incremental, monitor, silence
 from workload.registry import query, rounded
@@ -67,6 +68,42 @@ def g3(r: Roles) -> DataFrame:
     return rounded(reports.wait_trend(r.waits_model), "p90_wait")
 
 
+def _exported(r: Roles, cells: bool) -> reports.Gold:
+    """The wait tables of an export, read back; ``cells``: counts stored in place of facts."""
+    root = scratch_path(r.spark, "gold")
+    tables = {"fct_wait_times": r.waits, "dim_site": r.dim_site, "dim_specialty": r.dim_specialty}
+    exports.export_gold(tables, root, "2024-06-01")
+    read = {t: exports.read_export(r.spark, root, t) for t in tables}
+    waits = read["fct_wait_times"]
+    if cells:
+        reports.wait_cells(waits).write.parquet(f"{root}/cells")
+        waits = r.spark.read.parquet(f"{root}/cells")
+    return reports.Gold(waits=waits, sites=read["dim_site"], specialties=read["dim_specialty"])
+
+
+@query("g1_on_export", _KPI_SQL.format(_WAIT_ROWS, _CHOSEN))
+def g1_export(r: Roles) -> DataFrame:
+    return rounded(reports.wait_kpis(_exported(r, False), _SOME_SITES, _SOME_SPECIALTIES), "breach_rate_18wk")
+
+
+@query("g1_from_cells", _KPI_SQL.format(_WAIT_ROWS, _CHOSEN))
+def g1_cells(r: Roles) -> DataFrame:
+    return rounded(reports.wait_kpis(_exported(r, True), _SOME_SITES, _SOME_SPECIALTIES), "breach_rate_18wk")
+
+
+@query(
+    "g2_from_cells",
+    f"SELECT site AS provider_name, {_QUANTILES} FROM {_WAIT_ROWS} WHERE site IS NOT NULL GROUP BY site",
+)
+def g2_cells(r: Roles) -> DataFrame:
+    return rounded(reports.wait_by_provider(_exported(r, True)), "p90_wait")
+
+
+@query("g3_from_cells", _TREND)
+def g3_cells(r: Roles) -> DataFrame:
+    return rounded(reports.wait_trend(_exported(r, True)), "p90_wait")
+
+
 @query(
     "g4_month_bounds",
     """SELECT strftime(min(treatment_month),'%Y-%m') AS min_month, strftime(max(treatment_month),'%Y-%m') AS max_month FROM fct_wait_times""",
