@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
+from waitlens.operators import quality
 from waitlens.contracts import ENTITIES, SILVER_AGE_BANDS
 from waitlens.operators import profiling, readiness
 from waitlens.operators.quality import (
@@ -219,3 +220,22 @@ def test_gaps_of_a_bad_entity(spark):
     assert summary.first().row_count == 0
     gaps = profiling.gap_rows(profiling.column_profile(empty), summary, ENTITIES["diagnostics_orders"])
     assert "no_rows" in {r.gap for r in gaps.collect()}
+
+
+def test_checks_taken_while_writing_equal_checks_read_afterwards(spark, tmp_path):
+    rows = [(i % 40, None if i % 7 == 0 else i, "ab"[i % 2]) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, v int, s string")
+    checks = [
+        quality.row_count(1, 99), quality.not_null("v", mostly=0.8), quality.not_null("v", where="s = 'a'"), quality.unique("k"),
+        quality.between("v", 3, 90, severity="warn"), quality.accepted_values("s", ["a"]), quality.distinct_in_set("s", ["a", "b"]),
+    ]
+    passing, seen = quality.watched(df, "t", checks)
+    passing.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = seen()
+    # Uniqueness alone: the written rows are read by the grouped checks only.
+    plan = quality.run_checks(stored, "t", checks, found)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    want = sorted(map(str, quality.run_checks(df, "t", checks).collect()))
+    assert sorted(map(str, quality.run_checks(stored, "t", checks, found).collect())) == want
+    assert quality.watched(df, "t", [quality.unique("k")])[1]() is None

@@ -103,6 +103,14 @@ def test_a_whole_day(spark, tmp_path, deliveries):
     with pytest.raises(QualityGateError, match="1 table"):
         daily.run_day(spark, paths, deliveries, ctx, day, mode="snapshot", suites=lenient)
     assert exports.list_exports(spark, paths.exports) == []
+    # A failed Silver test blocks as well, and is told apart.
+    broken = {"encounters": [not_null("patient_sk")]}
+    with pytest.raises(QualityGateError, match="1 table"):
+        daily.run_day(spark, paths, deliveries, ctx, day, mode="snapshot", suites=lenient, silver_suites=broken)
+    runs = {r.table_name: r.run_status for r in exports.read_runs(spark, f"{paths.quality}_silver").collect()}
+    assert runs == {"encounters": "FAILED"}
+    ages = spark.read.parquet(paths.freshness).collect()
+    assert len(ages) == 8 and {(r.age_days, r.status) for r in ages} == {(0, "ok")}
     named = GOLD_SUITES | {"fct_inequality": [row_count(1)]}
     run = partial(daily.run_day, spark, paths, deliveries, ctx, suites=lenient, gold_suites=named)
     assert run(day, mode="snapshot") == day
@@ -129,6 +137,21 @@ def test_a_whole_day(spark, tmp_path, deliveries):
     assert run() == day + timedelta(days=1)
 
 
+def test_stale_or_unready_bronze_stops_the_run(spark, tmp_path):
+    paths = daily.Paths(str(tmp_path / "lake"))
+    rows = spark.createDataFrame([], ENTITIES["encounters"].schema()).drop("ingest_date")
+    sources = {"ehr_postgres": {"encounters": lambda: rows}}
+    with pytest.raises(QualityGateError, match="no recent partition of encounters"):
+        daily.run_day(spark, paths, sources, silver.Context(b"k"), date(2024, 1, 1), mode="snapshot")
+    one = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+    sources = {"ehr_postgres": {"encounters": lambda: one}}
+    with pytest.raises(QualityGateError, match="not ready on 2024-01-02"):
+        daily.run_day(spark, paths, sources, silver.Context(b"k"), date(2024, 1, 2), mode="snapshot", readiness="block")
+    assert spark.read.parquet(paths.readiness).where("NOT passed").count() > 0
+    with pytest.raises(ValueError, match="unknown readiness"):
+        daily.run_day(spark, paths, sources, silver.Context(b"k"), date(2024, 1, 2), readiness="maybe")
+
+
 def test_a_failed_table_fails_the_run(spark, tmp_path):
     paths = daily.Paths(str(tmp_path / "lake"))
 

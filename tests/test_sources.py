@@ -260,3 +260,29 @@ def test_merged_scan(spark, tmp_path):
     spark.range(2).withColumn("extra", F.lit("x")).write.parquet(str(tmp_path / "t/p=2"))
     df = lake.read_merged(spark, str(tmp_path / "t"))
     assert df.count() == 4 and df.where("extra IS NULL").count() == 2
+
+
+def test_files_that_disagree_on_types_are_read_as_one(spark):
+    frames = {
+        "a": spark.createDataFrame([(1, 1.5, date(2024, 1, 2))], "n short, x float, d date"),
+        "b": spark.createDataFrame([(1 << 40, 3, "text")], "n long, x int, d string"),
+        "c": spark.createDataFrame([(True,)], "flag boolean"),
+    }
+    rows, report = lake.reconcile(frames)
+    assert dict(rows.dtypes) == {"n": "bigint", "x": "double", "d": "string", "flag": "boolean"}
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(
+        [(1, 1.5, "2024-01-02", None), (1 << 40, 3.0, "text", None), (None, None, None, True)], key=str
+    )
+    told = {(r.column, r.source): (r.given, r.taken, r.widened_to_text) for r in report.collect()}
+    assert told["n", "a"] == ("short", "long", False) and told["d", "a"] == ("date", "string", True)
+    assert told["flag", "a"] == (None, "boolean", False) and len(told) == 12
+    with pytest.raises(ValueError, match="nested"):
+        lake.reconcile({"a": spark.createDataFrame([([1],)], "v array<int>"), "b": spark.createDataFrame([(1,)], "v int")})
+
+
+@pytest.mark.parametrize(
+    "one, two, both",
+    [("integer", "long", "long"), ("long", "float", "double"), ("date", "timestamp_ntz", "timestamp_ntz"), ("boolean", "integer", "string"), ("decimal(10,2)", "decimal(12,2)", "string")],
+)
+def test_joined_types(one, two, both):
+    assert lake.joined_type(one, two) == lake.joined_type(two, one) == both

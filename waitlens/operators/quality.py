@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_DDL = (
@@ -144,19 +145,49 @@ def _row(table: str, check: Check, evaluated: Column, failed: Column) -> Column:
     )
 
 
-def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+def plain_checks(checks: Sequence[Check]) -> list[Check]:
+    """The checks that are plain counts over the rows."""
+    return [c for c in checks if c.kind not in _GROUPED]
+
+
+def _plain_aggregates(checks: Sequence[Check]) -> list[Column]:
+    aggregates = []
+    for i, check in enumerate(checks):
+        evaluated, failed = _scalar_counts(check)
+        aggregates += [evaluated.alias(f"_e{i}"), failed.alias(f"_f{i}")]
+    return aggregates
+
+
+def watched(df: DataFrame, table: str, checks: Sequence[Check]) -> tuple[DataFrame, Callable[[], DataFrame | None]]:
+    """``df`` to be written, and what its plain checks found once that is done.
+
+    The counts are taken in the pass of the write, so these checks read nothing again.
+    """
+    plain = plain_checks(checks)
+    if not plain:
+        return df, lambda: None
+    seen = Observation(f"checks-{uuid.uuid4().hex}")
+
+    def found() -> DataFrame:
+        told = seen.get
+        rows = [_row(table, c, F.lit(told[f"_e{i}"]), F.lit(told[f"_f{i}"])) for i, c in enumerate(plain)]
+        return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+
+    return df.observe(seen, *_plain_aggregates(plain)), found
+
+
+def run_checks(df: DataFrame, table: str, checks: Sequence[Check], found: DataFrame | None = None) -> DataFrame:
     """Result rows of all checks on one table.
 
-    Every check that is a plain count is evaluated in one aggregation over one scan.
-    Uniqueness groups by its own key and adds one row.
+    Every check that is a plain count is evaluated in one aggregation over one scan, unless
+    ``found`` holds what ``watched`` saw. Uniqueness groups by its own key and adds one row.
     """
     parts: list[DataFrame] = []
-    plain = [c for c in checks if c.kind not in _GROUPED]
-    if plain:
-        aggregates = []
-        for i, check in enumerate(plain):
-            evaluated, failed = _scalar_counts(check)
-            aggregates += [evaluated.alias(f"_e{i}"), failed.alias(f"_f{i}")]
+    plain = plain_checks(checks)
+    if found is not None:
+        parts.append(found)
+    elif plain:
+        aggregates = _plain_aggregates(plain)
         rows = [
             _row(table, c, F.col(f"_e{i}"), F.col(f"_f{i}")) for i, c in enumerate(plain)
         ]
@@ -193,12 +224,16 @@ def run_suites(
     suites: Mapping[str, Sequence[Check]],
     run_id: str,
     run_date: date,
+    found: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Run every table's suite. A table that cannot be evaluated fails with count -1."""
+    """Run every table's suite. A table that cannot be evaluated fails with count -1.
+
+    ``found``: what ``watched`` saw of some tables while they were written.
+    """
     rows = []
     for name, checks in suites.items():
         try:
-            summary = summarise_runs(run_checks(tables[name], name, checks), run_id, run_date)
+            summary = summarise_runs(run_checks(tables[name], name, checks, (found or {}).get(name)), run_id, run_date)
             rows += [r.asDict() for r in summary.collect()]
         except (PySparkException, KeyError) as problem:
             rows.append(

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,19 +18,31 @@ from waitlens.contracts import ENTITIES, SEX_CODES
 from waitlens.operators.conform import new_partitions, require_unique
 from waitlens.operators.quality import (
     Check,
+    QualityGateError,
     distinct_in_set,
+    freshness,
     not_null,
     require_gate,
     row_count,
     run_suites,
+    watched,
 )
+from waitlens.operators.readiness import readiness_report, readiness_verdict
 from waitlens.plans.gold import build_gold
 from waitlens.plans.silver import MODELS, Context
-from waitlens.plans.suites import GOLD_SUITES
+from waitlens.plans.suites import GOLD_SUITES, SILVER_SUITES
 from waitlens.session import hide_key_material, settle, settled_folder
 from waitlens.sources.exports import export_gold, read_runs, write_runs
 from waitlens.sources.keyed import KeyedTable
-from waitlens.sources.lake import landed_dates, read_bronze, slice_by_date, snapshot, write_bronze
+from waitlens.sources.lake import (
+    landed_dates,
+    listed_partitions,
+    read_bronze,
+    slice_by_date,
+    snapshot,
+    write_bronze,
+    write_partitions,
+)
 from waitlens.sources.manifests import (
     RESULT_DDL,
     already_done,
@@ -69,6 +82,14 @@ class Paths:
     def quality(self) -> str:
         return f"{self.lake}/_dq"
 
+    @property
+    def freshness(self) -> str:
+        return f"{self.lake}/_freshness"
+
+    @property
+    def readiness(self) -> str:
+        return f"{self.lake}/_readiness"
+
     @property
     def exports(self) -> str:
         return f"{self.lake}/gold_export"
@@ -175,17 +196,47 @@ def conform(
     return {m: KeyedTable(spark, paths.silver(m)).read() for m in MODELS}
 
 
+def check_freshness(spark: SparkSession, paths: Paths, entities: Sequence[str], run_date: date) -> DataFrame:
+    """Age of each entity's newest partition, stored; raises when one is too old.
+
+    Read off folder names; (entity, latest, age_days, status).
+    """
+    landed = listed_partitions(spark, paths.lake, [ENTITIES[e] for e in entities]).where(F.col("ingest_date") <= F.lit(run_date))
+    parts = [
+        freshness(landed.where(F.col("entity") == e), run_date).select(F.lit(e).alias("entity"), "*") for e in entities
+    ]
+    ages = settle(reduce(DataFrame.unionByName, parts))
+    write_partitions(ages.withColumn("run_date", F.lit(run_date)), paths.freshness, "run_date")
+    late = [r.entity for r in ages.where("status = 'error'").collect()]
+    if late:
+        raise QualityGateError(f"no recent partition of {', '.join(late)}")
+    return ages
+
+
+def assess(spark: SparkSession, paths: Paths, entities: Sequence[str], run_date: date) -> bool:
+    """Whether landed Bronze is ready to be conformed; the findings are stored."""
+    frames = {e: read_bronze(spark, paths.lake, ENTITIES[e]) for e in entities}
+    report = settle(readiness_report(spark, frames))
+    write_partitions(report.withColumn("run_date", F.lit(run_date)), paths.readiness, "run_date")
+    return readiness_verdict(report).first().ready
+
+
 def validate(
     spark: SparkSession,
     paths: Paths,
     silver: Mapping[str, DataFrame],
     run_date: date,
     suites: Mapping[str, list[Check]] = GATE_SUITES,
+    silver_suites: Mapping[str, list[Check]] = SILVER_SUITES,
 ) -> None:
-    """Run the gate suites, store the results, raise when promotion is blocked."""
-    runs = run_suites(spark, silver, suites, str(uuid.uuid4()), run_date)
-    write_runs(runs, paths.quality)
-    require_gate(read_runs(spark, paths.quality), run_date)
+    """Run the gate suites and the declared Silver tests, store the results, raise when
+    promotion is blocked."""
+    for checks, path in ((suites, paths.quality), (silver_suites, f"{paths.quality}_silver")):
+        if checks:
+            write_runs(run_suites(spark, silver, checks, str(uuid.uuid4()), run_date), path)
+    for checks, path in ((suites, paths.quality), (silver_suites, f"{paths.quality}_silver")):
+        if checks:
+            require_gate(read_runs(spark, path), run_date)
 
 
 def publish(
@@ -198,10 +249,17 @@ def publish(
     """Build the star schema, test it, and export it under the run date.
 
     The tables are settled first: the tests and the export read the same rows, computed
-    once. Nothing is exported when a test fails.
+    once. Tests that are plain counts are taken while a table is settled and read nothing
+    again. Nothing is exported when a test fails.
     """
-    gold = {name: settle(df) for name, df in build_gold(spark, silver).items()}
-    runs = run_suites(spark, gold, suites, str(uuid.uuid4()), run_date)
+    gold, found = {}, {}
+    for name, df in build_gold(spark, silver).items():
+        passing, seen = watched(df, name, suites.get(name, []))
+        gold[name] = settle(passing)
+        told = seen()
+        if told is not None:
+            found[name] = told
+    runs = run_suites(spark, gold, suites, str(uuid.uuid4()), run_date, found)
     write_runs(runs, f"{paths.quality}_gold")
     if suites:
         require_gate(read_runs(spark, f"{paths.quality}_gold"), run_date)
@@ -219,16 +277,25 @@ def run_day(
     suites: Mapping[str, list[Check]] = GATE_SUITES,
     lookback_days: int = 0,
     gold_suites: Mapping[str, list[Check]] = GOLD_SUITES,
+    silver_suites: Mapping[str, list[Check]] = SILVER_SUITES,
+    readiness: str = "off",
 ) -> date:
     """One complete run. Without a date it takes the one after the last complete day.
 
-    Intermediate tables of the run are deleted when it ends.
+    ``readiness`` is ``off``, ``report`` (findings are stored) or ``block`` (and Bronze that
+    is not ready is not conformed). Intermediate tables of the run are deleted when it ends.
     """
+    if readiness not in ("off", "report", "block"):
+        raise ValueError(f"unknown readiness: {readiness!r}")
     with settled_folder(spark):
-        return _run_day(spark, paths, sources, ctx, run_date, mode, suites, lookback_days, gold_suites)
+        return _run_day(
+            spark, paths, sources, ctx, run_date, mode, suites, lookback_days, gold_suites, silver_suites, readiness
+        )
 
 
-def _run_day(spark, paths, sources, ctx, run_date, mode, suites, lookback_days, gold_suites) -> date:
+def _run_day(
+    spark, paths, sources, ctx, run_date, mode, suites, lookback_days, gold_suites, silver_suites, readiness
+) -> date:
     hide_key_material(spark)
     if run_date is None:
         row = next_business_date(
@@ -243,7 +310,11 @@ def _run_day(spark, paths, sources, ctx, run_date, mode, suites, lookback_days,
     ]
     if failed:
         raise RuntimeError(f"ingestion failed for {', '.join(failed)}; see the manifests")
+    delivered = [name for tables in sources.values() for name in tables]
+    check_freshness(spark, paths, delivered, run_date)
+    if readiness != "off" and not assess(spark, paths, delivered, run_date) and readiness == "block":
+        raise QualityGateError(f"Bronze is not ready on {run_date}; see {paths.readiness}")
     silver = conform(spark, paths, ctx, lookback_days)
-    validate(spark, paths, silver, run_date, suites)
+    validate(spark, paths, silver, run_date, suites, silver_suites)
     publish(spark, paths, silver, run_date, gold_suites)
     return run_date

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,67 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+#: Types in order: each can hold the values of those before it in its line.
+_LINES = (("byte", "short", "integer", "long", "double"), ("float", "double"), ("date", "timestamp_ntz"))
+
+
+def joined_type(one: str, two: str) -> str:
+    """The narrowest type for the values of both; text holds any.
+
+    Whole numbers and fractions meet in ``double``, which rounds beyond 2^53.
+    """
+    if one == two:
+        return one
+    for line in _LINES:
+        if one in line and two in line:
+            return max(one, two, key=line.index)
+    if "float" in (one, two) and {one, two} & set(_LINES[0]):
+        return "double"
+    return "string"
+
+
+def reconcile(frames: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(rows of all frames under one schema, report) of files that disagree on types.
+
+    Each column takes the narrowest type that holds all its types, over the schemas alone;
+    a column a frame lacks is NULL in its rows. The report has one row per column and
+    frame: (column, source, given, taken, widened_to_text). Nested columns must agree.
+    """
+    # Decimals differ by their digits too.
+    named = lambda t: t.simpleString() if t.typeName() == "decimal" else t.typeName()
+    types: dict[str, str] = {}
+    for df in frames.values():
+        for f in df.schema:
+            types[f.name] = joined_type(types.get(f.name, named(f.dataType)), named(f.dataType))
+    spark = next(iter(frames.values())).sparkSession
+    nested = {"struct", "array", "map"}
+    parts, told = [], []
+    for source, df in frames.items():
+        given = {f.name: f.dataType for f in df.schema}
+        columns = []
+        for name, kind in types.items():
+            has = given.get(name)
+            if has is not None and has.typeName() in nested and kind == "string":
+                raise ValueError(f"{name} of {source} is nested and cannot be joined with other types")
+            if has is not None and named(has) == kind:
+                columns.append(F.col(f"`{name}`"))
+            else:
+                target = next(f.dataType for d in frames.values() for f in d.schema if f.name == name) if kind in nested else kind
+                columns.append((F.lit(None) if has is None else F.col(f"`{name}`")).cast(target).alias(name))
+            told.append((name, source, None if has is None else named(has), kind, kind == "string" and has is not None and has.typeName() != "string"))
+        parts.append(df.select(*columns))
+    report = spark.createDataFrame(told, "column string, source string, given string, taken string, widened_to_text boolean")
+    return reduce(DataFrame.unionByName, parts), report
+
+
+def read_reconciled(spark: SparkSession, paths: Iterable[str]) -> tuple[DataFrame, DataFrame]:
+    """Parquet folders whose types differ, read as one; see ``reconcile``.
+
+    Only footers are read for the schemas.
+    """
+    return reconcile({p: spark.read.parquet(p) for p in paths})
+
+
 def slice_by_date(df: DataFrame, date_col: str, run_date: date) -> DataFrame:
     """Rows whose ``date_col`` falls on ``run_date``.
 

@@ -366,6 +366,26 @@ def a14(r: Roles) -> DataFrame:
     return lake.read_merged(r.spark, path).select("id", "name", "balance")
 
 
+@query(
+    "a14_reconciled",
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_nationkey AS BIGINT) AS nation, c_acctbal AS balance, NULL AS note FROM customer
+       UNION ALL SELECT c_custkey || 'x', c_nationkey, CAST(c_custkey % 100 AS DOUBLE), c_mktsegment FROM customer
+       UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_nationkey, NULL, NULL FROM customer""",
+)
+def a14_reconciled(r: Roles) -> DataFrame:
+    """Files whose columns are whole numbers, decimals or text, read as one."""
+    path, key = scratch_path(r.spark, "types"), F.col("c_custkey")
+    raw = r.raw("customer")
+    raw.select(key.cast("long").alias("id"), F.col("c_nationkey").cast("int").alias("nation"), F.col("c_acctbal").alias("balance")).write.parquet(f"{path}/a")
+    raw.select(
+        F.concat(key.cast("string"), F.lit("x")).alias("id"), F.col("c_nationkey").cast("long").alias("nation"),
+        (key % 100).cast("int").alias("balance"), F.col("c_mktsegment").alias("note"),
+    ).write.parquet(f"{path}/b")
+    raw.select(key.cast("int").alias("id"), F.col("c_nationkey").cast("short").alias("nation")).write.parquet(f"{path}/c")
+    rows, _ = lake.read_reconciled(r.spark, [f"{path}/{n}" for n in "abc"])
+    return rows
+
+
 @query(
     "a15_seed_lookup",
     """SELECT e.ethnicity_group, i.deprivation_level, count(*) AS patients FROM b_patients p
