@@ -71,7 +71,6 @@ def test_large_group_of_near_copies(spark):
 
 def test_nodes_too_large_to_split_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "SMALL", 4)
-    monkeypatch.setattr(neardup, "LAST_LEVEL", 3)
     monkeypatch.setattr(neardup, "BLOCK", 16)
     rows = family(160, seed=5)
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -8,11 +8,13 @@ average, at least one from the threshold on, so it tends to stay together all th
 while others part quickly. Nodes of a few documents are compared exhaustively by signature
 inside one task. Several trees bring the chance to miss a pair near zero.
 
-Large nodes branch on. Groups of near copies do not part by branching, so each large node
-also proposes its members' links to its smallest member, and a node whose members are all
-in one confirmed component has nothing left to find and ends. What is still large and mixed
-after the last level is compared in blocks on full sets, so no pair is left out for the
-size of a node, and only links that connect something leave a task.
+Large nodes branch on, twice. Groups of near copies do not part by branching, so each large
+node also proposes its members' links to its smallest member, and a node whose members are
+all in one confirmed component has nothing left to find and ends. What is still large and
+mixed is compared in blocks on full sets, so no pair is left out for the size of a node:
+everyone against those outside the node's largest component, whose members need no
+comparison with one another. Only links that connect something leave a task. Nodes with
+many rows are known by their counts and never dealt to one task.
 
 Every proposed link is confirmed on the full sets. Proposals are confirmed forest first:
 one per document, then those between components that are still apart. Thus links inside a
@@ -44,8 +46,10 @@ COORDINATES = 64
 TREES = 12
 #: A node of so many classes is compared exhaustively.
 SMALL = 64
-#: Levels branched by signature alone, and by mixed nodes at most before blocks take over.
-FIRST_LEVELS, LAST_LEVEL = 3, 3
+#: Levels of the trees, the roots included.
+LEVELS = 3
+#: Nodes with more than one row in so many meet their rows by broadcast; no more can be.
+HOT_SHARE = 8192
 #: So far below the threshold an estimate may lie: six standard deviations. All trees share
 #: the signature, so what falls below is lost in all of them; links are confirmed exactly.
 SLACK = 0.3
@@ -159,10 +163,26 @@ def _branch(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.select(F.explode(F.when(two, both).otherwise(F.array(one))).alias("node"), "cid")
 
 
-def _occupied(rows: DataFrame) -> DataFrame:
+def _meet(rows: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
+    """Rows joined with their node's row; the few nodes that hold many rows are broadcast.
+
+    ``nodes`` has the size ``n`` of each; ``total`` is the number of all rows, so there are
+    at most ``HOT_SHARE`` such nodes.
+    """
+    hot = nodes.where(F.col("n") * HOT_SHARE > total)
+    usual = nodes.where(F.col("n") * HOT_SHARE <= total)
+    apart = rows.join(F.broadcast(hot.select("node")), "node", "left_anti")
+    return rows.join(F.broadcast(hot), "node").unionByName(apart.join(usual, "node"))
+
+
+def _occupied(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows of nodes with company, with the node's size and smallest member."""
-    nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("hub")).where("n > 1")
-    return rows.join(nodes, "node")
+    rows = scratch.keep(rows)
+    sizes = scratch.keep(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("hub")).where("n > 1"))
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    met = scratch.keep(_meet(rows, sizes, total))
+    scratch.drop(rows, sizes)
+    return met
 
 
 def pairs_within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,10 +278,11 @@ def common_counts(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
 
 
 def _by_block(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """A spanning forest (u, v) of the links within large nodes, block against block.
+    """A spanning forest (u, v) of the links within large mixed nodes, block against block.
 
-    Both blocks come with their full sets, so links are confirmed where they are found and
-    only those that connect something leave the task.
+    One side of a block pair holds members of a node, the other members outside its largest
+    component. Both come with their full sets, so links are confirmed where they are found
+    and only those that connect something leave the task.
     """
     percent = round(100 * threshold)
 
@@ -269,28 +290,27 @@ def _by_block(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         group = group.combine_chunks()
         ids = group.column("cid").to_numpy()
         names = [np.asarray(v.values.to_numpy()) for v in group.column("names")]
-        mine = group.column("_block").to_numpy()
-        i, j = group.column("_i")[0].as_py(), group.column("_j")[0].as_py()
-        one, two = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        other = group.column("_other").to_numpy(zero_copy_only=False)
+        one, two = np.flatnonzero(~other), np.flatnonzero(other)
         common = common_counts([names[k] for k in one], [names[k] for k in two])
         size = np.array([len(n) for n in names])
         union = size[one][:, None] + size[two][None, :] - common
         left, right = np.nonzero(100 * common >= percent * union)
-        root = local_roots(one[left], two[right], len(ids))
-        moved = np.flatnonzero(root != np.arange(len(ids)))
-        a, b = ids[moved], ids[root[moved]]
-        return pa.table({"u": pa.array(np.maximum(a, b)), "v": pa.array(np.minimum(a, b))})
-
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("cid", F.lit(5)), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    dealt = (
-        rows.select("node", "cid", blocks.alias("_blocks"), block.alias("_block"))
-        .join(sets, "cid")
-        .withColumn("_other", other)
-        .withColumn("_i", F.least("_block", "_other"))
-        .withColumn("_j", F.greatest("_block", "_other"))
+        # A class may stand on both sides: it is one vertex.
+        vertices, vertex = np.unique(ids, return_inverse=True)
+        root = local_roots(vertex[one[left]], vertex[two[right]], len(vertices))
+        moved = np.flatnonzero(root != np.arange(len(vertices)))
+        return pa.table({"u": pa.array(vertices[moved]), "v": pa.array(vertices[root[moved]])})
+
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    mine = lambda salt, n: F.pmod(F.xxhash64("cid", F.lit(salt)), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    outside = F.col("n") - F.col("_top")
+    members = rows.select("node", "cid", mine(5, F.col("n")).alias("_i"), every(outside).alias("_j"), F.lit(False).alias("_other"))
+    others = rows.where("root <> _major").select(
+        "node", "cid", every(F.col("n")).alias("_i"), mine(7, outside).alias("_j"), F.lit(True).alias("_other")
     )
+    dealt = members.unionByName(others.select(*members.columns)).join(sets, "cid")
     return dealt.groupBy("node", "_i", "_j").applyInArrow(links, "u long, v long")
 
 
@@ -345,17 +365,17 @@ def _join(
 
     # Down the trees by signature.
     first = F.array(*[_child(tree, F.lit(c), F.col("_sig")) for tree, c in _roots(trees, threshold)])
-    level = scratch.keep(_occupied(classes.select(F.explode(first).alias("node"), "cid")))
+    level = _occupied(classes.select(F.explode(first).alias("node"), "cid"), scratch)
     spent = [level]
     small, stars = [level.where(F.col("n") <= SMALL)], []
     large = level.where(F.col("n") > SMALL)
     # Whoever is in a large node further down is in one here.
     walkers = scratch.keep(classes.select("cid", "_sig").join(large.select("cid").distinct(), "cid", "left_semi"))
-    for _ in range(FIRST_LEVELS - 1):
+    for _ in range(LEVELS - 1):
         if large.isEmpty():
             break
         stars.append(large.select("cid", "hub"))
-        level = scratch.keep(_occupied(_branch(large.join(walkers, "cid"), threshold)))
+        level = _occupied(_branch(large.join(walkers, "cid"), threshold), scratch)
         spent.append(level)
         small.append(level.where(F.col("n") <= SMALL))
         large = level.where(F.col("n") > SMALL)
@@ -386,24 +406,12 @@ def _join(
     roots = scratch.keep(components(links, scratch))
     scratch.drop(*before)
 
-    # Small nodes whose members are not all together yet.
-    mixed = scratch.keep(_mixed(few, roots))
-    more, blocked = _by_node(mixed, floor, True), None
-    # Large ones: down on while mixed, then in blocks.
-    for at in range(FIRST_LEVELS, LAST_LEVEL + 1):
-        open_nodes = scratch.keep(_mixed(large, roots))
-        if open_nodes.isEmpty():
-            break
-        if at == LAST_LEVEL:
-            blocked = scratch.keep(_by_block(open_nodes, sets, threshold))
-            break
-        level = scratch.keep(_occupied(_branch(open_nodes.join(walkers, "cid"), threshold)))
-        large = level.where(F.col("n") > SMALL)
-        fresh = _mixed(level.where(F.col("n") <= SMALL), roots).join(lows, "cid")
-        more = more.unionByName(_by_node(fresh, floor, True))
-    more = scratch.keep(_apart(more.distinct(), roots).join(proposed, ["a", "b"], "left_anti"))
-    if blocked is not None:
-        links = scratch.keep(links.unionByName(blocked))
+    # Small nodes whose members are not all together yet, and large ones in blocks.
+    mixed = _mixed(few, roots, scratch)
+    more = scratch.keep(_apart(_by_node(mixed, floor, True).distinct(), roots).join(proposed, ["a", "b"], "left_anti"))
+    open_nodes = _mixed(large.select("node", "cid"), roots, scratch)
+    if not open_nodes.isEmpty():
+        links = scratch.keep(links.unionByName(_by_block(open_nodes, sets, threshold)))
         roots = scratch.keep(components(links, scratch))
         more = scratch.keep(_apart(more, roots))
     if not more.isEmpty():
@@ -451,11 +459,19 @@ def _with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(found, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
 
-def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows, with their root, of nodes whose members are in more than one component."""
-    rooted = _with_root(rows, roots)
-    open_nodes = rooted.groupBy("node").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
-    return rooted.join(open_nodes.select("node"), "node")
+def _mixed(rows: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows, with their root, of nodes whose members are in more than one component.
+
+    With the node's largest component (``_major``) and how many members it has (``_top``).
+    """
+    rooted = scratch.keep(_with_root(rows, roots))
+    counts = rooted.groupBy("node", "root").agg(F.count("*").alias("_n"))
+    nodes = counts.groupBy("node").agg(F.max_by("root", "_n").alias("_major"), F.max("_n").alias("_top"), F.sum("_n").alias("n"))
+    nodes = scratch.keep(nodes.where("_top < n"))
+    total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    met = scratch.keep(_meet(rooted, nodes, total))
+    scratch.drop(rooted, nodes)
+    return met
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
