@@ -179,6 +179,30 @@ def test_a_source_with_nothing_to_land_is_skipped(spark, tmp_path):
     assert row.status == "skipped" and row.reason == "nothing to land"
 
 
+def test_a_file_drop_lands_with_its_digests(spark, tmp_path):
+    import hashlib
+
+    paths, root = daily.Paths(str(tmp_path / "lake")), tmp_path / "drop"
+    folder = root / "export_date=20240105"
+    folder.mkdir(parents=True)
+    kinds = {f.name: f.dataType.simpleString() for f in ENTITIES["appointments"].schema()}
+    whole = next((c for c, k in kinds.items() if k == "bigint"), None)
+    bodies = {f"{n}.csv": f"appointment_id,{whole or 'booking_status'}\nA{n},{n}\nB{n},x\n" for n in range(2)}
+    for name, body in bodies.items():
+        (folder / name).write_text(body)
+    load = daily.file_drop(spark, paths, "appointments", str(root), date(2024, 1, 5))
+    assert daily.ingest_source(spark, paths, "sftp_appointments", {"appointments": load}, date(2024, 1, 5)) == "success"
+    stored = {r.file_name: (r.bytes, r.sha256) for r in spark.read.parquet(f"{paths.files}/appointments").collect()}
+    assert stored == {n: (len(b), hashlib.sha256(b.encode()).hexdigest()) for n, b in bodies.items()}
+    from waitlens.sources.lake import read_bronze
+
+    rows = read_bronze(spark, paths.lake, ENTITIES["appointments"]).collect()
+    assert sorted(r.appointment_id for r in rows) == ["A0", "A1", "B0", "B1"]
+    # Another day brought no files.
+    load = daily.file_drop(spark, paths, "appointments", str(root), date(2024, 1, 6))
+    assert daily.ingest_source(spark, paths, "sftp_appointments", {"appointments": load}, date(2024, 1, 6)) == "skipped"
+
+
 def test_settled_tables_go_with_their_run(spark, tmp_path):
     with settled_folder(spark) as folder:
         df = settle(spark.range(3))

@@ -226,18 +226,19 @@ FOUR_HOURS_MINUTES = 240
 TWELVE_HOURS_MINUTES = 720
 SMALL_CELL = 5
 
-# Column types the historical load coerces to: the declared types of the loaded entities.
-BACKFILL_TYPES: dict[str, dict[str, str]] = {
-    name: {
-        f.name: {
-            "bigint": "int64",
-            "date": "date",
-            "timestamp_ntz": "timestamp",
-            "boolean": "bool",
-        }[f.dataType.simpleString()]
-        for f in ENTITIES[name].schema(with_partition=False)
+def declared_types(entity: Entity) -> dict[str, str]:
+    """Kinds of an entity's columns that are not text, as ``lake.coerce`` takes them."""
+    kinds = {"bigint": "int64", "date": "date", "timestamp_ntz": "timestamp", "boolean": "bool"}
+    return {
+        f.name: kinds[f.dataType.simpleString()]
+        for f in entity.schema(with_partition=False)
         if not isinstance(f.dataType, StringType)
     }
+
+
+# Column types the historical load coerces to: the declared types of the loaded entities.
+BACKFILL_TYPES: dict[str, dict[str, str]] = {
+    name: declared_types(ENTITIES[name])
     for name in (
         "patient_demographics",
         "encounters",

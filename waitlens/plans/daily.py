@@ -14,7 +14,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.contracts import ENTITIES, SEX_CODES
+from waitlens.contracts import ENTITIES, SEX_CODES, declared_types
 from waitlens.operators.conform import new_partitions, require_unique
 from waitlens.operators.quality import (
     Check,
@@ -32,9 +32,11 @@ from waitlens.plans.gold import build_gold
 from waitlens.plans.silver import MODELS, Context
 from waitlens.plans.suites import GOLD_SUITES, SILVER_SUITES
 from waitlens.session import hide_key_material, settle, settled_folder
+from waitlens.sources.drops import inventory, land_exports
 from waitlens.sources.exports import export_gold, read_runs, write_runs
 from waitlens.sources.keyed import KeyedTable
 from waitlens.sources.lake import (
+    coerce,
     landed_dates,
     listed_partitions,
     read_bronze,
@@ -82,6 +84,10 @@ class Paths:
     def quality(self) -> str:
         return f"{self.lake}/_dq"
 
+    @property
+    def files(self) -> str:
+        return f"{self.lake}/_files"
+
     @property
     def freshness(self) -> str:
         return f"{self.lake}/_freshness"
@@ -138,6 +144,28 @@ def ingest_source(
     return record(spark, paths, items, started, inputs=list(tables))
 
 
+def file_drop(
+    spark: SparkSession, paths: Paths, name: str, root: str, run_date: date, multi_line: bool = False
+) -> Callable[[], DataFrame | None]:
+    """A loader for ``ingest_source``: the CSV files under ``root/export_date=YYYYMMDD``.
+
+    Columns take the entity's declared types; what does not parse is NULL. Name, size and
+    digest of each file are stored under ``paths.files`` by run date before the rows land.
+    No files: nothing to land.
+    """
+
+    def load() -> DataFrame | None:
+        rows = land_exports(spark, root, run_date, multi_line)
+        if rows is None:
+            return None
+        found = inventory(spark, f"{root.rstrip('/')}/export_date={run_date:%Y%m%d}/*")
+        write_partitions(found.withColumn("ingest_date", F.lit(run_date)), f"{paths.files}/{name}")
+        kinds = {c: k for c, k in declared_types(ENTITIES[name]).items() if c in rows.columns}
+        return coerce(rows.drop("ingest_date"), kinds)
+
+    return load
+
+
 def record(
     spark: SparkSession, paths: Paths, items: Sequence[tuple], started: datetime, inputs: Sequence[str] = ()
 ) -> str:

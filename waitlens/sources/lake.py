@@ -231,14 +231,16 @@ def listed_partitions(
 
 
 def missing_partitions(
-    present: DataFrame, names: Sequence[str], first: date, last: date
+    present: DataFrame, names: Sequence[str], first: date | None = None, last: date | None = None
 ) -> DataFrame:
-    """Entity x day cells of the range without a partition.
+    """Entity x day cells of the range without a partition; by default the last 365 days.
 
     ``present`` has (entity, ingest_date). The grid is as large as the range asked for,
     whatever the data.
     """
     spark = present.sparkSession
+    last = last or date.today()
+    first = first or last - timedelta(days=364)
     grid = spark.range(1).select(
         F.explode(F.array(*[F.lit(n) for n in names])).alias("entity")
     ).select(
