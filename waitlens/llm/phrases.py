@@ -4,14 +4,17 @@ A text is cut into blocks at places that depend on a few characters around them
 runs of one symbol are joined, deterministic coin tossing (the lowest bit in which a symbol
 differs from its left neighbour) shrinks the alphabet to six labels, and local maxima of
 the labels start blocks. A block's name is a hash of its symbols. Names are symbols of the
-next level, so phrases of about 3, 10, 30 and 90 characters get names that do not depend on
-where they stand: equal substrings share all names but those at their ends, and an edit
-changes only names near it.
-
-A fingerprint is the smallest hashes of a text's distinct phrase names, so two fingerprints
-estimate how many phrases two texts share. It keeps 64 names whatever the length of the text,
-pooled over levels of which the lowest has most names: the standard error is up to 1/16,
-and a short passage shared by long texts may leave no trace.
+next level, until one block is left, so phrases of about 3, 10, 30, 90 characters and so on
+get names that do not depend on where they stand: equal substrings share all names but
+those at their ends, and an edit changes only names near it.
+
+A fingerprint samples the distinct names from the second level on by their hashes, which are
+an eighth as large on each further level up to the seventh: long phrases are kept with higher
+probability, all of them from there on. It holds every name with a hash below a fixed bound,
+so it grows with the text (by about one name in two hundred characters), and at least the 64
+smallest, so short texts have enough. Two fingerprints are compared below the smaller of the bounds up
+to which each is complete. A passage of a few hundred words thus shows in texts of any
+length; between short texts the standard error is up to 1/16.
 
 Results: null is the empty text, whose fingerprint is empty; equal texts have equal
 fingerprints; repeated rows are documents of their own, and each is followed by the next in
@@ -31,10 +34,11 @@ from pyspark.sql import functions as F
 
 from waitlens.llm.common import U64, mix64, width
 
-LEVELS = 4
-#: Levels whose names a fingerprint holds, from about ten characters on.
-KEPT_LEVELS = (2, 3, 4)
-KEEP = 64
+#: The first level whose names a fingerprint holds: about ten characters.
+FIRST_KEPT = 2
+#: Names a fingerprint holds at least, and the bound below which it holds all.
+BITS, STEP, STEPS = 40, 3, 5
+KEEP, BOUND = 64, 1 << (BITS - STEP * STEPS)
 #: Characters parsed at a time.
 BATCH = 1 << 20
 _PLACES = mix64(np.arange(1, 257, dtype=U64))
@@ -96,44 +100,72 @@ def parse(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     first = np.zeros(len(symbols), bool)
     first[np.cumsum(lengths) - lengths] = True
     out = []
-    for level in range(1, LEVELS + 1):
+    owners = np.array(some)
+    while len(symbols):
         symbols, first = join_runs(symbols, first)
         starts = block_starts(symbols, first)
-        names = name_blocks(symbols, starts, level)
+        symbols = name_blocks(symbols, starts, len(out) + 1)
         first = first[starts]
-        symbols = names
-        out.append((names, np.array(some)[np.cumsum(first) - 1]))
+        owner = np.cumsum(first) - 1
+        out.append((symbols, owners[owner]))
+        # A text of one block is done.
+        sizes = np.bincount(owner)
+        go_on = (sizes > 1)[owner]
+        symbols, first, owners = symbols[go_on], first[go_on], owners[sizes > 1]
     return out
 
 
+def kept_hashes(names: np.ndarray, level: int) -> np.ndarray:
+    """Hashes of a level's names: of ``BITS`` bits, and fewer on the next few levels."""
+    shift = U64(64 - BITS + STEP * min(level - FIRST_KEPT, STEPS))
+    return mix64(names ^ U64(0xA5A5A5A5)) >> shift
+
+
 def fingerprints(texts: list[str]) -> list[str]:
-    """The ``KEEP`` smallest 32-bit hashes of each text's phrase names, as sorted hex."""
+    """The sampled hashes of each text's phrase names, as sorted hex of five bytes each."""
     levels = parse(texts)
     prints = [""] * len(texts)
-    if not levels:
+    kept = list(enumerate(levels, 1))[FIRST_KEPT - 1 :]
+    if not kept:
         return prints
-    names = np.concatenate([levels[k - 1][0] for k in KEPT_LEVELS])
-    owner = np.concatenate([levels[k - 1][1] for k in KEPT_LEVELS])
-    hashed = (mix64(names ^ U64(0xA5A5A5A5)) >> U64(32)).astype(np.uint64)
-    ordered = np.unique((owner.astype(U64) << U64(32)) | hashed)
-    owner = (ordered >> U64(32)).astype(np.int64)
-    values = ordered.astype(np.uint32)
+    owner = np.concatenate([o for _, (_, o) in kept])
+    hashed = np.concatenate([kept_hashes(names, level) for level, (names, _) in kept])
+    ordered = np.unique((owner.astype(U64) << U64(BITS)) | hashed)
+    owner = (ordered >> U64(BITS)).astype(np.int64)
+    values = ordered & U64((1 << BITS) - 1)
+    spelled = values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
     bounds = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     for start, stop in zip(bounds, np.r_[bounds[1:], len(owner)], strict=True):
-        part = values[start : min(stop, start + KEEP)]
-        prints[owner[start]] = part.astype(">u4").tobytes().hex()
+        below = int(np.searchsorted(values[start:stop], BOUND))
+        prints[owner[start]] = spelled[5 * start : 5 * min(stop, start + max(KEEP, below))].hex()
     return prints
 
 
+def hashes_of(print_: str) -> np.ndarray:
+    parts = np.frombuffer(bytes.fromhex(print_), np.uint8).reshape(-1, 5)
+    whole = np.zeros((len(parts), 8), np.uint8)
+    whole[:, 3:] = parts
+    return whole.view(">u8").ravel().astype(np.int64)
+
+
+def complete_to(values: np.ndarray) -> int:
+    """Up to which hash a fingerprint holds all names of its text."""
+    if len(values) < KEEP:
+        return 1 << BITS
+    return max(BOUND - 1, int(values[-1]))
+
+
 def likeness(one: str, two: str) -> float:
-    """Share of common phrases among the smallest of both, an estimate of their resemblance."""
+    """Share of common phrases where both fingerprints are complete: their estimated resemblance."""
     if one == two:
         return 1.0
     if not one or not two:
         return 0.0
-    a, b = (np.frombuffer(bytes.fromhex(x), ">u4").astype(np.uint32) for x in (one, two))
-    both = np.union1d(a, b)[:KEEP]
-    return float(np.intersect1d(np.intersect1d(a, b, assume_unique=True), both, assume_unique=True).size / both.size)
+    a, b = hashes_of(one), hashes_of(two)
+    end = min(complete_to(a), complete_to(b))
+    a, b = a[a <= end], b[b <= end]
+    both = np.union1d(a, b)
+    return float(np.intersect1d(a, b, assume_unique=True).size / both.size) if both.size else 0.0
 
 
 def edited(text: str, following: str) -> str:
