@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from waitlens.operators.dims import as_of, versions
 from waitlens.plans import reports
 from waitlens.sources import bucketed
+from waitlens.sources.keyed import range_bucket
+from waitlens.sources.keyring import Keyring
 
 
 def plan(df):
@@ -97,3 +99,20 @@ def test_cells_answer_like_facts(spark):
         for args in ((), (["p1"],), (["p1", "p2"], ["s0", "s3"]), (["none"],)):
             one, two = (ask(m, *args).collect() for m in models)
             assert one == two
+
+
+def test_a_repeated_key_is_found_across_batches(spark, tmp_path):
+    ring = Keyring(spark, str(tmp_path / "ring"), "k", range_bucket("k", 10))
+    frame = lambda keys: spark.createDataFrame([(k,) for k in keys], "k int")
+    found = lambda df: sorted(map(tuple, df.collect()))
+    assert found(ring.add(frame([1, 2, 2, 15, None, None]), "d1")) == [(2, 2, None)]
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "ring").glob("_bucket=0/*.parquet")}
+    # Only the buckets of the batch are read and written.
+    assert found(ring.add(frame([15, 16, 27]), "d2")) == [(15, 1, "d1")]
+    scan = next(line for line in plan(ring.table.near(frame([15, 27]))).splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [_bucket" in scan
+    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "ring").glob("_bucket=0/*.parquet")}
+    assert found(ring.add(frame([15, 16, 27]), "d2")) == [(15, 1, "d1")]
+    assert found(ring.add(frame([1, 16, 40]), "d3")) == [(1, 1, "d1"), (16, 1, "d2")]
+    assert sorted(r.k for r in ring.table.read().collect()) == [1, 2, 15, 16, 27, 40]
+    assert found(ring.add(frame([]), "d4")) == []

@@ -111,6 +111,12 @@ class KeyedTable:
     def _rows(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
 
+    def near(self, batch: DataFrame) -> DataFrame:
+        """Stored rows of the partitions a batch falls into, with ``_bucket``; no other is read."""
+        # As many numbers as buckets at most: rows of the table by BUCKET_ROWS.
+        touched = [r[0] for r in batch.select(self.rule().column().alias("b")).distinct().collect()]
+        return self._rows().where(F.col("_bucket").isin(touched))
+
     def loaded(self) -> list[str]:
         """Names of the batches and source partitions recorded as loaded."""
         return files(self.spark, f"{self.path}/_loaded")
@@ -148,9 +154,7 @@ class KeyedTable:
         rule = self.rule()
         old = self._rows()
         if _types(old) == _types(batch):
-            # As many numbers as buckets at most: rows of the table by BUCKET_ROWS.
-            touched = [r[0] for r in batch.select(rule.column().alias("b")).distinct().collect()]
-            old = old.where(F.col("_bucket").isin(touched))
+            old = self.near(batch)
         rows = _newest(sync_schema(old.drop("_bucket"), batch), batch, keys, order_by, tiebreak)
         rows = rows.withColumn("_bucket", rule.column()).hint("rebalance", "_bucket")
         aside = f"{self.path}/_staged/{batch_id or NAMELESS}"

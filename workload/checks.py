@@ -26,7 +26,9 @@ from waitlens.operators.quality import (
 )
 from waitlens.plans.daily import GATE_SUITES
 from waitlens.plans.suites import GOLD_SUITES, SILVER_SUITES
-from waitlens.session import settle
+from waitlens.session import scratch_path, settle
+from waitlens.sources.keyed import range_bucket
+from waitlens.sources.keyring import Keyring
 from workload.registry import query, rounded
 from workload.roles import Roles
 
@@ -511,3 +513,22 @@ def f9(r: Roles) -> DataFrame:
         entity,
     )
     return gaps.select("gap", "column_name")
+
+
+@query(
+    "e2_incremental_unique",
+    """WITH b AS (SELECT o_custkey, CASE WHEN o_orderdate < TIMESTAMP '1994-01-01' THEN 'a' WHEN o_orderdate < TIMESTAMP '1996-06-01' THEN 'b' ELSE 'c' END AS batch FROM orders),
+          n AS (SELECT batch, o_custkey, count(*) AS n FROM b GROUP BY ALL),
+          f AS (SELECT *, min(batch) OVER (PARTITION BY o_custkey) AS first FROM n)
+        SELECT batch, o_custkey, n, CASE WHEN first < batch THEN first END AS seen_in FROM f WHERE n > 1 OR first < batch""",
+)
+def e2_incremental(r: Roles) -> DataFrame:
+    """Customers that order again, in the same batch of orders or after an earlier one."""
+    orders = r.raw("orders").select("o_custkey", "o_orderdate")
+    width = max(1, r.raw("customer").agg(F.max("c_custkey")).first()[0] // 20)
+    ring = Keyring(r.spark, scratch_path(r.spark, "keyring"), "o_custkey", range_bucket("o_custkey", width))
+    cut = [F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in ("1994-01-01", "1996-06-01")]
+    at = F.col("o_orderdate")
+    batches = {"a": at < cut[0], "b": (at >= cut[0]) & (at < cut[1]), "c": (at >= cut[1]) | at.isNull()}
+    parts = [ring.add(orders.where(which), name).select(F.lit(name).alias("batch"), "*") for name, which in batches.items()]
+    return reduce(DataFrame.unionByName, parts)
