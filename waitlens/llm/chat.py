@@ -12,7 +12,8 @@ part gets a ``\\`` before a ``|`` it starts with, so none arises where two parts
 Results: null text is empty text, a null role is the empty role, a null or empty part list
 gives an empty turn. Turns are ordered by turn number, then role, then parts, so repeated
 rows are repeated turns in a fixed order. A null conversation id is one conversation.
-An empty table gives no rows; other columns are ignored.
+An empty table gives no rows; other columns are ignored. A text may have any length: each is
+read a fixed number of times, and spans are cut from their own turn.
 """
 
 from __future__ import annotations

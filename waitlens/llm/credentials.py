@@ -11,7 +11,7 @@ once per pattern, whatever it consists of.
 Results: null text is empty text; a text without candidates has an empty span list and the
 digest of the empty string; repeated rows have a row each and count as one repository; a
 null owner counts as an owner of its own; an empty table gives no rows; other columns are
-ignored.
+ignored; texts of any length are scanned whole.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ read. Words outside the templates, most of all, are skipped without entering it.
 
 Results: null and empty texts have no words, no labels and score 0; repeated rows are
 scanned alike; overlapping places all count; an empty table gives no rows; other columns
-are ignored.
+are ignored; a text of any length is streamed whole through the automaton.
 """
 
 from __future__ import annotations

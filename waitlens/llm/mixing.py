@@ -7,7 +7,8 @@ every length, then a bounded-knapsack dynamic program over what the rounding lef
 documents of a length are then chosen in seeded order.
 
 Results: a null text has size 0 and a null source is a source of its own, last in order;
-repeated rows are documents of their own; an empty table gives no rows. ``taken`` is a
+repeated rows are documents of their own; an empty table gives no rows; a text of any length
+counts with its whole size, other columns are ignored. ``taken`` is a
 multiple (0, 1 or 2 times) of the document's size.
 """
 

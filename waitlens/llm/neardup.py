@@ -22,7 +22,8 @@ component, of which a large group has a square number, are never listed.
 
 Results: null, empty and white-space texts have an empty set and link with nothing; a null
 id links with nothing, its component is null and it is kept; repeated rows share a
-component; an empty table gives no rows; other columns are ignored. Ids are taken to be
+component; an empty table gives no rows; other columns are ignored; a text of any length
+is one set, as large as it has distinct runs of words. Ids are taken to be
 unique: of two texts under one id each row follows its own.
 """
 

@@ -7,7 +7,8 @@ first, into the open window with the least room that still holds it. Thousands o
 per shard leave next to nothing of a window unused, so shards cost no padding worth naming.
 
 Results: a null text is the empty document (its end id alone); repeated rows are packed
-once per row; an empty table gives no rows; columns other than the two named are ignored.
+once per row; an empty table gives no rows; columns other than the two named are ignored. A text of any
+length is encoded whole and gives as many full windows as it takes.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ Arrow batches, without a shuffle.
 
 Results: null and empty texts are scored as one empty line; repeated rows score alike; an
 empty table gives no rows; with no usable labels every score is 0.5; other columns are
-ignored.
+ignored; all lines of a text of any length are labelled when it is scored.
 """
 
 from __future__ import annotations

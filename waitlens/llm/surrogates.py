@@ -18,7 +18,8 @@ Patterns repeat single characters without bound, groups only a few times: matchi
 of any length needs no deep stack.
 
 Results: null text stays null; repeated rows are replaced alike; an empty table gives no
-rows; all other columns are carried through whatever their names.
+rows; all other columns are carried through whatever their names; texts of any length are
+read whole.
 """
 
 from __future__ import annotations
