@@ -88,6 +88,34 @@ def test_requests_without_a_key_are_scattered(spark):
     assert any("hashpartitioning(who" in p and "_scatter" in p for p in plan.splitlines())
 
 
+def test_first_match_shuffles_events_once_and_unrepeated(spark):
+    left = spark.createDataFrame([(1, "a", date(2024, 1, 1))], "id int, who string, day date")
+    start = datetime(2024, 1, 1)
+    events = [(f"p{i}", start + timedelta(days=i % 900), i % 40) for i in range(20_000)]
+    right = spark.createDataFrame(events, "who string, at timestamp_ntz, gap int").hint("merge")
+    joined = first_match(left, right, "who", "day", "at", "gap")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().executedPlan()
+    if plan.nodeName() == "ResultQueryStage":
+        plan = plan.plan()
+    stages = plan.collectLeaves()
+    rows = [stages.apply(i).plan().metrics().apply("shuffleRecordsWritten").value() for i in range(stages.size())]
+    assert len(rows) == 2 and max(rows) <= 20_000 * 9 // 8 + 1
+
+
+def test_first_match_without_a_day_or_over_block_edges(spark):
+    days = [DAY0 + timedelta(days=i) for i in range(-70, 140)]
+    left = spark.createDataFrame(
+        [*[(i, "a", d) for i, d in enumerate(days)], (-1, "a", None)], "id int, who string, day date"
+    )
+    at = datetime(2024, 3, 1, 9)
+    right = spark.createDataFrame([("a", at, 3), ("a", at, 5), ("a", at, -4)], "who string, at timestamp_ntz, gap int")
+    got = {r.id: r.matched_gap for r in first_match(left, right, "who", "day", "at", "gap").collect()}
+    want = {i: min((g for g in (-4, 3, 5) if g <= (at.date() - d).days <= g + 7), default=None) for i, d in enumerate(days)}
+    assert got == {**want, -1: None}
+
+
 def test_milestones_and_breach_limits(spark):
     rows = [(1, date(2024, 1, 2), date(2024, 2, 13)), (1, date(2024, 1, 1), None), (2, None, date(2024, 1, 1))]
     df = spark.createDataFrame(rows, "k int, a date, b date")
