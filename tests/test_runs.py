@@ -20,6 +20,7 @@ from waitlens.sources.files import files
 from waitlens.sources.manifests import read_manifests
 from waitlens.sources.keyed import KeyedTable
 from waitlens.streaming import incremental, monitor
+from workload.ingest import a16_whole
 from workload.queries import REGISTRY
 from workload.roles import TEST_KEY, Roles
 
@@ -242,3 +243,11 @@ def test_registered_query(spark, oracle, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_whole_export_makes_later_tables_from_exported_ones(spark):
+    r = Roles(spark, SMALL)
+    told = {x.table_name: x.n for x in a16_whole(r).collect()}
+    assert len(told) == 10 and told["fct_wait_times"] == r.waits.count()
+    for table in (r.waits, r.urgent, r.dim_patient):
+        assert all("table=" in f for f in table.inputFiles())
