@@ -239,3 +239,9 @@ def test_checks_taken_while_writing_equal_checks_read_afterwards(spark, tmp_path
     want = sorted(map(str, quality.run_checks(df, "t", checks).collect()))
     assert sorted(map(str, quality.run_checks(stored, "t", checks, found).collect())) == want
     assert quality.watched(df, "t", [quality.unique("k")])[1]() is None
+
+
+def test_columns_a_suite_reads_include_its_scopes():
+    checks = [quality.row_count(1), quality.unique("a", "b"), quality.between("c", 0, 1, where="d > 0 AND e IS NOT NULL")]
+    assert {"a", "b", "c", "d", "e"} <= quality.checked_columns(checks)
+    assert quality.grouped_checks(checks) == [checks[1]]

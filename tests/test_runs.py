@@ -20,6 +20,7 @@ from waitlens.sources.files import files
 from waitlens.sources.manifests import read_manifests
 from waitlens.sources.keyed import KeyedTable
 from waitlens.streaming import incremental, monitor
+from workload.checks import e9_declared
 from workload.ingest import a16_whole
 from workload.queries import REGISTRY
 from workload.roles import TEST_KEY, Roles
@@ -251,3 +252,12 @@ def test_whole_export_makes_later_tables_from_exported_ones(spark):
     assert len(told) == 10 and told["fct_wait_times"] == r.waits.count()
     for table in (r.waits, r.urgent, r.dim_patient):
         assert all("table=" in f for f in table.inputFiles())
+
+
+def test_declared_checks_make_each_table_once_and_keep_what_is_needed(spark):
+    r = Roles(spark, SMALL)
+    e9_declared(r)
+    assert set(r.s_diagnostics.columns) == {"diagnostic_id", "referral_id", "request_date", "result_date"}
+    assert r.utilisation.columns == ["appointment_id"]
+    for table in (r.s_encounters, r.waits, r.urgent, r.inequality):
+        assert all("settled-" in f for f in table.inputFiles())
