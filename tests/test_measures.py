@@ -116,6 +116,28 @@ def test_first_match_without_a_day_or_over_block_edges(spark):
     assert got == {**want, -1: None}
 
 
+def test_first_match_lists_few_events_twice_and_matches_at_the_edges_of_blocks(spark):
+    slack, first = 7, date(1970, 1, 1) + timedelta(days=38 * 512)
+    days = [first + timedelta(days=i) for i in range(-20, 20)]
+    left = spark.createDataFrame([(i, "a", d) for i, d in enumerate(days)], "id int, who string, day date")
+    events = [("a", datetime.combine(first, datetime.min.time()) + timedelta(days=d, hours=d % 5), 2) for d in (-9, -3, 4, 11)]
+    right = spark.createDataFrame(events, "who string, at timestamp_ntz, gap int")
+    got = {r.id: r.matched_at for r in first_match(left, right, "who", "day", "at", "gap").collect()}
+    fits = lambda d: [at for _, at, gap in events if gap <= (at.date() - d).days <= gap + slack]
+    assert got == {i: min(fits(d), default=None) for i, d in enumerate(days)}
+    start = datetime(2024, 1, 1)
+    many = [(f"p{i % 50}", start + timedelta(days=i % 2000), 0) for i in range(20_000)]
+    right = spark.createDataFrame(many, "who string, at timestamp_ntz, gap int").hint("merge")
+    joined = first_match(left, right, "who", "day", "at", "gap")
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().executedPlan()
+    if plan.nodeName() == "ResultQueryStage":
+        plan = plan.plan()
+    stages = plan.collectLeaves()
+    rows = [stages.apply(i).plan().metrics().apply("shuffleRecordsWritten").value() for i in range(stages.size())]
+    assert max(rows) <= 20_000 * 21 // 20
+
+
 def test_milestones_and_breach_limits(spark):
     rows = [(1, date(2024, 1, 2), date(2024, 2, 13)), (1, date(2024, 1, 1), None), (2, None, date(2024, 1, 1))]
     df = spark.createDataFrame(rows, "k int, a date, b date")

@@ -261,3 +261,24 @@ def test_declared_checks_make_each_table_once_and_keep_what_is_needed(spark):
     assert r.utilisation.columns == ["appointment_id"]
     for table in (r.s_encounters, r.waits, r.urgent, r.inequality):
         assert all("settled-" in f for f in table.inputFiles())
+
+
+def test_metrics_read_only_what_they_need_of_the_facts(spark):
+    r = Roles(spark, SMALL)
+    waits, urgent, _, _ = r.inequality_facts
+    for narrow, fact, required in ((waits, r.waits, "wait_days"), (urgent, r.urgent, "patient_sk")):
+        full = fact.select(*narrow.columns)
+        assert narrow.schema == full.schema
+        assert narrow.exceptAll(full).isEmpty() and full.exceptAll(narrow).isEmpty()
+        assert not narrow.where(f"{required} IS NOT NULL").isEmpty()
+    metrics = contract.queries()["d9_stratified_metrics"](spark, SMALL)
+    plan = metrics._jdf.queryExecution().optimizedPlan().toString()
+    # Lines are read for encounters only; no test, site or specialty is.
+    assert plan.count("Relation [l_orderkey") == 1
+    assert all(c not in plan for c in ("DX-", "s_suppkey", "site_sk", "specialty_sk"))
+
+
+def test_metrics_read_a_fact_that_was_made(spark):
+    r = Roles(spark, SMALL)
+    r.waits, r.urgent = settle(r.waits), settle(r.urgent)
+    assert r.inequality_facts[:2] == (r.waits, r.urgent)
