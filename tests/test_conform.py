@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from waitlens.contracts import ENTITIES
 from waitlens.operators import conform
 from waitlens.operators.dims import calendar, dense_key
+from waitlens.operators.measures import milestones
 from waitlens.plans import silver
 from waitlens.sources import keyed
 from waitlens.sources.keyed import KeyedTable, digits_bucket, hash_bucket, range_bucket
@@ -345,3 +346,11 @@ def test_a_hot_key_is_split_by_the_adaptive_skew_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_diagnostics_read_without_their_patient_need_no_vault(spark):
+    vault = spark.createDataFrame([(1, "s")], "patient_id bigint, patient_sk string")
+    found = silver.diagnostics_orders(orders(spark, ["D1", "X2"]), vault, CTX)
+    tests = milestones(found, "referral_id", "request_date", {"asked": "request_date", "answered": "result_date"})
+    assert "Join" not in tests._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in found.select("patient_sk")._jdf.queryExecution().optimizedPlan().toString()

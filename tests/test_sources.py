@@ -226,6 +226,12 @@ def test_next_date_waits_for_the_slowest_source(spark):
     assert manifests.next_business_date(df.where("source = 'c'")).first().next_date is None
 
 
+def test_an_export_is_written_where_its_rows_lie(spark, tmp_path):
+    exports.export_gold({"dim_imd": spark.range(0, 1000, 1, 3).toDF("imd_decile")}, str(tmp_path / "gold"), "2024-01-01")
+    assert exports.read_export(spark, str(tmp_path / "gold"), "dim_imd").count() == 1000
+    assert len(list((tmp_path / "gold").rglob("*.parquet"))) == 3
+
+
 def test_exports(spark, tmp_path):
     root = str(tmp_path / "gold")
     frame = lambda n: spark.range(n).withColumnRenamed("id", "imd_sk")

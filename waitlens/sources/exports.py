@@ -24,7 +24,7 @@ def export_gold(tables: Mapping[str, DataFrame], root: str, export_date: date |
     day = date.fromisoformat(export_date) if isinstance(export_date, str) else export_date
     for name, df in tables.items():
         write_partitions(
-            df.withColumn("export_date", F.lit(day)), table_path(root, name), "export_date"
+            df.withColumn("export_date", F.lit(day)), table_path(root, name), "export_date", one_value=True
         )
 
 

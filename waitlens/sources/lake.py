@@ -142,14 +142,17 @@ def snapshot(df: DataFrame, run_date: date) -> DataFrame:
     return df.withColumn("ingest_date", F.lit(run_date))
 
 
-def write_partitions(df: DataFrame, path: str, column: str = "ingest_date") -> None:
+def write_partitions(
+    df: DataFrame, path: str, column: str = "ingest_date", one_value: bool = False
+) -> None:
     """Replace exactly the partitions present in ``df``, in one job.
 
     REBALANCE groups rows by partition value for well-sized files and splits a value
     that holds too much for one task, such as the start date old rows are clamped to.
+    ``one_value``: all rows are of one partition, so each task writes what it has.
     """
     (
-        df.hint("rebalance", column)
+        (df if one_value else df.hint("rebalance", column))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
