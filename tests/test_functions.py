@@ -7,7 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from waitlens.functions.identifiers import digits_to_bigint, hmac_sha256, in_domain, mod11_reason
+from waitlens.functions.identifiers import digits_to_bigint, hmac_sha256, in_domain, mod11_reason, packed, unpacked
 from waitlens.functions.parsing import parse_as
 from waitlens.functions.temporal import (
     hour_start,
@@ -159,3 +159,12 @@ def test_permissive_parsing(spark):
 def test_strict_parsing_fails(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         values(spark, ["soon"], "string", lambda c: parse_as(c, "date", "strict"))
+
+
+def test_packed_text_is_read_back_and_differs_where_texts_differ(spark):
+    texts = ["ab" * 32, "AB" * 32, "61616161", "aaaa", "\u0001", "abc", "0abc", "", "p1", "é€", "00", "\x00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", packed(F.col("t")).alias("p")).select("*", unpacked(F.col("p")).alias("back")).collect()
+    assert all(r.back == r.t for r in rows)
+    assert len({bytes(r.p) for r in rows if r.p is not None}) == len(texts) - 1
+    assert len(rows[0].p) == 33
