@@ -282,3 +282,28 @@ def test_metrics_read_a_fact_that_was_made(spark):
     r = Roles(spark, SMALL)
     r.waits, r.urgent = settle(r.waits), settle(r.urgent)
     assert r.inequality_facts[:2] == (r.waits, r.urgent)
+
+
+def test_wait_fact_moves_referrals_by_their_id_once(spark):
+    stored, fresh = Roles(spark, SMALL), Roles(spark, SMALL)
+    stored.s_referrals = settle(stored.s_referrals)
+    known = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fresh.waits._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
+    # One shuffle for the latest referrals, one for the tests of each; none for their join.
+    assert plan.count("Exchange hashpartitioning(referral_id#") == 2
+    assert fresh.waits.schema == stored.waits.schema
+    assert fresh.waits.exceptAll(stored.waits).isEmpty() and stored.waits.exceptAll(fresh.waits).isEmpty()
+    assert not fresh.waits.where("dm01_wait_days IS NOT NULL").isEmpty()
+
+
+def test_referrals_take_columns_along_without_losing_rows(spark):
+    r = Roles(spark, SMALL)
+    beside = spark.createDataFrame([(1, "one"), (-5, "nobody's")], "referral_id bigint, note string")
+    got = silver.referrals(r.referrals, r.vault, r.ctx, beside)
+    assert got.columns == [*r.s_referrals.columns, "note"]
+    assert got.drop("note").exceptAll(r.s_referrals).isEmpty() and got.count() == r.s_referrals.count()
+    assert [x.referral_id for x in got.where("note IS NOT NULL").collect()] == [1]
